@@ -1,0 +1 @@
+"""Incremental (Structured Streaming) runners for the batch plans."""
