@@ -90,17 +90,32 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
     return g.select(*out)
 
 
-def qcut_bucket(x: Column, edges: Column) -> Column:
-    """1-based equal-frequency bucket of x given an array of quantile edges.
+def qcut_bucket(x: Column, edges: Sequence[Column]) -> Column:
+    """1-based equal-frequency bucket of x given ascending quantile edges.
 
     Intervals are (e[i-1], e[i]] with the minimum edge included in bucket 1;
-    duplicate edges are dropped first. Ties therefore share a bucket (unlike
-    ``ntile``). Null x -> null.
+    duplicate edges are dropped first (a repeated edge is counted once), so
+    ties share a bucket (unlike ``ntile``). Null x -> null.
     """
-    below = F.size(F.filter(F.array_distinct(edges), lambda e: e < x))
+    below = None
+    for i, e in enumerate(edges):
+        new = (e < x) if i == 0 else ((e < x) & (e != edges[i - 1]))
+        term = F.coalesce(new.cast("int"), F.lit(0))
+        below = term if below is None else below + term
     return F.when(x.isNotNull(), F.greatest(F.lit(1), below))
 
 
+def distinct_edge(edges: Sequence[Column], k: Column) -> Column:
+    """k-th (1-based) distinct value of ascending edges; null past the end."""
+    out = F.lit(None).cast("double")
+    rank = None
+    for i, e in enumerate(edges):
+        new = F.lit(1) if i == 0 else F.when(e != edges[i - 1], 1).otherwise(0)
+        rank = new if rank is None else rank + new
+        out = F.when((rank == k) & (F.lit(i == 0) | (e != edges[i - 1] if i else F.lit(True))), e).otherwise(out)
+    return out
+
+
 def decile_probs(q: int) -> list[float]:
     """Edge probabilities 0, 1/q, ..., 1 as numpy's linspace gives them."""
     return [i / q for i in range(q + 1)]

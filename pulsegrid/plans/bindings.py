@@ -71,42 +71,42 @@ def series_sql() -> str:
 # Questionnaire item i is the customer's largest order price
 # (in 100,000s, capped at 5) for order priority i; bands of the 0..25 total.
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
-ITEM_COLS = [f"item_{i + 1:02d}" for i in range(len(PRIORITIES))]
+ITEM_COLS = [f"pciat_pciat_{i + 1:02d}" for i in range(len(PRIORITIES))]
 ITEM_MAX = 5
 BINDING_BANDS = (9, 12, 15)
 SEASONS = ["Spring", "Summer", "Fall", "Winter"]
 
 PARTICIPANT_EXPRS = [
     ("id", "c_custkey"),
-    ("enroll_season", "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END"),
+    ("basic_demos_enroll_season", "CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_mktsegment END"),
     ("physical_season", "CASE WHEN c_custkey % 5 = 0 THEN NULL WHEN c_nationkey % 4 = 0 THEN 'Spring' "
                         "WHEN c_nationkey % 4 = 1 THEN 'Summer' WHEN c_nationkey % 4 = 2 THEN 'Fall' ELSE 'Winter' END"),
-    ("age", "CAST(5 + c_custkey % 18 AS INT)"),
-    ("sex", "CAST(c_custkey % 2 AS INT)"),
-    ("cgas_score", "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST(40 + c_custkey % 60 AS DOUBLE) END"),
-    ("bmi", "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 12 + CAST(c_custkey * 7 % 200 AS DOUBLE) / 10 END"),
-    ("height", "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 40 + CAST(c_custkey * 13 % 400 AS DOUBLE) / 10 END"),
-    ("weight", "60 + c_acctbal / 100"),
-    ("waist_circumference", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(20 + c_custkey % 15 AS DOUBLE) END"),
-    ("diastolic_bp", "CAST(60 + c_custkey % 30 AS DOUBLE)"),
-    ("heart_rate", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(60 + c_custkey % 50 AS DOUBLE) END"),
-    ("systolic_bp", "CAST(100 + c_custkey % 40 AS DOUBLE)"),
-    ("endurance_max_stage", "CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE CAST(c_custkey % 10 AS DOUBLE) END"),
-    ("endurance_time_mins", "CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE CAST(c_custkey % 7 AS DOUBLE) END"),
-    ("endurance_time_sec", "CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE CAST(c_custkey % 60 AS DOUBLE) END"),
-    ("fgc_cu", "CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE CAST(c_custkey % 25 AS DOUBLE) END"),
-    ("fgc_cu_zone", "CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE CAST(c_custkey % 2 AS DOUBLE) END"),
-    ("fgc_gsnd", "CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE CAST(10 + c_custkey % 20 AS DOUBLE) END"),
-    ("fgc_gsnd_zone", "CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE CAST(1 + c_custkey % 3 AS DOUBLE) END"),
-    ("fgc_gsd", "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(12 + c_custkey % 18 AS DOUBLE) END"),
-    ("fgc_gsd_zone", "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(1 + c_custkey % 3 AS DOUBLE) END"),
-    ("bia_fat", "CASE WHEN c_custkey % 5 = 2 THEN NULL ELSE CAST(5 + c_custkey % 20 AS DOUBLE) END"),
-    ("bia_ffm", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(30 + c_custkey % 25 AS DOUBLE) END"),
-    ("paq_a_total", "CASE WHEN c_custkey % 4 = 0 THEN CAST(1 + c_custkey % 4 AS DOUBLE) ELSE NULL END"),
-    ("paq_c_total", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(1 + c_custkey % 5 AS DOUBLE) / 2 END"),
-    ("computer_hours_day", "CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE CAST(c_custkey % 4 AS DOUBLE) END"),
+    ("basic_demos_age", "CAST(5 + c_custkey % 18 AS INT)"),
+    ("basic_demos_sex", "CAST(c_custkey % 2 AS INT)"),
+    ("cgas_cgas_score", "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST(40 + c_custkey % 60 AS DOUBLE) END"),
+    ("physical_bmi", "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 12 + CAST(c_custkey * 7 % 200 AS DOUBLE) / 10 END"),
+    ("physical_height", "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 40 + CAST(c_custkey * 13 % 400 AS DOUBLE) / 10 END"),
+    ("physical_weight", "60 + c_acctbal / 100"),
+    ("physical_waist_circumference", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(20 + c_custkey % 15 AS DOUBLE) END"),
+    ("physical_diastolic_bp", "CAST(60 + c_custkey % 30 AS DOUBLE)"),
+    ("physical_heartrate", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(60 + c_custkey % 50 AS DOUBLE) END"),
+    ("physical_systolic_bp", "CAST(100 + c_custkey % 40 AS DOUBLE)"),
+    ("fitness_endurance_max_stage", "CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE CAST(c_custkey % 10 AS DOUBLE) END"),
+    ("fitness_endurance_time_mins", "CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE CAST(c_custkey % 7 AS DOUBLE) END"),
+    ("fitness_endurance_time_sec", "CASE WHEN c_custkey % 3 = 1 THEN NULL ELSE CAST(c_custkey % 60 AS DOUBLE) END"),
+    ("fgc_fgc_cu", "CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE CAST(c_custkey % 25 AS DOUBLE) END"),
+    ("fgc_fgc_cu_zone", "CASE WHEN c_custkey % 6 = 0 THEN NULL ELSE CAST(c_custkey % 2 AS DOUBLE) END"),
+    ("fgc_fgc_gsnd", "CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE CAST(10 + c_custkey % 20 AS DOUBLE) END"),
+    ("fgc_fgc_gsnd_zone", "CASE WHEN c_custkey % 8 = 0 THEN NULL ELSE CAST(1 + c_custkey % 3 AS DOUBLE) END"),
+    ("fgc_fgc_gsd", "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(12 + c_custkey % 18 AS DOUBLE) END"),
+    ("fgc_fgc_gsd_zone", "CASE WHEN c_custkey % 10 = 0 THEN NULL ELSE CAST(1 + c_custkey % 3 AS DOUBLE) END"),
+    ("bia_bia_fat", "CASE WHEN c_custkey % 5 = 2 THEN NULL ELSE CAST(5 + c_custkey % 20 AS DOUBLE) END"),
+    ("bia_bia_ffm", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(30 + c_custkey % 25 AS DOUBLE) END"),
+    ("paq_a_paq_a_total", "CASE WHEN c_custkey % 4 = 0 THEN CAST(1 + c_custkey % 4 AS DOUBLE) ELSE NULL END"),
+    ("paq_c_paq_c_total", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(1 + c_custkey % 5 AS DOUBLE) / 2 END"),
+    ("preint_eduhx_computerinternet_hoursday", "CASE WHEN c_custkey % 6 = 5 THEN NULL ELSE CAST(c_custkey % 4 AS DOUBLE) END"),
 ]
-PARTICIPANT_COLUMNS = [n for n, _ in PARTICIPANT_EXPRS] + ITEM_COLS + ["item_total"]
+PARTICIPANT_COLUMNS = [n for n, _ in PARTICIPANT_EXPRS] + ITEM_COLS + ["pciat_pciat_total"]
 TOTAL_NULL_MOD = 17
 
 
@@ -125,7 +125,7 @@ def participants(spark: SparkSession, sf_dir: str) -> DataFrame:
     joined = base.join(items, base["id"] == items["o_custkey"], "left").drop("o_custkey")
     total = F.when(F.col("id") % TOTAL_NULL_MOD == 0, F.lit(None).cast("double")).otherwise(
         sum(F.coalesce(F.col(c), F.lit(0.0)) for c in ITEM_COLS))
-    return joined.withColumn("item_total", total).select(*PARTICIPANT_COLUMNS)
+    return joined.withColumn("pciat_pciat_total", total).select(*PARTICIPANT_COLUMNS)
 
 
 def participants_sql() -> str:
@@ -134,7 +134,7 @@ def participants_sql() -> str:
     tot = " + ".join(f"coalesce({c}, 0.0)" for c in ITEM_COLS)
     cols = ", ".join(PARTICIPANT_COLUMNS)
     return (f"(SELECT {cols} FROM (SELECT b.*, {', '.join('i.' + c for c in ITEM_COLS)}, "
-            f"CASE WHEN b.id % {TOTAL_NULL_MOD} = 0 THEN NULL ELSE {tot.replace('coalesce(', 'coalesce(i.')} END AS item_total "
+            f"CASE WHEN b.id % {TOTAL_NULL_MOD} = 0 THEN NULL ELSE {tot.replace('coalesce(', 'coalesce(i.')} END AS pciat_pciat_total "
             f"FROM (SELECT {base} FROM customer) b LEFT JOIN "
             f"(SELECT o_custkey, {items} FROM orders GROUP BY o_custkey) i ON b.id = i.o_custkey) p)")
 
@@ -158,3 +158,25 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def scored_sql() -> str:
     cols = ", ".join(f"{e} AS {n}" for n, e in SCORED_EXPRS)
     return f"(SELECT {cols} FROM labels l JOIN documents d ON l.doc_id = d.doc_id)"
+
+
+# ------------------------------------------------------- second cohort
+# A second participant table (from `supplier`) with fewer columns and its
+# own category values: the "test" side for alignment and shared encoding.
+COHORT_B_EXPRS = [
+    ("id", "s_suppkey"),
+    ("basic_demos_enroll_season", "CASE WHEN s_suppkey % 6 = 0 THEN NULL WHEN s_nationkey % 3 = 0 THEN 'BUILDING' "
+                                  "WHEN s_nationkey % 3 = 1 THEN 'MACHINERY' ELSE 'RETAIL' END"),
+    ("physical_season", "CASE WHEN s_suppkey % 4 = 0 THEN NULL WHEN s_nationkey % 2 = 0 THEN 'Winter' ELSE 'Summer' END"),
+    ("basic_demos_age", "CAST(5 + s_suppkey % 18 AS INT)"),
+    ("physical_height", "CASE WHEN s_suppkey % 11 = 0 THEN NULL ELSE 40 + CAST(s_suppkey * 13 % 400 AS DOUBLE) / 10 END"),
+    ("physical_weight", "60 + s_acctbal / 100"),
+]
+
+
+def cohort_b(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/supplier.parquet").selectExpr(*[f"{e} AS {n}" for n, e in COHORT_B_EXPRS])
+
+
+def cohort_b_sql() -> str:
+    return "(SELECT " + ", ".join(f"{e} AS {n}" for n, e in COHORT_B_EXPRS) + " FROM supplier)"

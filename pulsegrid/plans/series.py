@@ -221,45 +221,60 @@ def _wear_aggs():
     return [share_true(flag == 0).alias("wear_time_ratio")]
 
 
-# grouping-set ids for (id, hour, weekday, bucket, relative_date, non_wear_flag):
-# a set's id has a 1 bit for every column it does not group by.
-_LEVEL_COLS = ["hour", "weekday", "bucket", "relative_date", "non_wear_flag"]
+# Row columns read by the single-level aggregates.
+_SINGLE_INPUTS = ["mag", "enmo", "hour", "night", "weekend", "light", "battery_voltage", "non_wear_flag",
+                  "d_anglez", "roll_mag", "pos", "x", "y", "z", "anglez",
+                  "mag_mean", "mag_std", "mag_p95", "light_p25", "light_p75", "battery_p10"]
 
+# Level tags of the two-level features; level 0 = the whole id.
+_LEVELS = {"hour": 1, "weekday": 2, "bucket": 3, "relative_date": 4, "non_wear_flag": 5}
 
-def _gid(level: str) -> int:
-    return sum(1 << (len(_LEVEL_COLS) - 1 - i) for i, c in enumerate(_LEVEL_COLS) if c != level)
 
+def _expand_levels(rows: DataFrame, levels, with_main: bool) -> DataFrame:
+    """One copy of each row per requested level, keyed by (id, lvl, lk):
+    the GROUPING SETS expansion written out, so the single-level aggregates
+    can be restricted to level 0 and everything shares one aggregation."""
+    tags = ([0] if with_main else []) + [_LEVELS[lv] for lv in levels]
+    lk = F.lit(None).cast("long")
+    for lv in levels:
+        lk = F.when(F.col("lvl") == _LEVELS[lv], F.col(lv).cast("long")).otherwise(lk)
+    return (rows.withColumn("lvl", F.explode(F.array(*[F.lit(t) for t in tags])))
+            .withColumn("lk", lk)
+            .where((F.col("lvl") == 0) | F.col("lk").isNotNull()))
+
+
+def _level_partials():
+    return [F.avg("mag").alias("m"), F.count(F.lit(1)).alias("cnt")]
 
-def two_level(rows: DataFrame, levels=("hour", "weekday", "bucket", "relative_date", "non_wear_flag")) -> DataFrame:
-    """Second-level features from one GROUPING SETS pass (map-side combined)."""
-    sets = [["id", lv] for lv in levels]
-    g = (rows.groupingSets(sets, "id", *_LEVEL_COLS)
-         .agg(F.avg("mag").alias("m"), F.count(F.lit(1)).alias("cnt"), F.grouping_id().alias("gid")))
 
+def _second_level(levels):
     def at(level):
-        return (F.col("gid") == _gid(level)) & F.col(level).isNotNull()
+        return F.col("lvl") == _LEVELS[level]
 
     hm = F.when(at("hour"), F.col("m"))
     aggs = []
     if "hour" in levels:
         aggs += [
             safe_div(F.stddev_samp(hm), F.avg(hm)).alias("circadian_regularity"),
-            F.max_by(F.col("hour"), F.when(at("hour") & F.col("m").isNotNull(),
-                                           F.struct(F.col("m"), -F.col("hour")))).alias("peak_activity_hour"),
-            F.min_by(F.col("hour"), F.when(at("hour") & F.col("m").isNotNull(),
-                                           F.struct(F.col("m"), F.col("hour")))).alias("trough_activity_hour"),
+            F.max_by(F.col("lk"), F.when(at("hour") & F.col("m").isNotNull(),
+                                         F.struct(F.col("m"), -F.col("lk")))).cast("int").alias("peak_activity_hour"),
+            F.min_by(F.col("lk"), F.when(at("hour") & F.col("m").isNotNull(),
+                                         F.struct(F.col("m"), F.col("lk")))).cast("int").alias("trough_activity_hour"),
             (F.max(hm) - F.min(hm)).alias("activity_range"),
         ]
     if "bucket" in levels:
-        tot = F.sum(F.when(at("bucket"), F.col("cnt")))
-        aggs += [F.sum(F.when(at("bucket"), F.col("cnt") * F.log(F.col("cnt")))).alias("_sclogc"), tot.alias("_btot")]
+        aggs += [F.sum(F.when(at("bucket"), F.col("cnt") * F.log(F.col("cnt")))).alias("_sclogc"),
+                 F.sum(F.when(at("bucket"), F.col("cnt"))).alias("_btot")]
     if "weekday" in levels:
         aggs.append(F.stddev_samp(F.when(at("weekday"), F.col("m"))).alias("activity_regularity"))
     if "relative_date" in levels:
         aggs.append(F.count_if(at("relative_date")).alias("days_monitored"))
     if "non_wear_flag" in levels:
         aggs.append(F.count_if(at("non_wear_flag")).alias("wear_consistency"))
-    out = g.groupBy("id").agg(*aggs)
+    return aggs
+
+
+def _finish_levels(out: DataFrame, levels) -> DataFrame:
     if "bucket" in levels:
         # entropy = -sum p ln p with p = c / N  ==  ln N - sum(c ln c) / N
         out = out.withColumn("movement_entropy", F.log(F.col("_btot")) - F.col("_sclogc") / F.col("_btot"))
@@ -267,24 +282,44 @@ def two_level(rows: DataFrame, levels=("hour", "weekday", "bucket", "relative_da
     return out
 
 
+def two_level(rows: DataFrame, levels=("hour", "weekday", "bucket", "relative_date", "non_wear_flag")) -> DataFrame:
+    """Second-level features from one expanded, map-side combined pass."""
+    g = _expand_levels(rows, levels, with_main=False).groupBy("id", "lvl", "lk").agg(*_level_partials())
+    return _finish_levels(g.groupBy("id").agg(*_second_level(levels)), levels)
+
+
 def _with_bucket(rows: DataFrame) -> DataFrame:
-    edges = F.array(*[F.col(f"mag_e{i}") for i in range(len(_EDGE_PROBS))])
+    edges = [F.col(f"mag_e{i}") for i in range(len(_EDGE_PROBS))]
     return rows.withColumn("bucket", qcut_bucket(F.col("mag"), edges))
 
 
 # ------------------------------------------------------------ composites
 def series_features(series: DataFrame, wear_scope: str = "filtered",
                     chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """All 58 features, one row per id (columns in ``FEATURE_NAMES`` order)."""
+    """All 58 features, one row per id (columns in ``FEATURE_NAMES`` order).
+
+    The sequenced rows feed a single aggregation: each row is expanded into
+    its level copies (whole id, hour, weekday, bucket, date, flag); level 0
+    carries the single-level aggregates, the others the per-level means and
+    counts; a second tiny ``groupBy(id)`` folds the levels together.
+    """
     rows = wear_rows(series)
     stats = id_stats(rows)
-    seq = sequenced(rows, chunk_rows).join(stats, "id")
-    seq = _with_bucket(seq)
-    main = seq.groupBy("id").agg(
-        *_daypart_aggs(), *_sleep_aggs(), *_intensity_aggs(), *_movement_aggs(), *_device_aggs(),
-        *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n"))
-    lv = two_level(seq)
-    out = main.join(lv, "id")
+    seq = _with_bucket(sequenced(rows, chunk_rows).join(stats, "id"))
+    levels = tuple(_LEVELS)
+    single = [*_daypart_aggs(), *_sleep_aggs(), *_intensity_aggs(), *_movement_aggs(), *_device_aggs(),
+              *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n")]
+    ex = _expand_levels(seq.withColumn("lmag", F.col("mag")), levels, with_main=True)
+    # level copies only feed the per-level mean/count; blank the rest so the
+    # single-level aggregates skip them cheaply
+    lvl0 = F.col("lvl") == 0
+    ex = ex.select("id", "lvl", "lk", "lmag", *[F.when(lvl0, F.col(c)).alias(c) for c in _SINGLE_INPUTS])
+    first = ex.groupBy("id", "lvl", "lk").agg(
+        F.avg("lmag").alias("m"), F.count(F.lit(1)).alias("cnt"), *single)
+    names = [n for n in first.columns if n not in ("id", "lvl", "lk", "m", "cnt")]
+    out = first.groupBy("id").agg(*_second_level(levels),
+                                  *[F.max(F.when(F.col("lvl") == 0, F.col(n))).alias(n) for n in names])
+    out = _finish_levels(out, levels)
     out = out.withColumn("activity_peaks_per_day", F.col("_peaks") / F.col("days_monitored"))
     if wear_scope == "filtered":
         out = out.withColumn("longest_wear_streak", F.col("_n"))
@@ -387,11 +422,11 @@ def wear_streaks(series: DataFrame, wear_scope: str, chunk_rows: int = DEFAULT_C
 def distance_by_grain(series: DataFrame) -> DataFrame:
     """Distance (magnitude x 5 s) per id summed by day, month and quarter,
     all three grains in one GROUPING SETS pass. ``grain`` names the level."""
-    from pulsegrid.functions.timeparts import timestamp_from_offset
     rows = wear_rows(series)
-    ts = timestamp_from_offset(F.col("relative_date"), time_of_day_ns(F.col("time_of_day")))
+    # pseudo-epoch calendar: day 0 = 1970-01-01 (time of day never crosses midnight)
+    date = F.date_add(F.lit("1970-01-01").cast("date"), F.col("relative_date"))
     r = rows.select("id", (F.col("mag") * STEP_SECONDS).alias("distance"),
-                    F.to_date(ts).alias("date"), F.date_trunc("month", ts).cast("date").alias("month"), "quarter")
+                    date.alias("date"), F.trunc(date, "month").alias("month"), "quarter")
     g = (r.groupingSets([["id", "date"], ["id", "month"], ["id", "quarter"]], "id", "date", "month", "quarter")
          .agg(F.sum("distance").alias("distance"), F.grouping_id().alias("gid")))
     grain = F.when(F.col("gid") == 3, "daily").when(F.col("gid") == 5, "monthly").otherwise("quarterly")
@@ -402,14 +437,14 @@ def distance_by_grain(series: DataFrame) -> DataFrame:
 def series_describe(series: DataFrame, columns=("x", "y", "z", "enmo", "anglez", "light", "battery_voltage")) -> DataFrame:
     """count / mean / std / min / 25 % / 50 % / 75 % / max per id and column,
     on the unfiltered rows, with exact quantiles (``DataFrame.summary`` uses
-    approximate ones). Long format: one row per (id, column)."""
+    approximate ones). Long format: one row per (id, field)."""
     long = series.select("id", F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("s")
-    ).select("id", "s.column", "s.value")
-    basic = long.groupBy("id", "column").agg(
+        F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns])).alias("s")
+    ).select("id", "s.field", "s.value")
+    basic = long.groupBy("id", "field").agg(
         F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
         F.min("value").alias("min"), F.max("value").alias("max"))
-    q = exact_quantiles(long, ["id", "column"], "value", [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
-    return basic.join(q, ["id", "column"], "left").select(
-        "id", "column", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
+    q = exact_quantiles(long, ["id", "field"], "value", [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
+    return basic.join(q, ["id", "field"], "left").select(
+        "id", "field", "count", "mean", "std", "min", "p25", "p50", "p75", "max")
 
