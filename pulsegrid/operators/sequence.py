@@ -71,17 +71,26 @@ def ordered_window(df: DataFrame, key, order: str,
     rows = rows.select("*", *[e.alias(n) for n, e in exprs.items()])
 
     if halo > 0:
-        head = (rows.where((F.col("_rn") < halo) & (F.col("_ci") > 1))
-                .select(*src_cols, "_chunk", "_rn", F.lit(False).alias("_halo")))
-        tail = (rows.where(F.col("_rn") >= F.col("_cnt") - halo)
-                .select(*src_cols, (F.col("_off") + F.col("_rn")).alias("_g"),
-                        F.explode(F.sequence(F.col("_ci") + 1, F.col("_ci") + halo)).alias("_ci")))
-        targets = chunks.select(*keys, "_ci", F.col("_chunk").alias("_tchunk"), F.col("_off").alias("_toff"))
-        halo_rows = (tail.join(targets, [*keys, "_ci"])
-                     .where(F.col("_g") >= F.col("_toff") - halo)
-                     .select(*src_cols, F.col("_tchunk").alias("_chunk"), F.lit(-1).alias("_rn"),
-                             F.lit(True).alias("_halo")))
-        fix_in = head.unionByName(halo_rows)
+        # one pass over the (few) rows near chunk borders emits both the
+        # chunk-head rows to recompute and the halo copies for later chunks
+        is_head = (F.col("_rn") < halo) & (F.col("_ci") > 1)
+        is_tail = F.col("_rn") >= F.col("_cnt") - halo
+        tgt = F.struct(F.col("_ci").alias("_tci"), F.lit(False).alias("_halo"))
+        empty = F.array().cast("array<struct<_tci:int,_halo:boolean>>")
+        targets_arr = F.concat(
+            F.when(is_head, F.array(tgt)).otherwise(empty),
+            F.when(is_tail, F.transform(F.sequence(F.col("_ci") + 1, F.col("_ci") + halo),
+                                        lambda t: F.struct(t.alias("_tci"), F.lit(True).alias("_halo"))))
+            .otherwise(empty))
+        border = (rows.where(is_head | is_tail)
+                  .select(*src_cols, "_rn", (F.col("_off") + F.col("_rn")).alias("_g"),
+                          F.explode(targets_arr).alias("_t"))
+                  .select(*src_cols, "_rn", "_g", "_t._tci", "_t._halo"))
+        targets = chunks.select(*keys, F.col("_ci").alias("_tci"), F.col("_chunk"), F.col("_off").alias("_toff"))
+        fix_in = (border.join(targets, [*keys, "_tci"])
+                  .where(~F.col("_halo") | (F.col("_g") >= F.col("_toff") - halo))
+                  .select(*src_cols, "_chunk", F.when(F.col("_halo"), F.lit(-1)).otherwise(F.col("_rn")).alias("_rn"),
+                          "_halo"))
         fixed = fix_in.select("*", *[e.alias(n) for n, e in columns(w).items()])
         fixed = fixed.where(~F.col("_halo")).select(
             *keys, "_chunk", "_rn", F.lit(True).alias("_fx"), *[F.col(n).alias(f"_fx_{n}") for n in names])

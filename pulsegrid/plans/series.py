@@ -221,11 +221,6 @@ def _wear_aggs():
     return [share_true(flag == 0).alias("wear_time_ratio")]
 
 
-# Row columns read by the single-level aggregates.
-_SINGLE_INPUTS = ["mag", "enmo", "hour", "night", "weekend", "light", "battery_voltage", "non_wear_flag",
-                  "d_anglez", "roll_mag", "pos", "x", "y", "z", "anglez",
-                  "mag_mean", "mag_std", "mag_p95", "light_p25", "light_p75", "battery_p10"]
-
 # Level tags of the two-level features; level 0 = the whole id.
 _LEVELS = {"hour": 1, "weekday": 2, "bucket": 3, "relative_date": 4, "non_wear_flag": 5}
 
@@ -298,27 +293,26 @@ def series_features(series: DataFrame, wear_scope: str = "filtered",
                     chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """All 58 features, one row per id (columns in ``FEATURE_NAMES`` order).
 
-    The sequenced rows feed a single aggregation: each row is expanded into
-    its level copies (whole id, hour, weekday, bucket, date, flag); level 0
-    carries the single-level aggregates, the others the per-level means and
-    counts; a second tiny ``groupBy(id)`` folds the levels together.
+    The sequenced rows feed two aggregations: the single-level features
+    keyed by id, and the per-level means / counts keyed by (id, level, key)
+    (hour, weekday, bucket, date, flag: the GROUPING SETS expansion written
+    out) that a second tiny ``groupBy(id)`` folds together. Both are
+    map-side combined, so a hot id is reduced before any shuffle.
     """
     rows = wear_rows(series)
     stats = id_stats(rows)
-    seq = _with_bucket(sequenced(rows, chunk_rows).join(stats, "id"))
+    seq = sequenced(rows, chunk_rows).join(stats, "id")
     levels = tuple(_LEVELS)
     single = [*_daypart_aggs(), *_sleep_aggs(), *_intensity_aggs(), *_movement_aggs(), *_device_aggs(),
               *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n")]
-    ex = _expand_levels(seq.withColumn("lmag", F.col("mag")), levels, with_main=True)
-    # level copies only feed the per-level mean/count; blank the rest so the
-    # single-level aggregates skip them cheaply
-    lvl0 = F.col("lvl") == 0
-    ex = ex.select("id", "lvl", "lk", "lmag", *[F.when(lvl0, F.col(c)).alias(c) for c in _SINGLE_INPUTS])
-    first = ex.groupBy("id", "lvl", "lk").agg(
-        F.avg("lmag").alias("m"), F.count(F.lit(1)).alias("cnt"), *single)
-    names = [n for n in first.columns if n not in ("id", "lvl", "lk", "m", "cnt")]
-    out = first.groupBy("id").agg(*_second_level(levels),
-                                  *[F.max(F.when(F.col("lvl") == 0, F.col(n))).alias(n) for n in names])
+    # the wide aggregate is keyed by id only and is the sole reader of the
+    # ordered rows; the level features need no order, so their slim
+    # aggregate (mean, count per (id, level, key)) reads the wear rows
+    main = seq.groupBy("id").agg(*single)
+    lv = (_expand_levels(_with_bucket(rows.join(stats, "id")), levels, with_main=False)
+          .groupBy("id", "lvl", "lk").agg(*_level_partials())
+          .groupBy("id").agg(*_second_level(levels)))
+    out = main.join(lv, "id")
     out = _finish_levels(out, levels)
     out = out.withColumn("activity_peaks_per_day", F.col("_peaks") / F.col("days_monitored"))
     if wear_scope == "filtered":
