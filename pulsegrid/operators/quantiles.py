@@ -95,14 +95,18 @@ def qcut_bucket(x: Column, edges: Sequence[Column]) -> Column:
 
     Intervals are (e[i-1], e[i]] with the minimum edge included in bucket 1;
     duplicate edges are dropped first (a repeated edge is counted once), so
-    ties share a bucket (unlike ``ntile``). Null x -> null.
+    ties share a bucket (unlike ``ntile``). Null x -> null; with fewer than
+    two distinct edges there is no interval and every bucket is null.
     """
     below = None
+    n_distinct = F.lit(1)
     for i, e in enumerate(edges):
         new = (e < x) if i == 0 else ((e < x) & (e != edges[i - 1]))
         term = F.coalesce(new.cast("int"), F.lit(0))
         below = term if below is None else below + term
-    return F.when(x.isNotNull(), F.greatest(F.lit(1), below))
+        if i:
+            n_distinct = n_distinct + F.coalesce((e != edges[i - 1]).cast("int"), F.lit(0))
+    return F.when(x.isNotNull() & (n_distinct >= 2), F.greatest(F.lit(1), below))
 
 
 def distinct_edge(edges: Sequence[Column], k: Column) -> Column:

@@ -116,7 +116,7 @@ def _moment_cols() -> list[tuple[str, str]]:
 def _bucket_expr() -> str:
     terms = ["CAST(qe[1] < mag AS INTEGER)"] + [
         f"CAST(qe[{i}] < mag AND qe[{i}] <> qe[{i - 1}] AS INTEGER)" for i in range(2, 12)]
-    return f"greatest(1, {' + '.join(terms)})"
+    return f"CASE WHEN len(list_distinct(qe)) >= 2 THEN greatest(1, {' + '.join(terms)}) END"
 
 
 def _two_level_ctes() -> str:
@@ -128,7 +128,7 @@ def _two_level_ctes() -> str:
         "min(hour) FILTER (WHERE m = mn) AS trough_activity_hour FROM hm JOIN hs ON hm.id = hs.id GROUP BY hm.id), "
         "wd AS (SELECT id, stddev_samp(m) AS activity_regularity FROM (SELECT id, weekday, avg(mag) AS m FROM wearx "
         "WHERE weekday IS NOT NULL GROUP BY id, weekday) GROUP BY id), "
-        f"bk AS (SELECT id, {_bucket_expr()} AS bucket FROM seq WHERE mag IS NOT NULL), "
+        f"bk AS (SELECT id, bucket FROM (SELECT id, {_bucket_expr()} AS bucket FROM seq) WHERE bucket IS NOT NULL), "
         "ent AS (SELECT id, ln(sum(c)) - sum(c * ln(c)) / sum(c) AS movement_entropy FROM "
         "(SELECT id, bucket, count(*) AS c FROM bk GROUP BY id, bucket) GROUP BY id)"
     )
@@ -165,7 +165,7 @@ def series_features_sql() -> str:
             "CAST(count(*) AS BIGINT) AS longest_wear_streak, "
             "CAST(count(DISTINCT relative_date) AS BIGINT) AS days_monitored FROM seq GROUP BY id) "
             f"SELECT m.id, {cols} FROM m JOIN hs ON m.id = hs.id JOIN pk ON m.id = pk.id "
-            "JOIN wd ON m.id = wd.id JOIN ent ON m.id = ent.id")
+            "JOIN wd ON m.id = wd.id LEFT JOIN ent ON m.id = ent.id")
 
 
 def _series_double_cols(names) -> list[str]:
