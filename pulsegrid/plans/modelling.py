@@ -63,7 +63,7 @@ def ensemble_members(max_iter: int = 20, max_depth: int = 4, seed: int = SEED) -
                               featureSubsetStrategy="0.8", seed=seed),
         "gbt_b": GBTRegressor(maxIter=max_iter, stepSize=0.1, maxDepth=max_depth - 1, subsamplingRate=0.75,
                               featureSubsetStrategy="0.5", minInstancesPerNode=5, seed=seed),
-        "rf": RandomForestRegressor(numTrees=max(10, max_iter), maxDepth=max_depth + 2, seed=seed),
+        "rf": RandomForestRegressor(numTrees=max(5, max_iter), maxDepth=max_depth + 2, seed=seed),
     }
 
 
