@@ -54,31 +54,33 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
         F.coalesce(F.sum("_btot").over(kw.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)),
                    F.lit(0)).alias("_boff"),
         F.sum("_btot").over(kw).alias("_n"))
+    # target ranks per prob, computed once per (group, block) on the small table:
+    # _a{i} = floor(p (n-1)), _b{i} = min(_a{i} + 1, n - 1)
+    n1 = (F.col("_n") - 1).cast("double")
+    tcols = []
+    for i, p in enumerate(probs):
+        t1 = F.floor(F.lit(float(p)) * n1)
+        tcols += [t1.alias(f"_ta{i}"), F.least(t1 + 1, F.col("_n") - 1).alias(f"_tb{i}")]
+    blocks = blocks.select("*", *tcols)
     r = s.join(blocks, [*keys, "_blk"])
     # this value covers ranks [_lo, _hi] (0-based)
-    r = r.select(*keys, "_v", "_n",
-                 (F.col("_boff") + F.col("_cum") - F.col("_m")).alias("_lo"),
-                 (F.col("_boff") + F.col("_cum") - 1).alias("_hi"))
-    n1 = (F.col("_n") - 1).cast("double")
-    targets = []
-    for p in probs:
-        vi = F.lit(float(p)) * n1
-        t1 = F.floor(vi)
-        t2 = F.least(t1 + 1, F.col("_n") - 1)
-        targets.append((vi, t1, t2))
+    lo = F.col("_boff") + F.col("_cum") - F.col("_m")
+    hi = F.col("_boff") + F.col("_cum") - 1
+    r = r.select(*keys, "_v", "_n", lo.alias("_lo"), hi.alias("_hi"),
+                 *[F.col(f"_t{x}{i}") for i in range(len(probs)) for x in "ab"])
 
     def covers(t):
-        return (F.col("_lo") <= t) & (F.col("_hi") >= t)
+        return (F.col("_lo") <= F.col(t)) & (F.col("_hi") >= F.col(t))
 
     keep = None
-    for _, t1, t2 in targets:
-        c = covers(t1) | covers(t2)
+    for i in range(len(probs)):
+        c = covers(f"_ta{i}") | covers(f"_tb{i}")
         keep = c if keep is None else keep | c
     picked = r.where(keep)
     aggs = [F.max("_n").alias("_n")]
-    for i, (_, t1, t2) in enumerate(targets):
-        aggs.append(F.max(F.when(covers(t1), F.col("_v"))).alias(f"_a{i}"))
-        aggs.append(F.max(F.when(covers(t2), F.col("_v"))).alias(f"_b{i}"))
+    for i in range(len(probs)):
+        aggs.append(F.max(F.when(covers(f"_ta{i}"), F.col("_v"))).alias(f"_a{i}"))
+        aggs.append(F.max(F.when(covers(f"_tb{i}"), F.col("_v"))).alias(f"_b{i}"))
     g = picked.groupBy(*keys).agg(*aggs)
     out = [*keys]
     for i, p in enumerate(probs):
