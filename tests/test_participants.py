@@ -68,3 +68,16 @@ def test_required_columns(spark):
         assert "physical_weight" in str(e)
     else:
         raise AssertionError("expected ValueError")
+
+
+def test_drift_and_dictionary(spark):
+    from pulsegrid.operators.schema import align_to, column_drift, dictionary_lookup, drift_report
+    a = spark.createDataFrame([(1, 2.0, 3.0, 1)], "id int, x double, pciat_total double, recalc_sii int")
+    b = spark.createDataFrame([(1, 2.0, "s")], "id int, x double, season string")
+    only_a, only_b = column_drift(a, b)
+    assert only_a == {"pciat_total", "recalc_sii"} and only_b == {"season"}
+    assert [tuple(r) for r in drift_report(spark, a, b).collect()] == [
+        ("left", "pciat_total"), ("left", "recalc_sii"), ("right", "season")]
+    assert align_to(a, b, keep=["recalc_sii"]).columns == ["id", "x", "recalc_sii"]
+    d = spark.createDataFrame([("pciat_total", "total score"), ("x", "a measure")], "field string, description string")
+    assert [r["field"] for r in dictionary_lookup(d, only_a).collect()] == ["pciat_total"]

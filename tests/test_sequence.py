@@ -71,3 +71,15 @@ def test_longest_run_matches_pandas(spark):
 def test_longest_run_null_breaks(spark):
     df = spark.createDataFrame([("a", 0, 0), ("a", 1, None), ("a", 2, 0), ("a", 3, 0)], "id string, step long, flag int")
     assert longest_run(df, "id", "step", F.col("flag") == 0, "run", chunk_rows=1).collect()[0]["run"] == 2
+
+
+def test_row_windows_are_keyed_by_chunk(spark):
+    """No window over series rows is partitioned by the subject alone."""
+    import re
+    df = _frame(spark)
+    plan = ordered_window(df, "id", "step", _cols, halo=11, chunk_rows=16)._jdf.queryExecution().executedPlan().toString()
+    specs = re.findall(r"Window \[.*?\], \[([^\]]*)\], \[[^\]]*\]", plan)
+    row_windows = [s for s in specs if "_chunk" in s]
+    assert row_windows, plan
+    # the only id-only window runs over the per-chunk table (columns _chunk/_cnt)
+    assert all("_chunk" in s or re.fullmatch(r"id#\d+", s.strip()) for s in specs)
