@@ -52,17 +52,26 @@ def chunk_table(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_
 def ordered_window(df: DataFrame, key, order: str,
                    columns: Callable[[WindowSpec], dict[str, Column]],
                    halo: int, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                   position: str | None = "pos") -> DataFrame:
+                   position: str | None = "pos", carry: DataFrame | None = None) -> DataFrame:
     """Add window columns ordered by ``order`` within ``key``.
 
     ``columns(w)`` returns named expressions over the window spec ``w``; their
     frames may look back at most ``halo`` rows (``lag(c, k)`` with k <= halo,
     ``rowsBetween(-k, 0)`` with k <= halo). ``position`` names an optional
     0-based row-position column (``row_number() - 1`` over the whole key).
+
+    ``carry`` is an optional per-key table (one row per key, e.g. per-subject
+    statistics) whose columns are attached to every row. It is joined to the
+    small chunk table, so it reaches the rows through the (key, chunk)
+    exchange the window needs anyway: no extra shuffle of the rows by key.
     """
     keys = _keys(key)
     src_cols = df.columns
     chunks = chunk_table(df, keys, order, chunk_rows)
+    carried: list[str] = []
+    if carry is not None:
+        carried = [c for c in carry.columns if c not in keys]
+        chunks = chunks.join(carry, keys, "left")
     base = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_rows)))
     w = Window.partitionBy(*keys, "_chunk").orderBy(order)
     rows = base.join(chunks, [*keys, "_chunk"]).withColumn("_rn", F.row_number().over(w) - 1)
@@ -86,20 +95,21 @@ def ordered_window(df: DataFrame, key, order: str,
                   .select(*src_cols, "_rn", (F.col("_off") + F.col("_rn")).alias("_g"),
                           F.explode(targets_arr).alias("_t"))
                   .select(*src_cols, "_rn", "_g", "_t._tci", "_t._halo"))
-        targets = chunks.select(*keys, F.col("_ci").alias("_tci"), F.col("_chunk"), F.col("_off").alias("_toff"))
+        targets = chunks.select(*keys, F.col("_ci").alias("_tci"), F.col("_chunk"), F.col("_off").alias("_toff"),
+                                *carried)
         fix_in = (border.join(targets, [*keys, "_tci"])
                   .where(~F.col("_halo") | (F.col("_g") >= F.col("_toff") - halo))
-                  .select(*src_cols, "_chunk", F.when(F.col("_halo"), F.lit(-1)).otherwise(F.col("_rn")).alias("_rn"),
-                          "_halo"))
+                  .select(*src_cols, *carried, "_chunk",
+                          F.when(F.col("_halo"), F.lit(-1)).otherwise(F.col("_rn")).alias("_rn"), "_halo"))
         fixed = fix_in.select("*", *[e.alias(n) for n, e in columns(w).items()])
         fixed = fixed.where(~F.col("_halo")).select(
             *keys, "_chunk", "_rn", F.lit(True).alias("_fx"), *[F.col(n).alias(f"_fx_{n}") for n in names])
         rows = rows.join(fixed, [*keys, "_chunk", "_rn"], "left")
         rows = rows.select(
-            *src_cols, "_off", "_rn",
+            *src_cols, *carried, "_off", "_rn",
             *[F.when(F.col("_fx"), F.col(f"_fx_{n}")).otherwise(F.col(n)).alias(n) for n in names])
     else:
-        rows = rows.select(*src_cols, "_off", "_rn", *names)
+        rows = rows.select(*src_cols, *carried, "_off", "_rn", *names)
 
     if position:
         rows = rows.withColumn(position, F.col("_off") + F.col("_rn"))

@@ -128,17 +128,19 @@ def id_quantiles(rows: DataFrame, metrics=(0, 1, 2)) -> DataFrame:
     return q.groupBy("id").agg(*out)
 
 
-def sequenced(rows: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def sequenced(rows: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: DataFrame | None = None) -> DataFrame:
     """Ordered columns over the wear rows of each id (by step):
     ``d_anglez`` = |anglez - previous anglez|, ``roll_mag`` = 12-row mean
-    (null until 12 rows), ``pos`` = 0-based row position."""
+    (null until 12 rows), ``pos`` = 0-based row position. ``carry``: per-id
+    statistics attached through the chunk table (no shuffle of rows by id)."""
     def cols(w):
         r = w.rowsBetween(-(ROLLING_ROWS - 1), 0)
         return {
             "d_anglez": F.abs(F.col("anglez") - F.lag("anglez", 1).over(w)),
             "roll_mag": F.when(F.count("mag").over(r) == ROLLING_ROWS, F.avg("mag").over(r)),
         }
-    return ordered_window(rows, "id", "step", cols, halo=ROLLING_ROWS - 1, chunk_rows=chunk_rows, position="pos")
+    return ordered_window(rows, "id", "step", cols, halo=ROLLING_ROWS - 1, chunk_rows=chunk_rows, position="pos",
+                          carry=carry)
 
 
 # ---------------------------------------------------------- feature groups
@@ -293,27 +295,34 @@ def series_features(series: DataFrame, wear_scope: str = "filtered",
                     chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """All 58 features, one row per id (columns in ``FEATURE_NAMES`` order).
 
-    The sequenced rows feed two aggregations: the single-level features
-    keyed by id, and the per-level means / counts keyed by (id, level, key)
-    (hour, weekday, bucket, date, flag: the GROUPING SETS expansion written
-    out) that a second tiny ``groupBy(id)`` folds together. Both are
-    map-side combined, so a hot id is reduced before any shuffle.
+    Exchanges of row data: the (id, chunk) exchange of the ordered window
+    (which also carries the per-id statistics via the chunk table), the
+    exchanges of the statistics passes, and the partial aggregates. The
+    single-level features (including the 10 bucket counters of the entropy)
+    are one aggregate keyed by id; the per-level means / counts (hour,
+    weekday, date, flag: the GROUPING SETS expansion written out) are a slim
+    aggregate keyed by (id, level, key) folded by a second tiny
+    ``groupBy(id)``. Both are map-side combined, so a hot id is reduced
+    before any shuffle.
     """
     rows = wear_rows(series)
     stats = id_stats(rows)
-    seq = sequenced(rows, chunk_rows).join(stats, "id")
-    levels = tuple(_LEVELS)
+    # per-id statistics ride on the chunk table into the (id, chunk) exchange
+    seq = _with_bucket(sequenced(rows, chunk_rows, carry=stats))
     single = [*_daypart_aggs(), *_sleep_aggs(), *_intensity_aggs(), *_movement_aggs(), *_device_aggs(),
-              *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n")]
-    # the wide aggregate is keyed by id only and is the sole reader of the
-    # ordered rows; the level features need no order, so their slim
-    # aggregate (mean, count per (id, level, key)) reads the wear rows
+              *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n"),
+              # equal-frequency bucket sizes: a bounded set of counters
+              *[F.count_if(F.col("bucket") == b).alias(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]]
     main = seq.groupBy("id").agg(*single)
-    lv = (_expand_levels(_with_bucket(rows.join(stats, "id")), levels, with_main=False)
-          .groupBy("id", "lvl", "lk").agg(*_level_partials())
+    # level features need neither order nor statistics: slim aggregate on the wear rows
+    levels = ("hour", "weekday", "relative_date", "non_wear_flag")
+    lv = (_expand_levels(rows, levels, with_main=False).groupBy("id", "lvl", "lk").agg(*_level_partials())
           .groupBy("id").agg(*_second_level(levels)))
     out = main.join(lv, "id")
-    out = _finish_levels(out, levels)
+    counts = [F.col(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]
+    total = sum(counts)
+    clogc = sum(F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0)) for c in counts)
+    out = out.withColumn("movement_entropy", F.when(total > 0, F.log(total) - clogc / total))
     out = out.withColumn("activity_peaks_per_day", F.col("_peaks") / F.col("days_monitored"))
     if wear_scope == "filtered":
         out = out.withColumn("longest_wear_streak", F.col("_n"))
@@ -346,7 +355,7 @@ def sleep_quality(series: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Da
     mom = rows.groupBy("id").agg(F.avg("mag").alias("mag_mean"), F.stddev_samp("mag").alias("mag_std"))
     def cols(w):
         return {"d_anglez": F.abs(F.col("anglez") - F.lag("anglez", 1).over(w))}
-    seq = ordered_window(rows, "id", "step", cols, halo=1, chunk_rows=chunk_rows, position=None).join(mom, "id")
+    seq = ordered_window(rows, "id", "step", cols, halo=1, chunk_rows=chunk_rows, position=None, carry=mom)
     return seq.groupBy("id").agg(*_sleep_aggs())
 
 
@@ -380,7 +389,7 @@ def ordered_movement(series: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) ->
     """Features 16, 27, 28 (lag and rolling windows in step order)."""
     rows = wear_rows(series)
     mom = rows.groupBy("id").agg(F.avg("mag").alias("mag_mean"), F.stddev_samp("mag").alias("mag_std"))
-    seq = sequenced(rows, chunk_rows).join(mom, "id")
+    seq = sequenced(rows, chunk_rows, carry=mom)
     n = F.count(F.lit(1))
     night = F.col("night")
     return seq.groupBy("id").agg(
@@ -394,8 +403,8 @@ def device_usage(series: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> Dat
     """Features 34-39 (light and battery)."""
     rows = wear_rows(series)
     q = id_quantiles(rows, metrics=(1, 2))
-    pos = ordered_window(rows, "id", "step", lambda w: {}, halo=0, chunk_rows=chunk_rows, position="pos")
-    return pos.join(q, "id").groupBy("id").agg(*_device_aggs())
+    pos = ordered_window(rows, "id", "step", lambda w: {}, halo=0, chunk_rows=chunk_rows, position="pos", carry=q)
+    return pos.groupBy("id").agg(*_device_aggs())
 
 
 def moments_and_trends(series: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
