@@ -19,8 +19,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.operators.fitted import fit_row
+from pulsegrid.operators.metrics import grid_round, half_even_class, qwk, threshold_grid
 from pulsegrid.operators.quantiles import exact_quantiles
 from pulsegrid.operators.ranking import stratified_folds
+from pulsegrid.session import ensure_checkpoint_dir
 
 SEED = 42
 N_SPLITS = 5
@@ -115,4 +117,32 @@ def train_oof(train: DataFrame, test: DataFrame | None, label: str, features: Se
         for p in test_parts[1:]:
             u = u.unionByName(p)
         tp = u.groupBy("id").agg(F.avg("score").alias("score"))
-    return oof.select("id", "fold", F.col("y").cast("int").alias("y"), "score"), tp
+    # cut the lineage of k x members model applications in the shared
+    # checkpoint folder, then release the fold table
+    ensure_checkpoint_dir(train.sparkSession)
+    oof = oof.select("id", "fold", F.col("y").cast("int").alias("y"), "score").checkpoint(eager=True)
+    if tp is not None:
+        tp = tp.checkpoint(eager=True)
+    folded.unpersist()
+    return oof, tp
+
+
+def evaluate_oof(oof: DataFrame, test_scores: DataFrame | None = None, step: float = 0.1):
+    """The evaluation after the folds: per-fold QWK of half-even rounded
+    scores, its mean, grid-tuned thresholds with the tuned QWK on the same
+    rows, and (if given) the tuned classes of the bagged test scores.
+
+    Returns (per_fold[fold, qwk, n], summary[mean_qwk, t1, t2, t3, tuned_qwk], test[id, sii] or None)."""
+    rounded = oof.withColumn("p", half_even_class(F.col("score")))
+    per_fold = qwk(rounded, "y", "p", by=["fold"])
+    best = fit_row(threshold_grid(oof, "y", "score", step=step))
+    t = [F.lit(best["t1"]), F.lit(best["t2"]), F.lit(best["t3"])]
+    tuned = oof.withColumn("p", grid_round(F.col("score"), *t, step=step))
+    tuned_q = fit_row(qwk(tuned, "y", "p"))["qwk"]
+    summary = per_fold.agg(F.avg("qwk").alias("mean_qwk")).select(
+        "mean_qwk", F.lit(best["t1"]).alias("t1"), F.lit(best["t2"]).alias("t2"), F.lit(best["t3"]).alias("t3"),
+        F.lit(tuned_q).cast("double").alias("tuned_qwk"))
+    test = None
+    if test_scores is not None:
+        test = test_scores.select("id", grid_round(F.col("score"), *t, step=step).alias("sii"))
+    return per_fold, summary, test

@@ -48,3 +48,18 @@ def test_stream_matches_batch(spark):
     diff = got.select("id", "days_monitored", "longest_wear_streak").exceptAll(
         exp.select("id", "days_monitored", "longest_wear_streak"))
     assert diff.count() == 0
+
+
+def test_wear_filter_and_pruning_reach_the_scan(spark):
+    """On a store with a real flag column, the wear filter is pushed into the
+    Parquet reader, only the needed columns are read, and an id filter
+    prunes partition directories."""
+    root = tempfile.mkdtemp(prefix="pg-pd-", dir="/tmp")
+    _store(spark, root)
+    back = read_series(spark, f"{root}/series")
+    plan = S.daypart_activity(back.where(F.col("id") == "00000003"))._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(non_wear_flag,0)" in plan, plan
+    read_schema = plan.split("ReadSchema: ")[1].split("\n")[0]
+    for unused in ("battery_voltage", "anglez", "light", "relative_date"):
+        assert unused not in read_schema, read_schema
+    assert "PartitionFilters: [isnotnull(id" in plan and "= 00000003" in plan
