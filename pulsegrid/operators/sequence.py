@@ -17,6 +17,13 @@ unique-per-key) ordering column, ``chunk = floor(order / chunk_rows)``:
 
 The result is identical to one window over the whole key for frames that
 look back at most ``halo`` rows.
+
+Sizing: a key spanning order values [a, b] has (b - a) / chunk_rows chunks,
+and the per-key window of the chunk table holds that many (tiny) rows. With
+a per-subject step counter (dense order) that is rows / chunk_rows, e.g.
+about 3 million chunk rows for a subject with 10^12 rows at the default
+chunk size; an order column that is very sparse per key should be
+re-based (or chunk_rows raised) so that chunks stay populated.
 """
 
 from __future__ import annotations
