@@ -13,7 +13,8 @@ unique-per-key) ordering column, ``chunk = floor(order / chunk_rows)``:
 3. the first ``halo`` rows of each chunk, whose frames reach back into
    earlier chunks, are recomputed on a small side table made of those head
    rows plus the ``halo`` rows that precede the chunk (taken from the tails
-   of up to ``halo`` earlier non-empty chunks), then patched back.
+   of up to ``halo`` earlier non-empty chunks); the result is the other rows
+   plus the recomputed heads (a union: no join back, no second shuffle).
 
 The result is identical to one window over the whole key for frames that
 look back at most ``halo`` rows.
@@ -106,15 +107,15 @@ def ordered_window(df: DataFrame, key, order: str,
                                 *carried)
         fix_in = (border.join(targets, [*keys, "_tci"])
                   .where(~F.col("_halo") | (F.col("_g") >= F.col("_toff") - halo))
-                  .select(*src_cols, *carried, "_chunk",
+                  .select(*src_cols, *carried, "_chunk", F.col("_toff").alias("_off"),
                           F.when(F.col("_halo"), F.lit(-1)).otherwise(F.col("_rn")).alias("_rn"), "_halo"))
-        fixed = fix_in.select("*", *[e.alias(n) for n, e in columns(w).items()])
-        fixed = fixed.where(~F.col("_halo")).select(
-            *keys, "_chunk", "_rn", F.lit(True).alias("_fx"), *[F.col(n).alias(f"_fx_{n}") for n in names])
-        rows = rows.join(fixed, [*keys, "_chunk", "_rn"], "left")
-        rows = rows.select(
-            *src_cols, *carried, "_off", "_rn",
-            *[F.when(F.col("_fx"), F.col(f"_fx_{n}")).otherwise(F.col(n)).alias(n) for n in names])
+        fixed = (fix_in.select("*", *[e.alias(n) for n, e in columns(w).items()])
+                 .where(~F.col("_halo")).select(*src_cols, *carried, "_off", "_rn", *names))
+        # rows whose frames stay inside their chunk are final; the chunk heads
+        # come from the recomputed side table (a union, so the big side keeps
+        # its (key, chunk) partitioning and is not shuffled again)
+        kept = rows.where(~is_head).select(*src_cols, *carried, "_off", "_rn", *names)
+        rows = kept.unionByName(fixed)
     else:
         rows = rows.select(*src_cols, *carried, "_off", "_rn", *names)
 
