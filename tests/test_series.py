@@ -67,3 +67,17 @@ def test_hot_subject_split_across_chunks(spark):
     bad = [(c, i) for c in S.FEATURE_NAMES for i in exp.index
            if not O.close(got.loc[i, c], exp.loc[i, c], rel=1e-7)]
     assert not bad, bad[:10]
+
+
+def test_peak_hour_tie_and_empty_weekend(spark):
+    """Equal hourly means at hours 3 and 9 -> peak hour 3 (first on ties);
+    no weekend rows -> weekend ratio is missing, not an error."""
+    ns = 3_600_000_000_000
+    rows = []
+    for i, (hour, x) in enumerate([(3, 1.0), (9, 1.0), (12, 0.5), (3, 1.0), (9, 1.0)]):
+        rows.append(("a", i, x, 0.0, 0.0, 0.0, 0.0, 0, 10.0, 4000.0 - i, hour * ns, 2, 1, 0))
+    ser = spark.createDataFrame(rows, S.SERIES_SCHEMA)
+    r = S.series_features(ser, chunk_rows=2).collect()[0]
+    assert r["peak_activity_hour"] == 3 and r["trough_activity_hour"] == 12
+    assert r["weekend_activity_ratio"] is None
+    assert r["good_sleep_cycle"] == 1 and r["light_exposure_during_sleep"] == 10.0
