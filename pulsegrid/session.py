@@ -25,6 +25,9 @@ SCALE_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # the per-id feature aggregate carries ~250 buffer fields; keep it in
+    # whole-stage codegen instead of the slower non-codegen path (limit 100)
+    "spark.sql.codegen.maxFields": "1000",
 }
 
 
