@@ -166,3 +166,17 @@ def longest_run(df: DataFrame, key, order: str, member: Column, name: str = "lon
     return out.select(*keys, F.greatest(trailing, F.coalesce(F.col("_inner"), F.lit(0)),
                                         F.coalesce(F.col("_cross"), F.lit(0))).cast("long").alias(name))
 
+
+
+def attach_by_chunk(df: DataFrame, key, order: str, table: DataFrame,
+                    chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """Attach a per-key table (one row per key) to every row without a join
+    on the key alone: the table is joined to the small (key, chunk) table
+    and the rows meet it on (key, chunk), so a hot key's rows are spread
+    over its chunks (an explicit, deterministic salt) instead of landing in
+    one join partition."""
+    keys = _keys(key)
+    chunks = (df.select(*keys, F.floor(F.col(order) / F.lit(chunk_rows)).alias("_chunk")).distinct()
+              .join(table, keys, "left"))
+    return (df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_rows)))
+            .join(chunks, [*keys, "_chunk"], "left").drop("_chunk"))

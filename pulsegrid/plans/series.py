@@ -29,7 +29,7 @@ from pulsegrid.functions.nulls import share_true
 from pulsegrid.functions.numeric import corrected_kurtosis, corrected_skewness, guarded_cv, safe_div
 from pulsegrid.functions.timeparts import DAY_PARTS, day_part, hour_of_day, time_of_day_ns, weekend_flag
 from pulsegrid.operators.quantiles import decile_probs, exact_quantiles, qcut_bucket
-from pulsegrid.operators.sequence import DEFAULT_CHUNK_ROWS, longest_run, ordered_window
+from pulsegrid.operators.sequence import DEFAULT_CHUNK_ROWS, attach_by_chunk, longest_run, ordered_window
 
 SERIES_SCHEMA = T.StructType([
     T.StructField("id", T.StringType()),
@@ -365,7 +365,7 @@ def intensity_ratios(series: DataFrame) -> DataFrame:
     mom = rows.groupBy("id").agg(F.avg("mag").alias("mag_mean"), F.stddev_samp("mag").alias("mag_std"),
                                  F.count_distinct("relative_date").alias("days_monitored"))
     p95 = exact_quantiles(rows, "id", "mag", [0.95], names=["mag_p95"])
-    j = rows.join(mom.join(p95, "id"), "id")
+    j = attach_by_chunk(rows, "id", "step", mom.join(p95, "id"))
     out = j.groupBy("id").agg(*_intensity_aggs(), F.first("days_monitored").alias("days_monitored"))
     return out.select("id", "sedentary_time_ratio", "moderate_activity_ratio", "vigorous_activity_ratio",
                       (F.col("_peaks") / F.col("days_monitored")).alias("activity_peaks_per_day"),
@@ -381,7 +381,7 @@ def movement_entropy(series: DataFrame) -> DataFrame:
     """Feature 26: entropy of equal-frequency magnitude buckets."""
     rows = wear_rows(series)
     edges = id_quantiles(rows, metrics=(0,))
-    b = _with_bucket(rows.join(edges, "id"))
+    b = _with_bucket(attach_by_chunk(rows, "id", "step", edges))
     return two_level(b, levels=("bucket",))
 
 
