@@ -83,3 +83,13 @@ def test_row_windows_are_keyed_by_chunk(spark):
     assert row_windows, plan
     # the only id-only window runs over the per-chunk table (columns _chunk/_cnt)
     assert all("_chunk" in s or re.fullmatch(r"id#\d+", s.strip()) for s in specs)
+
+
+def test_attach_by_chunk_equals_key_join(spark):
+    from pulsegrid.operators.sequence import attach_by_chunk
+    df = _frame(spark)
+    table = df.groupBy("id").agg(F.avg("v").alias("m"), F.count(F.lit(1)).alias("n"))
+    got = attach_by_chunk(df, "id", "step", table, chunk_rows=16)
+    exp = df.join(table, "id", "left")
+    assert got.count() == exp.count()
+    assert got.select(sorted(exp.columns)).exceptAll(exp.select(sorted(exp.columns))).count() == 0
