@@ -22,7 +22,8 @@ PHYSICAL = ["physical_bmi", "physical_height", "physical_weight", "physical_wais
 
 
 def rnd(sql: str, cols) -> str:
-    rep = ", ".join(f"round({c}, {D}) AS {c}" for c in cols)
+    # "+ 0.0" turns a rounded -0.0 into 0.0, as Spark's decimal rounding does
+    rep = ", ".join(f"round({c}, {D}) + 0.0 AS {c}" for c in cols)
     return f"SELECT * REPLACE ({rep}) FROM ({sql}) _r"
 
 
@@ -352,7 +353,7 @@ def participant_queries() -> dict[str, str]:
     corr = " UNION ALL ".join(f"SELECT '{c}' AS field, corr({c}, complete_resp_total) AS corr FROM pt "
                               "WHERE sii IS NOT NULL" for c in PHYSICAL)
     q["corr_table"] = rnd(f"WITH {P}, {target_cte()}, c AS ({corr}) SELECT field, corr, "
-                          "round_even(corr, 2) * 100 AS corr_pct FROM c", ["corr", "corr_pct"])
+                          "round_even(corr, 2) * 100 + 0.0 AS corr_pct FROM c", ["corr", "corr_pct"])
     q["head_rows"] = rnd(f"WITH {P} SELECT id, basic_demos_age, physical_height, physical_weight FROM p "
                          "ORDER BY id LIMIT 5", ["physical_height", "physical_weight"])
     q["weight_floor_sorted"] = rnd(f"WITH {P} SELECT id, physical_weight FROM p WHERE physical_weight >= 10 "
