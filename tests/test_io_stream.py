@@ -63,3 +63,27 @@ def test_wear_filter_and_pruning_reach_the_scan(spark):
     for unused in ("battery_voltage", "anglez", "light", "relative_date"):
         assert unused not in read_schema, read_schema
     assert "PartitionFilters: [isnotnull(id" in plan and "= 00000003" in plan
+
+
+def test_read_participants_types_by_name(spark):
+    import pandas as pd
+    from pyspark.sql import types as T
+
+    from pulsegrid.sources.io import read_participants, write_csv
+    root = tempfile.mkdtemp(prefix="pg-csv-", dir="/tmp")
+    pd.DataFrame({
+        "id": ["00aa11bb", "00cc22dd"], "Basic_Demos-Enroll_Season": ["Fall", None],
+        "Basic_Demos-Age": ["10", "12.0"], "Physical-BMI": ["16.5", None], "PCIAT-PCIAT_01": ["3", "5"],
+        "sii": ["1", None],
+    }).to_csv(f"{root}/p.csv", index=False)
+    df, names = read_participants(spark, f"{root}/p.csv")
+    t = dict((f.name, f.dataType) for f in df.schema.fields)
+    assert t["id"] == T.StringType() and t["basic_demos_enroll_season"] == T.StringType()
+    assert t["basic_demos_age"] == T.IntegerType() and t["sii"] == T.IntegerType()
+    assert t["physical_bmi"] == T.DoubleType() and t["pciat_pciat_01"] == T.DoubleType()
+    rows = {r["id"]: r for r in df.collect()}
+    assert rows["00cc22dd"]["basic_demos_age"] == 12 and rows["00cc22dd"]["physical_bmi"] is None
+    assert names["basic_demos_enroll_season"] == "Basic_Demos-Enroll_Season"
+    write_csv(df, f"{root}/out", names)
+    back = spark.read.option("header", True).csv(f"{root}/out")
+    assert "Basic_Demos-Enroll_Season" in back.columns and back.count() == 2

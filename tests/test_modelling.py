@@ -33,3 +33,15 @@ def test_oof_and_evaluation(spark):
     assert s["tuned_qwk"] >= max(r["qwk"] for r in per_fold.collect()) - 0.5
     assert s["tuned_qwk"] > 0.5  # the feature carries the class
     assert set(r["sii"] for r in sub.collect()) <= {0, 1, 2, 3}
+
+
+def test_score_cohort_majority(spark):
+    from pulsegrid.plans.scoring import score_cohort
+    train = _table(spark, 200, seed=4)
+    test = _table(spark, 30, seed=5).drop("y")
+    small = ensemble_members(max_iter=2, max_depth=2)
+    final, summaries = score_cohort(train, test, "y", ["a", "b"],
+                                    ensembles=[{"gbt_a": small["gbt_a"]}, {"rf": small["rf"]}], step=0.5)
+    rows = final.collect()
+    assert len(rows) == 30 and all(r["sii"] in (0, 1, 2, 3) for r in rows)
+    assert len(summaries) == 2 and summaries[0].collect()[0]["tuned_qwk"] is not None
