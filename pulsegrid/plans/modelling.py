@@ -10,6 +10,7 @@ thresholds / QWK are aggregations (``operators.metrics``).
 from __future__ import annotations
 
 from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import VectorAssembler
@@ -89,7 +90,8 @@ def _fit_predict(members: dict, train: DataFrame, targets: list[DataFrame], feat
 
 
 def train_oof(train: DataFrame, test: DataFrame | None, label: str, features: Sequence[str],
-              members: dict | None = None, n_splits: int = N_SPLITS, seed: int = SEED):
+              members: dict | None = None, n_splits: int = N_SPLITS, seed: int = SEED,
+              max_parallel_folds: int = N_SPLITS):
     """Stratified k-fold: returns (oof[id, fold, y, score], test[id, score] or None).
 
     Per fold, medians are fitted on the fold's training part only; the test
@@ -97,17 +99,22 @@ def train_oof(train: DataFrame, test: DataFrame | None, label: str, features: Se
     members = members or ensemble_members(seed=seed)
     # the fold table is read by every fit: keep it (recomputed from lineage if lost)
     folded = stratified_folds(train, label, "id", n_splits, seed).persist()
-    oof_parts, test_parts = [], []
-    for k in range(n_splits):
+    def run_fold(k: int):
         tr = folded.where(F.col("fold") != k)
         va = folded.where(F.col("fold") == k)
         med = fit_imputer(tr, features)
         tr_i, va_i = impute(tr, med, features), impute(va, med, features)
         targets = [va_i] + ([impute(test, med, features)] if test is not None else [])
         preds = _fit_predict(members, tr_i, targets, features, label)
-        oof_parts.append(preds[0].join(va.select("id", "fold", F.col(label).alias("y")), "id"))
-        if test is not None:
-            test_parts.append(preds[1])
+        oof_k = preds[0].join(va.select("id", "fold", F.col(label).alias("y")), "id")
+        return oof_k, (preds[1] if test is not None else None)
+
+    # the folds are independent: their fits are submitted as concurrent Spark
+    # jobs (each still runs distributed on the executors)
+    with ThreadPoolExecutor(max_workers=max(1, min(n_splits, max_parallel_folds))) as pool:
+        results = list(pool.map(run_fold, range(n_splits)))
+    oof_parts = [r[0] for r in results]
+    test_parts = [r[1] for r in results if r[1] is not None]
     oof = oof_parts[0]
     for p in oof_parts[1:]:
         oof = oof.unionByName(p)
