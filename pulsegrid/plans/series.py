@@ -57,7 +57,7 @@ DARK_LIGHT_LUX = 50
 ENTROPY_BUCKETS = 10
 MOMENT_COLUMNS = ["x", "y", "z", "enmo", "anglez"]
 
-# Output order = order of the source's feature dictionary (stat_0 .. stat_57).
+# Feature names in the source's output order (stat_0 .. stat_57).
 FEATURE_NAMES = (
     [f"{p}_{s}" for p in DAY_PARTS for s in ("activity_mean", "activity_std", "enmo_mean")]
     + ["sleep_movement_mean", "sleep_movement_std", "sleep_disruption_count", "light_exposure_during_sleep",

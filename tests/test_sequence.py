@@ -93,3 +93,33 @@ def test_attach_by_chunk_equals_key_join(spark):
     exp = df.join(table, "id", "left")
     assert got.count() == exp.count()
     assert got.select(sorted(exp.columns)).exceptAll(exp.select(sorted(exp.columns))).count() == 0
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=6, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["a", "b"]), st.integers(1, 30), st.integers(0, 2)), min_size=1, max_size=60),
+       st.sampled_from([1, 2, 3, 7, 50]))
+def test_chunked_equals_whole_key_property(spark, events, chunk_rows):
+    rows, steps = [], {"a": 0, "b": 0}
+    for i, (k, gap, flag) in enumerate(events):
+        steps[k] += gap
+        rows.append((k, steps[k], float(i % 11), None if flag == 2 else flag))
+    df = spark.createDataFrame(rows, "id string, step long, v double, flag int")
+    got = ordered_window(df, "id", "step", _cols, halo=11, chunk_rows=chunk_rows).toPandas()
+    w = Window.partitionBy("id").orderBy("step")
+    exp = df.select("*", *[e.alias(n) for n, e in _cols(w).items()], (F.row_number().over(w) - 1).alias("pos")).toPandas()
+    m = got.merge(exp, on=["id", "step"], suffixes=("_g", "_e"))
+    assert len(m) == len(exp) == len(got)
+    for c in ["d", "roll"]:
+        a, b = m[f"{c}_g"], m[f"{c}_e"]
+        assert ((a.isna() & b.isna()) | ((a - b).abs() < 1e-12)).all(), c
+    assert (m["pos_g"] == m["pos_e"]).all()
+    runs = {r["id"]: r["run"] for r in longest_run(df, "id", "step", F.col("flag") == 0, "run", chunk_rows).collect()}
+    pdf = df.toPandas().sort_values(["id", "step"])
+    for k, g in pdf.groupby("id"):
+        f = g["flag"]
+        exp_run = int(f.eq(0).astype(int).groupby((~f.eq(0)).cumsum()).sum().max())
+        assert runs[k] == exp_run, (k, list(f))
