@@ -374,7 +374,7 @@ def intensity_ratios(series: DataFrame) -> DataFrame:
 
 def circadian(series: DataFrame) -> DataFrame:
     """Features 22-25 and 42 (two-level aggregates over hour and weekday)."""
-    return two_level(wear_rows(series).withColumn("bucket", F.lit(None).cast("int")), levels=("hour", "weekday"))
+    return two_level(wear_rows(series), levels=("hour", "weekday"))
 
 
 def movement_entropy(series: DataFrame) -> DataFrame:

@@ -1,6 +1,5 @@
 """Profiling operators: null-aware splits, triage bands, dense counts, histograms."""
 
-from pyspark.sql import functions as F
 
 from pulsegrid.functions.nulls import not_equal_null_aware
 from pulsegrid.operators import profile as PR
