@@ -84,6 +84,10 @@ def q_series_features(spark, d):
     return rounded(S.series_features(_series(spark, d)))
 
 
+def q_series_features_raw(spark, d):
+    return rounded(S.series_features(_series(spark, d), wear_scope="raw"))
+
+
 def q_series_describe(spark, d):
     return rounded(S.series_describe(_series(spark, d)))
 
@@ -237,6 +241,7 @@ QUERIES = {
     "wear_streak_filtered": q_wear_streak_filtered,
     "wear_streak_raw": q_wear_streak_raw,
     "series_features": q_series_features,
+    "series_features_raw": q_series_features_raw,
     "series_describe": q_series_describe,
     "distance_by_grain": q_distance_by_grain,
     "ordinal_target": q_ordinal_target,

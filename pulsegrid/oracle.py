@@ -155,6 +155,22 @@ def _agg_sql(cols: list[tuple[str, str]], src: str = "seq") -> str:
     return f"WITH {series_ctes()} SELECT id, {sel} FROM {src} GROUP BY id"
 
 
+def series_features_raw_sql() -> str:
+    """Same features, wear columns from all rows (raw scope)."""
+    from pulsegrid.plans.series import FEATURE_NAMES
+    base = series_features_sql()
+    body = base[len("WITH "):]
+    cut = body.rindex("SELECT m.id")
+    ctes, _ = body[:cut].rstrip(), body[cut:]
+    cols = ", ".join(f"rw.{n}" if n in ("wear_time_ratio", "wear_consistency", "longest_wear_streak") else f"f.{n}"
+                     for n in FEATURE_NAMES)
+    raw = (f"{_longest_run_cte('lr', 'series')}, rw AS (SELECT a.id, a.wear_time_ratio, a.wear_consistency, "
+           f"lr.longest_wear_streak FROM (SELECT id, {share('non_wear_flag = 0')} AS wear_time_ratio, "
+           "CAST(count(DISTINCT non_wear_flag) AS BIGINT) AS wear_consistency FROM series GROUP BY id) a "
+           "LEFT JOIN lr ON a.id = lr.id)")
+    return f"WITH {ctes}, {raw}, f AS ({body[cut:]}) SELECT f.id, {cols} FROM f LEFT JOIN rw ON f.id = rw.id"
+
+
 def series_features_sql() -> str:
     single = _daypart_cols() + _sleep_cols() + _intensity_cols() + _movement_cols() + _device_cols() + _moment_cols()
     sel = ", ".join(f"{e} AS {n}" for n, e in single)
@@ -194,6 +210,7 @@ def series_queries() -> dict[str, str]:
     q["wear_streak_filtered"] = rnd(_wear_sql("(SELECT * FROM series WHERE non_wear_flag = 0)"), ["wear_time_ratio"])
     q["wear_streak_raw"] = rnd(_wear_sql("series"), ["wear_time_ratio"])
     q["series_features"] = rnd(series_features_sql(), _series_double_cols(FEATURE_NAMES))
+    q["series_features_raw"] = rnd(series_features_raw_sql(), _series_double_cols(FEATURE_NAMES))
     cols = ["x", "y", "z", "enmo", "anglez", "light", "battery_voltage"]
     long = " UNION ALL ".join(f"SELECT id, '{c}' AS field, CAST({c} AS DOUBLE) AS value FROM series" for c in cols)
     q["series_describe"] = rnd(
