@@ -41,17 +41,28 @@ def _label_index(df: DataFrame, y: str, p: str) -> DataFrame:
     return labels.select("_l", (F.dense_rank().over(Window.orderBy("_l")) - 1).alias("_idx"))
 
 
+# Largest label set inlined into the plan as literals (checked, see below).
+MAX_INLINE_LABELS = 1000
+
+
 def _with_indices(df: DataFrame, y: str, p: str) -> DataFrame:
+    """Adds _i / _j = rank of y / p in the union of labels present. The label
+    set is fitted once; when its size is within MAX_INLINE_LABELS (always,
+    for ordinal classes) it is inlined as a literal array, so no join or
+    broadcast is needed; beyond that, plain joins (AQE sizes them)."""
     idx = _label_index(df, y, p)
     d = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
-    d = d.join(F.broadcast(idx.withColumnRenamed("_l", "_ly").withColumnRenamed("_idx", "_i")), F.col(y) == F.col("_ly"))
-    d = d.join(F.broadcast(idx.withColumnRenamed("_l", "_lp").withColumnRenamed("_idx", "_j")), F.col(p) == F.col("_lp"))
-    return d
+    few = idx.limit(MAX_INLINE_LABELS + 1).collect()
+    if len(few) <= MAX_INLINE_LABELS:
+        arr = F.array(*[F.lit(r["_l"]) for r in sorted(few, key=lambda r: r["_idx"])])
+        return (d.withColumn("_i", F.array_position(arr, F.col(y)) - 1)
+                 .withColumn("_j", F.array_position(arr, F.col(p)) - 1))
+    d = d.join(idx.withColumnRenamed("_l", "_ly").withColumnRenamed("_idx", "_i"), F.col(y) == F.col("_ly"))
+    return d.join(idx.withColumnRenamed("_l", "_lp").withColumnRenamed("_idx", "_j"), F.col(p) == F.col("_lp"))
 
 
 def qwk(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), name: str = "qwk") -> DataFrame:
-    """Quadratic weighted kappa (per ``by`` group); null when expected disagreement is 0.
-    The label index table is broadcast: its size is the number of classes."""
+    """Quadratic weighted kappa (per ``by`` group); null when expected disagreement is 0."""
     d = _with_indices(df, y, p)
     i, j = F.col("_i").cast("double"), F.col("_j").cast("double")
     n = F.count(F.lit(1)).cast("double")
