@@ -41,14 +41,23 @@ def _keys(key) -> list[str]:
     return [key] if isinstance(key, str) else list(key)
 
 
-def chunk_table(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+def chunk_counts(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """(key..., _chunk, _cnt): rows per chunk (a partial aggregate)."""
+    keys = _keys(key)
+    return (df.select(*keys, F.floor(F.col(order) / F.lit(chunk_rows)).alias("_chunk"))
+            .groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt")))
+
+
+def chunk_table(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_ROWS,
+                counts: DataFrame | None = None) -> DataFrame:
     """(key..., _chunk, _cnt, _off, _ci): rows per chunk, rows before it, dense chunk index (1-based).
 
-    Built from a partial aggregate, so it is tiny next to the rows
-    (one row per ``chunk_rows`` rows at most per key)."""
+    Built from a partial aggregate (or from ``counts`` computed elsewhere in
+    the same pass), so it is tiny next to the rows (one row per
+    ``chunk_rows`` order values at most per key)."""
     keys = _keys(key)
-    counts = (df.select(*keys, F.floor(F.col(order) / F.lit(chunk_rows)).alias("_chunk"))
-              .groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt")))
+    if counts is None:
+        counts = chunk_counts(df, keys, order, chunk_rows)
     cw = Window.partitionBy(*keys).orderBy("_chunk")
     return counts.select(
         *keys, "_chunk", "_cnt",
@@ -60,7 +69,8 @@ def chunk_table(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_
 def ordered_window(df: DataFrame, key, order: str,
                    columns: Callable[[WindowSpec], dict[str, Column]],
                    halo: int, chunk_rows: int = DEFAULT_CHUNK_ROWS,
-                   position: str | None = "pos", carry: DataFrame | None = None) -> DataFrame:
+                   position: str | None = "pos", carry: DataFrame | None = None,
+                   counts: DataFrame | None = None) -> DataFrame:
     """Add window columns ordered by ``order`` within ``key``.
 
     ``columns(w)`` returns named expressions over the window spec ``w``; their
@@ -72,10 +82,12 @@ def ordered_window(df: DataFrame, key, order: str,
     statistics) whose columns are attached to every row. It is joined to the
     small chunk table, so it reaches the rows through the (key, chunk)
     exchange the window needs anyway: no extra shuffle of the rows by key.
+    ``counts`` optionally supplies the per-chunk row counts (``chunk_counts``)
+    when a caller computes them in a shared pass.
     """
     keys = _keys(key)
     src_cols = df.columns
-    chunks = chunk_table(df, keys, order, chunk_rows)
+    chunks = chunk_table(df, keys, order, chunk_rows, counts)
     carried: list[str] = []
     if carry is not None:
         carried = [c for c in carry.columns if c not in keys]

@@ -128,7 +128,8 @@ def id_quantiles(rows: DataFrame, metrics=(0, 1, 2)) -> DataFrame:
     return q.groupBy("id").agg(*out)
 
 
-def sequenced(rows: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: DataFrame | None = None) -> DataFrame:
+def sequenced(rows: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: DataFrame | None = None,
+              counts: DataFrame | None = None) -> DataFrame:
     """Ordered columns over the wear rows of each id (by step):
     ``d_anglez`` = |anglez - previous anglez|, ``roll_mag`` = 12-row mean
     (null until 12 rows), ``pos`` = 0-based row position. ``carry``: per-id
@@ -140,7 +141,7 @@ def sequenced(rows: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: Data
             "roll_mag": F.when(F.count("mag").over(r) == ROLLING_ROWS, F.avg("mag").over(r)),
         }
     return ordered_window(rows, "id", "step", cols, halo=ROLLING_ROWS - 1, chunk_rows=chunk_rows, position="pos",
-                          carry=carry)
+                          carry=carry, counts=counts)
 
 
 # ---------------------------------------------------------- feature groups
@@ -227,19 +228,35 @@ def _wear_aggs():
 _LEVELS = {"hour": 1, "weekday": 2, "bucket": 3, "relative_date": 4, "non_wear_flag": 5}
 
 
-def _expand_levels(rows: DataFrame, levels, with_main: bool) -> DataFrame:
+def _expand_levels(rows: DataFrame, levels, with_main: bool, extra: dict | None = None) -> DataFrame:
     """One copy of each row per requested level, keyed by (id, lvl, lk):
     the GROUPING SETS expansion written out, so the single-level aggregates
     can be restricted to level 0 and everything shares one aggregation."""
-    tags = ([0] if with_main else []) + [_LEVELS[lv] for lv in levels]
+    extra = extra or {}
+    tags = ([0] if with_main else []) + [_LEVELS[lv] for lv in levels] + list(extra)
     lk = F.lit(None).cast("long")
     for lv in levels:
         lk = F.when(F.col("lvl") == _LEVELS[lv], F.col(lv).cast("long")).otherwise(lk)
+    for tag, c in extra.items():
+        lk = F.when(F.col("lvl") == tag, F.col(c).cast("long")).otherwise(lk)
     return (rows.withColumn("lvl", F.explode(F.array(*[F.lit(t) for t in tags])))
             .withColumn("lk", lk)
             .where((F.col("lvl") == 0) | F.col("lk").isNotNull()))
 
 
+_CHUNK_LEVEL = 9  # level tag of the per-(id, chunk) row counts in the shared pass
+
+
+def _shared_pass(rows: DataFrame, levels, chunk_rows: int) -> DataFrame:
+    """One expanded, map-side combined pass over the wear rows giving, keyed
+    by (id, lvl, lk): level 0 = per-id magnitude mean / std, the feature
+    levels = per-level mean / count, level 9 = rows per (id, step chunk)."""
+    ex = _expand_levels(rows.withColumn("_chunk_key", F.floor(F.col("step") / F.lit(chunk_rows))),
+                        levels, with_main=True, extra={_CHUNK_LEVEL: "_chunk_key"})
+    return ex.groupBy("id", "lvl", "lk").agg(F.avg("mag").alias("m"), F.count(F.lit(1)).alias("cnt"),
+                                             F.stddev_samp("mag").alias("sd"))
+
+
 def _level_partials():
     return [F.avg("mag").alias("m"), F.count(F.lit(1)).alias("cnt")]
 
@@ -295,33 +312,37 @@ def series_features(series: DataFrame, wear_scope: str = "filtered",
                     chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """All 58 features, one row per id (columns in ``FEATURE_NAMES`` order).
 
-    Exchanges of row data: the (id, chunk) exchange of the ordered window
-    (which also carries the per-id statistics via the chunk table), the
-    exchanges of the statistics passes, and the partial aggregates. The
-    single-level features (including the 10 bucket counters of the entropy)
-    are one aggregate keyed by id; the per-level means / counts (hour,
-    weekday, date, flag: the GROUPING SETS expansion written out) are a slim
-    aggregate keyed by (id, level, key) folded by a second tiny
-    ``groupBy(id)``. Both are map-side combined, so a hot id is reduced
-    before any shuffle.
+    Passes over the wear rows: one shared, map-side combined pass (per-id
+    magnitude moments, per-(id, chunk) row counts, per-(id, level, key)
+    means / counts: the GROUPING SETS expansion written out), the exact
+    quantile pass, and the ordered window, whose (id, chunk) exchange is the
+    only shuffle of whole rows and also carries the per-id statistics via
+    the chunk table. The single-level features (including the 10 bucket
+    counters of the entropy) are one aggregate keyed by id; the levels are
+    folded by a tiny ``groupBy(id)``. A hot id is reduced before any shuffle.
     """
     rows = wear_rows(series)
-    stats = id_stats(rows)
+    levels = ("hour", "weekday", "relative_date", "non_wear_flag")
+    # one pass over the wear rows feeds the moments, the chunk counts and the levels
+    shared = _shared_pass(rows, levels, chunk_rows)
+    mom = shared.where(F.col("lvl") == 0).select("id", F.col("m").alias("mag_mean"), F.col("sd").alias("mag_std"))
+    counts = shared.where(F.col("lvl") == _CHUNK_LEVEL).select("id", F.col("lk").alias("_chunk"),
+                                                                  F.col("cnt").alias("_cnt"))
+    stats = mom.join(id_quantiles(rows), "id", "left")
     # per-id statistics ride on the chunk table into the (id, chunk) exchange
-    seq = _with_bucket(sequenced(rows, chunk_rows, carry=stats))
+    seq = _with_bucket(sequenced(rows, chunk_rows, carry=stats, counts=counts))
     single = [*_daypart_aggs(), *_sleep_aggs(), *_intensity_aggs(), *_movement_aggs(), *_device_aggs(),
               *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n"),
               # equal-frequency bucket sizes: a bounded set of counters
               *[F.count_if(F.col("bucket") == b).alias(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]]
     main = seq.groupBy("id").agg(*single)
-    # level features need neither order nor statistics: slim aggregate on the wear rows
-    levels = ("hour", "weekday", "relative_date", "non_wear_flag")
-    lv = (_expand_levels(rows, levels, with_main=False).groupBy("id", "lvl", "lk").agg(*_level_partials())
+    # level features need neither order nor statistics: folded from the shared pass
+    lv = (shared.where(F.col("lvl").isin(*[_LEVELS[x] for x in levels]))
           .groupBy("id").agg(*_second_level(levels)))
     out = main.join(lv, "id")
-    counts = [F.col(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]
-    total = sum(counts)
-    clogc = sum(F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0)) for c in counts)
+    bucket_sizes = [F.col(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]
+    total = sum(bucket_sizes)
+    clogc = sum(F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0)) for c in bucket_sizes)
     out = out.withColumn("movement_entropy", F.when(total > 0, F.log(total) - clogc / total))
     out = out.withColumn("activity_peaks_per_day", F.col("_peaks") / F.col("days_monitored"))
     if wear_scope == "filtered":
