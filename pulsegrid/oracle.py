@@ -201,7 +201,8 @@ def series_queries() -> dict[str, str]:
         f"WITH {series_ctes()}, {_two_level_ctes()} SELECT hs.id, circadian_regularity, peak_activity_hour, "
         "trough_activity_hour, activity_range, activity_regularity FROM hs JOIN pk ON hs.id = pk.id "
         "JOIN wd ON hs.id = wd.id", ["circadian_regularity", "activity_range", "activity_regularity"])
-    q["movement_entropy"] = rnd(f"WITH {series_ctes()}, {_two_level_ctes()} SELECT id, movement_entropy FROM ent",
+    q["movement_entropy"] = rnd(f"WITH {series_ctes()}, {_two_level_ctes()} SELECT w.id, ent.movement_entropy "
+                                "FROM (SELECT DISTINCT id FROM wearx) w LEFT JOIN ent ON w.id = ent.id",
                                 ["movement_entropy"])
     om = [("sleep_position_changes", _sleep_cols()[4][1])] + _movement_cols()[:2]
     q["ordered_movement"] = rnd(_agg_sql(om), ["direction_changes", "sustained_activity_periods"])

@@ -302,6 +302,19 @@ def two_level(rows: DataFrame, levels=("hour", "weekday", "bucket", "relative_da
     return _finish_levels(g.groupBy("id").agg(*_second_level(levels)), levels)
 
 
+def _bucket_counters():
+    """Sizes of the equal-frequency buckets: a bounded set of counters."""
+    return [F.count_if(F.col("bucket") == b).alias(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]
+
+
+def _entropy_from_counters():
+    """-sum p ln p over non-empty buckets, p = c / N  ==  ln N - sum(c ln c) / N."""
+    sizes = [F.col(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]
+    total = sum(sizes)
+    clogc = sum(F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0)) for c in sizes)
+    return F.when(total > 0, F.log(total) - clogc / total)
+
+
 def _with_bucket(rows: DataFrame) -> DataFrame:
     edges = [F.col(f"mag_e{i}") for i in range(len(_EDGE_PROBS))]
     return rows.withColumn("bucket", qcut_bucket(F.col("mag"), edges))
@@ -333,17 +346,13 @@ def series_features(series: DataFrame, wear_scope: str = "filtered",
     seq = _with_bucket(sequenced(rows, chunk_rows, carry=stats, counts=counts))
     single = [*_daypart_aggs(), *_sleep_aggs(), *_intensity_aggs(), *_movement_aggs(), *_device_aggs(),
               *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n"),
-              # equal-frequency bucket sizes: a bounded set of counters
-              *[F.count_if(F.col("bucket") == b).alias(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]]
+              *_bucket_counters()]
     main = seq.groupBy("id").agg(*single)
     # level features need neither order nor statistics: folded from the shared pass
     lv = (shared.where(F.col("lvl").isin(*[_LEVELS[x] for x in levels]))
           .groupBy("id").agg(*_second_level(levels)))
     out = main.join(lv, "id")
-    bucket_sizes = [F.col(f"_b{b}") for b in range(1, ENTROPY_BUCKETS + 1)]
-    total = sum(bucket_sizes)
-    clogc = sum(F.when(c > 0, c * F.log(c)).otherwise(F.lit(0.0)) for c in bucket_sizes)
-    out = out.withColumn("movement_entropy", F.when(total > 0, F.log(total) - clogc / total))
+    out = out.withColumn("movement_entropy", _entropy_from_counters())
     out = out.withColumn("activity_peaks_per_day", F.col("_peaks") / F.col("days_monitored"))
     if wear_scope == "filtered":
         out = out.withColumn("longest_wear_streak", F.col("_n"))
@@ -403,7 +412,7 @@ def movement_entropy(series: DataFrame) -> DataFrame:
     rows = wear_rows(series)
     edges = id_quantiles(rows, metrics=(0,))
     b = _with_bucket(attach_by_chunk(rows, "id", "step", edges))
-    return two_level(b, levels=("bucket",))
+    return b.groupBy("id").agg(*_bucket_counters()).select("id", _entropy_from_counters().alias("movement_entropy"))
 
 
 def ordered_movement(series: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
