@@ -3,8 +3,10 @@ shingle keys computed on whole Arrow columns."""
 
 from __future__ import annotations
 
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +39,21 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Give executors this package (once a context), as ``--py-files`` would."""
+    sc = spark.sparkContext
+    top = Path(__file__).resolve().parents[1]
+    if not getattr(sc, "_llm_shipped", False) and top.is_dir():
+        sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='llm-code-')}/{top.name}", "zip", top.parent, top.name))
+        sc._llm_shipped = True
+
+
+def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
+    """``mapInArrow`` with the package at hand on every executor."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def uniform(*parts: Column | str) -> Column:
     """Uniform draw strictly inside (0, 1) from the md5 of the joined parts;
     the same in any SQL engine with md5. Nulls count as the mark U+2205."""

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import stage_table
+from pulsegrid.llm.common import map_arrow, stage_table
 from pulsegrid.llm.ranking import numbered
 
 BLOCK_ROWS = 4096
@@ -130,7 +130,7 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_i
                 yield pa.RecordBatch.from_arrays(out, [key, "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
                 at += len(some)
 
-    return df.select(key, text).mapInArrow(pieces, schema)
+    return map_arrow(df.select(key, text), pieces, schema)
 
 
 def best_fit_plan(counts: dict[int, int], capacity: int = 2048) -> list[tuple[int, int, int, int, int, int]]:

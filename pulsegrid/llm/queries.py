@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import mixing, packing, sharding
+from pulsegrid.llm import langid, mixing, packing, quality, sharding
+from pulsegrid.llm.common import doc_remainder
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +26,21 @@ def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("law", F.lit("key"))
 
 
+def op2_span_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents")
+    held = doc_remainder(F.col("doc_id"), 3) == 1
+    model = langid.fit_languages(docs.where(~held))
+    return langid.label_languages(docs, model, spans=False).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
+def op5_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents")
+    model = quality.fit_quality(docs, _t(spark, sf_dir, "labels"))
+    return quality.score_quality(docs, model).select(
+        "doc_id", (doc_remainder(F.col("doc_id"), 3) == 1).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_t(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -33,6 +49,6 @@ def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_t(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hash_tree_shards, op4_best_fit_packing, op7_pareto_mix)}
+QUERIES = {f.__name__: f for f in (op1_hash_tree_shards, op2_span_language, op5_rule_quality, op4_best_fit_packing, op7_pareto_mix)}
 
 ORACLE_SQL: dict[str, str] = {}
