@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import langid, mixing, packing, quality, sharding
+from pulsegrid.llm import langid, mixing, neardup, packing, quality, sharding
 from pulsegrid.llm.common import doc_remainder
 
 
@@ -33,6 +33,10 @@ def op2_span_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.label_languages(docs, model, spans=False).select("doc_id", held.alias("held_out"), "lang_pred", "score")
 
 
+def op3_bottom_k_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(_t(spark, sf_dir, "documents"))
+
+
 def op5_rule_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _t(spark, sf_dir, "documents")
     model = quality.fit_quality(docs, _t(spark, sf_dir, "labels"))
@@ -49,6 +53,8 @@ def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_t(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_hash_tree_shards, op2_span_language, op5_rule_quality, op4_best_fit_packing, op7_pareto_mix)}
+QUERIES = {f.__name__: f for f in (
+    op1_hash_tree_shards, op2_span_language, op3_bottom_k_near_duplicates, op4_best_fit_packing, op5_rule_quality,
+    op7_pareto_mix)}
 
 ORACLE_SQL: dict[str, str] = {}
