@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import langid, mixing, neardup, packing, quality, sharding
+from pulsegrid.llm import epsgrid, hamming, langid, mixing, neardup, packing, quality, sharding
 from pulsegrid.llm.common import doc_remainder
 
 
@@ -49,12 +49,21 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(_t(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op6_multi_index_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    codes = _t(spark, sf_dir, "embeddings").withColumn("code", hamming.sign_code(F.col("embedding")))
+    return hamming.top_k(codes, F.col("vec_id") % 50 == 0)
+
+
+def op9_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return epsgrid.near_vectors(_t(spark, sf_dir, "embeddings"))
+
+
 def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_t(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_shards, op2_span_language, op3_bottom_k_near_duplicates, op4_best_fit_packing, op5_rule_quality,
-    op7_pareto_mix)}
+    op6_multi_index_top_k, op7_pareto_mix, op9_epsilon_grid_join)}
 
 ORACLE_SQL: dict[str, str] = {}
