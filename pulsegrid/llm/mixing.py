@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import WORD, stage_table, uniform
 
 BLOCK_ROWS = 4096
+SALTS = 64
 
 
 def word_count(text: Column) -> Column:
@@ -69,7 +70,10 @@ def mix_sources(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: fl
         "due", F.greatest(F.lit(0.0), F.col("target") - F.col("whole") * F.col("source_size"))).withColumn(
         "p", rho - F.col("whole")).withColumn("blocks", F.ceil(F.col("n") / BLOCK_ROWS))
     u = uniform(F.col("k"), seed, F.col("size"))
-    ranked = named(docs).withColumn("u", u).join(t, "__s").withColumn(
+    # rows meet their source's targets by (source, salt), so a large source is in many tasks
+    t = t.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    ranked = named(docs).withColumn("u", u).withColumn("__salt", F.floor(F.col("u") * SALTS).cast("int"))
+    ranked = ranked.join(t, ["__s", "__salt"]).drop("__salt").withColumn(
         "rank", F.when(F.col("p") > 0, (F.col("u") / (1 - F.col("u"))) / (F.col("p") / (1 - F.col("p")))))
     ranked = ranked.withColumn("block", F.floor(F.col("u") * F.col("blocks")))
     inside = Window.partitionBy("__s", "block").orderBy("rank", "k", "size")
@@ -79,17 +83,18 @@ def mix_sources(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: fl
     blocks = ranked.groupBy("__s", "block").agg(F.sum("size").alias("in_block"))
     earlier = F.sum("in_block").over(Window.partitionBy("__s").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))
     blocks = blocks.select("__s", "block", F.coalesce(earlier, F.lit(0)).alias("earlier"))
-    placed = ranked.join(blocks, ["__s", "block"]).withColumn("upto", F.col("words") + F.col("earlier")).withColumn(
-        "fits", (F.col("p") > 0) & (F.col("upto") <= F.col("due")))
-    missing = placed.groupBy("__s").agg((F.max("due") - F.coalesce(F.max(F.when(F.col("fits"), F.col("upto"))), F.lit(0))).alias("missing"))
+    fits = (F.col("p") > 0) & (F.col("words") + F.col("earlier") <= F.col("due"))
+    placed = ranked.join(blocks, ["__s", "block"]).withColumn("fits", fits)
+    missing = placed.groupBy("__s").agg((F.max("due") - F.coalesce(
+        F.max(F.when(F.col("fits"), F.col("words") + F.col("earlier"))), F.lit(0))).alias("missing"))
     off = F.abs(F.col("size") - F.col("missing"))
-    last = (placed.where((F.col("p") > 0) & ~F.col("fits") & (F.col("size") > 0)).join(missing, "__s")
+    last = (ranked.join(blocks.join(missing, "__s"), ["__s", "block"]).where((F.col("p") > 0) & ~fits & (F.col("size") > 0))
             .groupBy("__s").agg(F.min(F.struct(off.alias("off"), F.col("rank"), F.col("block"), F.col("at"))).alias("b"),
                                 F.max("missing").alias("missing"))
             .where(F.col("b.off") < F.col("missing"))
-            .select("__s", F.col("b.block").alias("last_block"), F.col("b.at").alias("last_at")))
-    out = placed.join(last, "__s", "left")
-    chosen = F.col("fits") | ((F.col("block") == F.col("last_block")) & (F.col("at") == F.col("last_at")))
+            .select("__s", F.col("b.block").alias("block"), F.col("b.at").alias("last_at")))
+    out = placed.join(last, ["__s", "block"], "left")
+    chosen = F.col("fits") | (F.col("at") == F.col("last_at"))
     copies = (F.col("whole") + F.coalesce(chosen, F.lit(False)).cast("long")).cast("long")
     return out.select(F.col("k").alias(key), F.col("source").alias(source), "size", "source_size", "target",
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))

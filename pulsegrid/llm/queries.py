@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import epsgrid, hamming, langid, mixing, neardup, packing, quality, sharding
+from pulsegrid.llm import epsgrid, hamming, htmltext, langid, mixing, neardup, packing, ppm, quality, sharding
 from pulsegrid.llm.common import doc_remainder
 
 
@@ -54,6 +54,10 @@ def op6_multi_index_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hamming.top_k(codes, F.col("vec_id") % 50 == 0)
 
 
+def op8_style_tree_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(_t(spark, sf_dir, "pages"))
+
+
 def op9_epsilon_grid_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return epsgrid.near_vectors(_t(spark, sf_dir, "embeddings"))
 
@@ -62,8 +66,15 @@ def op7_pareto_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_sources(_t(spark, sf_dir, "documents"))
 
 
+def op10_partial_matching_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _t(spark, sf_dir, "documents")
+    scored = ppm.score_documents(docs, doc_remainder(F.col("doc_id"), 10) != 0)
+    return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_shards, op2_span_language, op3_bottom_k_near_duplicates, op4_best_fit_packing, op5_rule_quality,
-    op6_multi_index_top_k, op7_pareto_mix, op9_epsilon_grid_join)}
+    op6_multi_index_top_k, op7_pareto_mix, op8_style_tree_text, op9_epsilon_grid_join,
+    op10_partial_matching_scores)}
 
 ORACLE_SQL: dict[str, str] = {}
