@@ -201,15 +201,16 @@ def viterbi(score: np.ndarray, row: np.ndarray, n_rows: int, penalty: float = PE
 
 
 def label_languages(df: DataFrame, model: dict, key: str = "doc_id", text: str = "text", keep: list[str] | None = None,
-                    spans: bool = True) -> DataFrame:
-    """One row per input row: the columns ``keep`` (default: the key),
-    lang_pred, score and, with ``spans``, the labelled spans as an array of
-    (start, length, lang) in code points from the span's first letter to its
-    last."""
+                    spans: bool = True, names: tuple[str, str] = ("lang_pred", "score")) -> DataFrame:
+    """One row per input row: the columns ``keep`` (default: the key), the
+    language and its share under ``names`` and, with ``spans``, the labelled
+    spans as an array of (start, length, lang) in code points from the span's
+    first letter to its last."""
     keep = keep or [key]
-    kept = df.select(*keep, F.col(text).alias("__text"))
+    kept = df.select(*keep, *([] if text in keep else [F.col(text).alias("__text")]))
+    source = text if text in keep else "__text"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.select(*keep).schema.fields)
-    schema += ", lang_pred string, score double" + ", spans array<struct<start:int,length:int,lang:string>>" * spans
+    schema += f", {names[0]} string, {names[1]} double" + ", spans array<struct<start:int,length:int,lang:string>>" * spans
     shared = df.sparkSession.sparkContext.broadcast(model)
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("length", pa.int32()), ("lang", pa.string())]))
 
@@ -218,7 +219,7 @@ def label_languages(df: DataFrame, model: dict, key: str = "doc_id", text: str =
         langs = np.array([*model["langs"], "und"], object)
         size = len(langs) - 1
         for batch in batches:
-            column = batch.schema.get_field_index("__text")
+            column = batch.schema.get_field_index(source)
             for at, some in _runs(batch, column):
                 cells, first, script, row, starts, ends, begins = _words(some)
                 if not size:
@@ -231,7 +232,7 @@ def label_languages(df: DataFrame, model: dict, key: str = "doc_id", text: str =
                     np.add.at(letters, (row, path), ends - starts)
                 total = letters.sum(1)
                 pred = np.where(total > 0, letters.argmax(1), size)
-                out = [c.slice(at, len(some)) for i, c in enumerate(batch.columns) if i != column]
+                out = [c.slice(at, len(some)) for c, name in zip(batch.columns, batch.schema.names, strict=True) if name in keep]
                 out += [pa.array(langs[pred], pa.string()), pa.array(letters.max(1) / np.maximum(total, 1), pa.float64())]
                 if spans:
                     cut = np.flatnonzero((np.diff(row) != 0) | (np.diff(path) != 0)) + 1 if len(row) else np.zeros(0, np.int64)
@@ -242,6 +243,6 @@ def label_languages(df: DataFrame, model: dict, key: str = "doc_id", text: str =
                     flat = pa.StructArray.from_arrays([pa.array(lo, pa.int32()), pa.array(ends[b] - starts[a], pa.int32()),
                                                        pa.array(langs[path[a]], pa.string())], fields=list(span_type.value_type))
                     out.append(pa.ListArray.from_arrays(pa.array(np.searchsorted(of, np.arange(len(some) + 1)), pa.int32()), flat, type=span_type))
-                yield pa.RecordBatch.from_arrays(out, [*keep, "lang_pred", "score"] + ["spans"] * spans)
+                yield pa.RecordBatch.from_arrays(out, [*keep, *names] + ["spans"] * spans)
 
     return map_arrow(kept, label, schema)
