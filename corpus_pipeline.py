@@ -1,4 +1,78 @@
-STAGES = []
+"""From documents to packed training sequences: quality classifier, language
+labels, near-duplicates, source mix, best-fit packing. Every stage works on
+all rows that its predecessor kept; the first four return the columns of
+documents."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from pulsegrid.llm import langid, mixing, neardup, packing, quality
+from pulsegrid.llm.common import doc_remainder, stage_table
+from pulsegrid.llm.queries import tokenizer_path
+
+MIN_QUALITY, MIN_SHARE = 0.5, 0.4
+ROWS_TO_BROADCAST = 1_000_000
+
+
+def _side(df: DataFrame) -> DataFrame:
+    """A table read back from storage, broadcast if it has few rows; beyond
+    that the join shuffles."""
+    return F.broadcast(df) if df.count() <= ROWS_TO_BROADCAST else df
+
+
+def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the rule ensemble scores at MIN_QUALITY or more."""
+    model = quality.fit_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_quality(docs, model, name="__quality").where(F.col("__quality") >= MIN_QUALITY).select(*docs.columns)
+
+
+def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a language that holds MIN_SHARE of the letters or more;
+    texts without letters go."""
+    model = langid.fit_languages(docs.where(doc_remainder(F.col("doc_id"), 3) != 1))
+    labelled = langid.label_languages(docs, model, keep=docs.columns, spans=False, names=("__lang", "__share"))
+    return labelled.where((F.col("__lang") != "und") & (F.col("__share") >= MIN_SHARE)).select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component, the one of the smallest doc_id; of
+    rows that repeat a doc_id one stays. Rows without a doc_id stay."""
+    verdict = stage_table(neardup.near_duplicates(docs), "verdict")
+    gone = stage_table(verdict.where("not kept and doc_id is not null").select("doc_id").distinct(), "gone")
+    left = docs.join(_side(gone), "doc_id", "left_anti").select(*docs.columns)
+    twice = stage_table(verdict.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
+    if twice.isEmpty():
+        return left
+    side = _side(twice)
+    return left.join(side, "doc_id", "left_anti").select(*docs.columns).union(
+        left.join(side, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes it (rows that share a doc_id:
+    their mean number of copies, rounded up)."""
+    copies = mixing.mix_sources(docs).groupBy("doc_id").agg(F.ceil(F.avg("copies")).cast("int").alias("__copies"))
+    copies = stage_table(copies.where("__copies > 0").withColumnRenamed("doc_id", "__id"), "copies")
+    side = _side(copies)
+    times = F.explode(F.sequence(F.lit(1), F.col("__copies")))
+    return docs.join(side, docs["doc_id"].eqNullSafe(side["__id"])).select(*[docs[c] for c in docs.columns], times.alias("__time")).drop("__time")
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of at most 2048 tokens with their sequence and place in it."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [("quality", keep_quality), ("language", keep_language), ("near_duplicates", drop_near_duplicates), ("mix", mix), ("pack", pack)]
+
+# Learned models and near-duplicate links have no SQL form.
 ORACLE_SQL = None
-def run(spark, sf_dir):
-    raise NotImplementedError
+
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for name, stage in STAGES[:-1]:
+        docs = stage_table(stage(spark, docs, sf_dir), f"stage-{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)
