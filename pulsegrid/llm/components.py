@@ -4,6 +4,7 @@ component is ever in one task or on the driver."""
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,3 +35,19 @@ def connected_components(edges: DataFrame, name: str = "components") -> DataFram
     roots = e.select(F.col("v").alias("node")).distinct()
     return e.select(F.col("u").alias("node"), F.col("v").alias("component")).union(
         roots.select("node", F.col("node").alias("component")))
+
+
+def local_roots(link: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Of a two-sided link matrix, the smallest index (left part, then right
+    part) that each side's members reach. ``same``: both sides are the same
+    members."""
+    n, m = link.shape
+    if same:
+        link = link | np.eye(n, dtype=bool)
+    left, right = np.arange(n), np.arange(n, n + m)
+    while True:
+        new_left = np.minimum(left, np.where(link, right[None, :], n + m).min(1, initial=n + m))
+        new_right = np.minimum(right, np.where(link, new_left[:, None], n + m).min(0, initial=n + m))
+        if (new_left == left).all() and (new_right == right).all():
+            return left, right
+        left, right = new_left, new_right

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import map_arrow, stage_table
-from pulsegrid.llm.components import connected_components
+from pulsegrid.llm.components import connected_components, local_roots
 
 AXES, BLOCK, FAN, PCA_ROWS = 6, 512, 8, 4096
 
@@ -50,19 +50,6 @@ def principal_axes(vectors: list) -> dict[int, np.ndarray]:
     return out
 
 
-def _forest(link: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Smallest reachable index (left part, then right part) for each side
-    of a two-sided link matrix."""
-    n, m = link.shape
-    left, right = np.arange(n), np.arange(n, n + m)
-    while True:
-        new_left = np.minimum(left, np.where(link, right[None, :], n + m).min(1, initial=n + m))
-        new_right = np.minimum(right, np.where(link, new_left[:, None], n + m).min(0, initial=n + m))
-        if (new_left == left).all() and (new_right == right).all():
-            return left, right
-        left, right = new_left, new_right
-
-
 def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding", label: str = "label",
                  cosine: float = 0.98) -> DataFrame:
     """One row per input row: key, n_links (other vectors linked directly),
@@ -181,7 +168,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
                     np.fill_diagonal(link, False)
                 if not link.any():
                     continue
-                left, right = _forest(link)
+                left, right = local_roots(link, same)
                 every = np.concatenate((ka, kb))
                 out = [(k, c, every[r]) for k, c, r in zip(ka, link @ nb, left, strict=True) if c]
                 if not same:
