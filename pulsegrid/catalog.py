@@ -216,6 +216,10 @@ def q_stratified_folds(spark, d):
     return f.groupBy("y", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_fold_assignment(spark, d):
+    return stratified_folds(B.scored(spark, d).select("id", "y"), "y", "id", 5, 42).select("id", "y", "fold")
+
+
 def q_oof_predictions(spark, d):
     from pulsegrid.plans.modelling import ensemble_members, feature_columns, train_oof
     mt = build_model_table(B.participants(spark, d), None, SEASONS_B,
@@ -268,6 +272,7 @@ QUERIES = {
     "threshold_grid": q_threshold_grid,
     "majority_vote": q_majority_vote,
     "stratified_folds": q_stratified_folds,
+    "fold_assignment": q_fold_assignment,
     "oof_predictions": q_oof_predictions,
 }
 

@@ -21,18 +21,13 @@ WEEKEND_DAYS = (6, 7)
 
 
 def time_of_day_ns(c) -> Column:
-    """Accept nanoseconds since midnight (long) or 'HH:MM:SS[.fffffffff]' text."""
-    col = F.col(c) if isinstance(c, str) else c
-    return col.cast("long")
-
-
-def parse_time_of_day(c) -> Column:
-    """'HH:MM:SS.fffffffff' -> nanoseconds since midnight."""
-    col = F.col(c) if isinstance(c, str) else c
-    parts = F.split(col, ":")
-    secs = parts.getItem(2).cast("decimal(20,9)")
-    return (parts.getItem(0).cast("long") * 3600 + parts.getItem(1).cast("long") * 60) * 1_000_000_000 + \
-        (secs * 1_000_000_000).cast("long")
+    """Nanoseconds since midnight from a long, or from 'HH:MM:SS[.fffffffff]'
+    text; text that is neither is null."""
+    col = (F.col(c) if isinstance(c, str) else c).cast("string")
+    clock = r"^(\d{1,2}):(\d{2}):(\d{2}(?:\.\d{1,9})?)$"
+    part = lambda i, kind: F.regexp_extract(col, clock, i).try_cast(kind)
+    text = (part(1, "long") * 3600 + part(2, "long") * 60) * 1_000_000_000 + (part(3, "decimal(20,9)") * 1_000_000_000).cast("long")
+    return F.coalesce(col.try_cast("long"), text)
 
 
 def hour_of_day(tod_ns: Column) -> Column:

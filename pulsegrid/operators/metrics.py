@@ -41,34 +41,20 @@ def _label_index(df: DataFrame, y: str, p: str) -> DataFrame:
     return labels.select("_l", (F.dense_rank().over(Window.orderBy("_l")) - 1).alias("_idx"))
 
 
-# Largest label set inlined into the plan as literals (checked, see below).
-MAX_INLINE_LABELS = 1000
-
-
-def _with_indices(df: DataFrame, y: str, p: str) -> DataFrame:
-    """Adds _i / _j = rank of y / p in the union of labels present. The label
-    set is fitted once; when its size is within MAX_INLINE_LABELS (always,
-    for ordinal classes) it is inlined as a literal array, so no join or
-    broadcast is needed; beyond that, plain joins (AQE sizes them)."""
-    idx = _label_index(df, y, p)
-    d = df.where(F.col(y).isNotNull() & F.col(p).isNotNull())
-    few = idx.limit(MAX_INLINE_LABELS + 1).collect()
-    if len(few) <= MAX_INLINE_LABELS:
-        arr = F.array(*[F.lit(r["_l"]) for r in sorted(few, key=lambda r: r["_idx"])])
-        return (d.withColumn("_i", F.array_position(arr, F.col(y)) - 1)
-                 .withColumn("_j", F.array_position(arr, F.col(p)) - 1))
-    d = d.join(idx.withColumnRenamed("_l", "_ly").withColumnRenamed("_idx", "_i"), F.col(y) == F.col("_ly"))
-    return d.join(idx.withColumnRenamed("_l", "_lp").withColumnRenamed("_idx", "_j"), F.col(p) == F.col("_lp"))
-
-
 def qwk(df: DataFrame, y: str = "y", p: str = "p", by: Sequence[str] = (), name: str = "qwk") -> DataFrame:
-    """Quadratic weighted kappa (per ``by`` group); null when expected disagreement is 0."""
-    d = _with_indices(df, y, p)
-    i, j = F.col("_i").cast("double"), F.col("_j").cast("double")
-    n = F.count(F.lit(1)).cast("double")
-    num = F.sum((i - j) * (i - j))
-    den = F.sum(i * i) + F.sum(j * j) - 2 * F.sum(i) * F.sum(j) / n
-    return d.groupBy(*by).agg((F.lit(1.0) - F.try_divide(num, den)).alias(name), n.cast("long").alias("n"))
+    """Quadratic weighted kappa (per ``by`` group); null when expected disagreement is 0.
+    Rows are reduced to a (y, p) count table first; the labels' ranks join that table."""
+    by = list(by)
+    idx = _label_index(df, y, p)
+    counts = (df.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(*by, F.col(y).alias("_y"), F.col(p).alias("_p"))
+              .agg(F.count(F.lit(1)).alias("_n")))
+    d = (counts.join(idx.select(F.col("_l").alias("_y"), F.col("_idx").alias("_i")), "_y")
+         .join(idx.select(F.col("_l").alias("_p"), F.col("_idx").alias("_j")), "_p"))
+    i, j, m = F.col("_i").cast("double"), F.col("_j").cast("double"), F.col("_n").cast("double")
+    n = F.sum(m)
+    num = F.sum(m * (i - j) * (i - j))
+    den = F.sum(m * i * i) + F.sum(m * j * j) - 2 * F.sum(m * i) * F.sum(m * j) / n
+    return d.groupBy(*by).agg((F.lit(1.0) - F.try_divide(num, den)).alias(name), F.coalesce(n, F.lit(0)).cast("long").alias("n"))
 
 
 def cohen_kappa(df: DataFrame, y: str = "y", p: str = "p", name: str = "kappa") -> DataFrame:
@@ -84,11 +70,15 @@ def cohen_kappa(df: DataFrame, y: str = "y", p: str = "p", name: str = "kappa")
 
 
 def confusion(df: DataFrame, y: str = "y", p: str = "p", classes: Sequence[int] = (0, 1, 2, 3)) -> DataFrame:
-    """Dense confusion counts (y, p, count) over the class grid."""
+    """Dense confusion counts (y, p, count) over the class grid, which is
+    ``classes`` and any other label that occurs: no row is left out."""
     counts = df.where(F.col(y).isNotNull() & F.col(p).isNotNull()).groupBy(
         F.col(y).alias("y"), F.col(p).alias("p")).agg(F.count(F.lit(1)).alias("count"))
-    grid = df.sparkSession.range(1).select(F.explode(F.array(*[F.lit(c) for c in classes])).alias("y")).select(
-        "y", F.explode(F.array(*[F.lit(c) for c in classes])).alias("p"))
+    fixed = df.sparkSession.createDataFrame([(c,) for c in classes], "c int")
+    seen = fixed.union(counts.select("y")).union(counts.select("p")).distinct()
+    # labels x labels, as an equi-join on one constant key: label-sized, not row-sized
+    one = seen.select(F.lit(1).alias("_k"), F.col("c").alias("y"))
+    grid = one.join(one.withColumnRenamed("y", "p"), "_k").drop("_k")
     return grid.join(counts, ["y", "p"], "left").select(
         "y", "p", F.coalesce("count", F.lit(0)).cast("long").alias("count"))
 

@@ -2,14 +2,15 @@
 
 Spark's exact ``percentile`` aggregate keeps every distinct value of a group
 in one task; ``approx_percentile`` is not exact. Here the rank of a value is
-found with a global range sort instead:
+found through value bins:
 
 1. collapse duplicates: ``(group, value) -> multiplicity`` (map-side combine,
    so a value repeated a billion times is one row);
-2. range-sort by (group, value); a hot group spans many sort partitions;
-3. each sort partition is a block; a window per (group, block), bounded by
-   the partition size, gives the running multiplicity inside the block and
-   a tiny block table gives the rows before each block;
+2. every value gets a bin that is a pure function of it and grows with it
+   (sign and BINS steps per power of two), so all uses of the frame agree
+   whatever plan Spark picks;
+3. a window per (group, bin) gives the running multiplicity inside the bin
+   and a small table of bins gives the rows before each bin;
 4. only the rows that cover a target rank survive; one aggregate per group
    interpolates ``x[lo] + (x[lo+1] - x[lo]) * frac`` (numpy's "linear").
 """
@@ -28,7 +29,18 @@ def _keys(keys) -> list[str]:
 
 def _lerp(a: Column, b: Column, t: Column) -> Column:
     # numpy's lerp: from the nearer end, exact at both ends
-    return F.when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+    return F.when(a == b, a).when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+
+
+BINS = 64  # per power of two
+
+
+def value_bin(v: Column) -> Column:
+    """Bin number of a double: never decreasing in the value, NaN last."""
+    far = 1 << 40
+    size = F.floor(F.log2(F.abs(v)) * BINS) + (1 << 20)
+    return (F.when(F.isnan(v), F.lit(2 * far)).when(v == float("inf"), F.lit(far)).when(v == float("-inf"), F.lit(-far))
+            .when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("long"))
 
 
 def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
@@ -41,8 +53,7 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
     names = list(names) if names is not None else [f"q_{i}" for i in range(len(probs))]
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     distinct = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
-    s = (distinct.orderBy(*keys, "_v")
-         .withColumn("_blk", F.shiftright(F.monotonically_increasing_id(), 33)))
+    s = distinct.withColumn("_blk", value_bin(F.col("_v")))
     bw = Window.partitionBy(*keys, "_blk")
     s = s.select("*",
                  F.sum("_m").over(bw.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),

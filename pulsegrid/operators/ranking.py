@@ -1,34 +1,60 @@
 """Row rank within a group, without a whole-group window.
 
 ``row_number().over(Window.partitionBy(g).orderBy(o))`` puts a group into
-one task. Here the rows are range-sorted by (group, order); every sort
-partition is a block whose per-group row counts form a tiny table; a window
-per (group, block), bounded by the partition size, numbers the rows inside
-the block, and the block offset makes the number global.
+one task. Here every row gets a block that is a pure function of its order
+value, so any number of uses of the frame agree on it; a table of row counts
+per (group, block) gives each block's offset; a window per (group, block)
+numbers the rows inside the block.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+SPLITTERS = 255
+HASH_BITS = 60
 
-def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank") -> DataFrame:
+
+def key_hash(key: str, seed: int) -> Column:
+    """Seeded hash order of a key: the first 60 bits of md5(key/seed), a
+    non-negative long that any SQL engine with md5 can compute."""
+    text = F.concat_ws("/", F.coalesce(F.col(key).cast("string"), F.lit("")), F.lit(str(seed)))
+    return F.conv(F.substring(F.md5(text.cast("binary")), 1, HASH_BITS // 4), 16, 10).cast("long")
+
+
+def order_block(df: DataFrame, first: str) -> Column:
+    """Block of a row by its first order column: the number of splitters at
+    or below the value. The splitters are the values of a bounded sample (the
+    SPLITTERS smallest by hash), collected once and inlined, so the block
+    depends on the row alone. Nulls are in block 0."""
+    picked = df.select(first).where(F.col(first).isNotNull()).distinct().orderBy(F.xxhash64(first), first).limit(SPLITTERS)
+    values = sorted(r[0] for r in picked.collect())
+    if not values:
+        return F.lit(0)
+    kind = df.schema[first].dataType
+    splitters = F.array(*[F.lit(v).cast(kind) for v in values])
+    return F.size(F.filter(splitters, lambda s: s <= F.col(first)))
+
+
+def rank_within(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "rank",
+                block: Column | None = None) -> DataFrame:
     """Adds ``name`` = 0-based position within ``keys`` by ``order`` (which
-    must make rows unique within a group for a deterministic result)."""
+    must make rows unique within a group for a deterministic result). Every
+    row is kept. ``block``, if given, must be a pure function of the row that
+    never decreases along ``order``."""
     keys, order = list(keys), list(order)
-    s = df.orderBy(*keys, *order).withColumn("_blk", F.shiftright(F.monotonically_increasing_id(), 33))
-    bw = Window.partitionBy(*keys, "_blk")
-    s = s.withColumn("_rn", F.row_number().over(bw.orderBy(*order)) - 1).withColumn("_bn", F.count(F.lit(1)).over(bw))
-    blocks = s.groupBy(*keys, "_blk").agg(F.max("_bn").alias("_bn"))
-    kw = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    blocks = blocks.select(*keys, "_blk", F.coalesce(
-        F.sum("_bn").over(kw.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return (s.join(blocks, [*keys, "_blk"])
-            .withColumn(name, F.col("_off") + F.col("_rn"))
-            .drop("_blk", "_rn", "_bn", "_off"))
+    d = df.withColumn("_blk", block if block is not None else order_block(df, order[0]))
+    s = d.withColumn("_rn", F.row_number().over(Window.partitionBy(*keys, "_blk").orderBy(*order)) - 1)
+    blocks = d.groupBy(*keys, "_blk").agg(F.count(F.lit(1)).alias("_bn"))
+    before = F.sum("_bn").over(Window.partitionBy(*keys).orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1))
+    blocks = blocks.select(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)], F.col("_blk").alias("_b"),
+                           F.coalesce(before, F.lit(0)).alias("_off"))
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)], F.col("_blk") == F.col("_b"))
+    return s.join(blocks, same).select(*[c for c in df.columns if c != name], (F.col("_off") + F.col("_rn")).alias(name))
 
 
 def stratified_folds(df: DataFrame, label: str, key: str = "id", n_splits: int = 5, seed: int = 42,
@@ -36,7 +62,6 @@ def stratified_folds(df: DataFrame, label: str, key: str = "id", n_splits: int =
     """Shuffled stratified fold number 0..n_splits-1: rows of each class are
     put in a seeded hash order and dealt round-robin, so per class the fold
     sizes differ by at most one. Rows with a null label get no fold."""
-    h = F.xxhash64(F.col(key), F.lit(seed))
-    d = df.where(F.col(label).isNotNull()).withColumn("_h", h)
-    r = rank_within(d, [label], ["_h", key], "_r")
+    d = df.where(F.col(label).isNotNull()).withColumn("_h", key_hash(key, seed))
+    r = rank_within(d, [label], ["_h", key], "_r", block=F.shiftright("_h", HASH_BITS - 8))
     return r.withColumn(name, (F.col("_r") % n_splits).cast("int")).drop("_h", "_r")

@@ -436,6 +436,9 @@ def metric_queries() -> dict[str, str]:
         f"WITH {S}, c AS (SELECT y, count(*) AS n FROM s WHERE y IS NOT NULL GROUP BY y), "
         "f AS (SELECT CAST(range AS INTEGER) AS fold FROM range(0, 5)) "
         "SELECT y, fold, CAST((n - 1 - fold) // 5 + 1 AS BIGINT) AS n FROM c, f WHERE fold <= n - 1")
+    q["fold_assignment"] = (
+        f"WITH {S}, h AS (SELECT id, y, CAST('0x' || substr(md5(CAST(id AS VARCHAR) || '/42'), 1, 15) AS BIGINT) AS h "
+        "FROM s WHERE y IS NOT NULL) SELECT id, y, CAST((row_number() OVER (PARTITION BY y ORDER BY h, id) - 1) % 5 AS INTEGER) AS fold FROM h")
     return q
 
 

@@ -1,13 +1,12 @@
 """Session construction and cluster-facing settings.
 
 The library never hard-codes a storage location: lineage cuts go to the
-folder named by ``spark.checkpoint.dir``. Only when that setting is absent
-(local runs, tests) do we fall back to a private scratch folder.
+folder named by ``spark.checkpoint.dir``. A cluster session must name one;
+only a local session without it (tests) uses a private scratch folder.
 """
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -31,13 +30,14 @@ SCALE_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
+def build_session(master: str = "local[8]", shuffle_partitions: int | None = None,
                   app_name: str = "pulsegrid", extra: dict | None = None) -> SparkSession:
     """Session for local runs and tests (UI off, AQE on)."""
     b = (SparkSession.builder.master(master).appName(app_name)
          .config("spark.ui.enabled", "false")
-         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
          .config("spark.driver.memory", "8g"))
+    if shuffle_partitions:
+        b = b.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     for k, v in {**SCALE_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     spark = b.getOrCreate()
@@ -47,14 +47,14 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """Return the shared checkpoint folder, setting a scratch one only if unset."""
+    """The shared checkpoint folder (``spark.checkpoint.dir``). Only a
+    local[*] session without the setting gets a private scratch folder."""
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
-    if not conf_dir:
-        # Only reached when the session names no shared folder (local mode, tests).
-        conf_dir = tempfile.mkdtemp(prefix="pulsegrid-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    sc.setCheckpointDir(conf_dir)
-    return sc.getCheckpointDir() or conf_dir
+    found = sc.getCheckpointDir() or sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
+    if not found:
+        if not sc.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        found = tempfile.mkdtemp(prefix="pulsegrid-ckpt-")
+    if not sc.getCheckpointDir():
+        sc.setCheckpointDir(found)
+    return found

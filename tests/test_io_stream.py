@@ -87,3 +87,25 @@ def test_read_participants_types_by_name(spark):
     write_csv(df, f"{root}/out", names)
     back = spark.read.option("header", True).csv(f"{root}/out")
     assert "Basic_Demos-Enroll_Season" in back.columns and back.count() == 2
+
+
+def test_series_store_with_source_names(spark, tmp_path):
+    """Hyphenated names, the dated offset column, NaN and text time of day."""
+    from pulsegrid.plans import series as S
+    from pulsegrid.sources.io import read_series
+    ns = 3_600_000_000_000
+    rows = [("00a1", i, 1.0, 0.5, float("nan") if i == 3 else 0.1, 0.2, 10.0, 0.0, float("nan") if i % 4 == 0 else 30.0, 4100.0 - i,
+             f"{6 + i % 12:02d}:30:15.000000250", 1 + i % 7, 2, 10.0 + i // 8) for i in range(40)]
+    names = ["id", "step", "X", "Y", "Z", "enmo", "anglez", "non-wear_flag", "light", "battery_voltage", "time_of_day", "weekday", "quarter", "relative_date_PCIAT"]
+    text = spark.createDataFrame(rows, names)
+    text.write.partitionBy("id").parquet(str(tmp_path / "text"))
+    as_ns = text.withColumn("time_of_day", ((F.substring("time_of_day", 1, 2).cast("long") * 3600 + 30 * 60 + 15) * 1_000_000_000 + 250).cast("long"))
+    as_ns.write.partitionBy("id").parquet(str(tmp_path / "ns"))
+    a, b = read_series(spark, str(tmp_path / "text")), read_series(spark, str(tmp_path / "ns"))
+    assert set(a.columns) == {f.name for f in S.SERIES_SCHEMA}
+    got = a.orderBy("step").collect()
+    assert got[0]["time_of_day"] == 6 * ns + 1815 * 1_000_000_000 + 250 and got[0]["light"] is None and got[3]["z"] is None
+    assert a.select(sorted(a.columns)).exceptAll(b.select(sorted(b.columns))).count() == 0
+    f = S.series_features(a).collect()
+    assert len(f) == 1 and f[0]["id"] == "00a1"
+    assert all(v is None or v == v for v in f[0])  # no NaN

@@ -77,3 +77,11 @@ def test_confusion_and_report(spark):
     assert rep[0]["recall"] == 0.5 and rep[1]["precision"] == 0.5 and rep[2]["precision"] is None
     s = M.regression_summary(df).collect()[0]
     assert s["accuracy"] == 0.75 and s["mae"] == 0.25
+
+
+def test_labels_outside_the_grid_are_counted(spark):
+    from pulsegrid.operators.metrics import class_report, confusion
+    df = spark.createDataFrame([(0, 0), (1, 4), (4, 4), (4, 1)], "y int, p int")
+    got = {(r["y"], r["p"]): r["count"] for r in confusion(df).collect()}
+    assert sum(got.values()) == 4 and got[(4, 4)] == 1 and got[(1, 4)] == 1 and len(got) == 25
+    assert {r["cls"]: r["support"] for r in class_report(df).collect()} == {0: 1, 1: 1, 2: 0, 3: 0, 4: 2}

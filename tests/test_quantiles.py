@@ -2,6 +2,7 @@
 
 import numpy as np
 import pandas as pd
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
@@ -58,3 +59,55 @@ def test_rank_within_and_folds(spark):
     f = stratified_folds(df, "y", "id", 5, 42).groupBy("y", "fold").count().toPandas()
     for y, g in f.groupby("y"):
         assert g["count"].max() - g["count"].min() <= 1
+
+
+SETTINGS = [{}, {"spark.sql.adaptive.coalescePartitions.enabled": "false"}, {"spark.sql.adaptive.enabled": "false"},
+            {"spark.sql.exchange.reuse": "false"}]
+
+
+def _under(spark, settings, run):
+    held = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        return run()
+    finally:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+
+
+@pytest.mark.parametrize("settings", SETTINGS)
+def test_ranks_lose_no_row_of_a_wide_table(spark, settings):
+    orders = spark.read.parquet("/root/testdata/sf0.1/orders.parquet")
+
+    def run():
+        r = rank_within(orders.withColumn("y", F.col("o_orderkey") % 3), ["y"], ["o_orderkey"], "r")
+        one = r.agg(F.count("*").alias("n"), F.countDistinct("y", "r").alias("d"), F.max("r").alias("m"), F.countDistinct("o_orderkey").alias("k")).first()
+        f = stratified_folds(orders.withColumn("y", F.col("o_orderkey") % 3), "y", "o_orderkey")
+        return one, f.groupBy("y").agg(F.count("*").alias("n"), F.countDistinct("o_orderkey").alias("k")).agg(F.sum("n"), F.sum("k")).first()
+
+    one, folds = _under(spark, settings, run)
+    n = orders.count()
+    assert one["n"] == one["d"] == one["k"] == n and tuple(folds) == (n, n)
+
+
+@pytest.mark.parametrize("settings", SETTINGS)
+def test_quantiles_under_any_plan(spark, settings):
+    prices = spark.read.parquet("/root/testdata/sf0.1/orders.parquet").selectExpr("o_orderpriority g", "o_totalprice - 150000 v")
+    got = _under(spark, settings, lambda: exact_quantiles(prices, ["g"], "v", PROBS).toPandas().set_index("g"))
+    for g, part in prices.toPandas().groupby("g"):
+        assert np.allclose(got.loc[g], part["v"].astype(float).quantile(PROBS), rtol=1e-12, atol=0)
+
+
+def test_ranks_with_null_keys_ties_and_text_order(spark):
+    rows = [(None, None), (None, "b"), ("x", "a"), ("x", None), ("x", "c"), ("x", "b")]
+    got = rank_within(spark.createDataFrame(rows, "g string, o string"), ["g"], ["o"], "r").collect()
+    assert sorted((r["g"] or "", r["o"] or "", r["r"]) for r in got) == [("", "", 0), ("", "b", 1), ("x", "", 0), ("x", "a", 1), ("x", "b", 2), ("x", "c", 3)]
+
+
+def test_quantiles_of_odd_values(spark):
+    rows = [(float("inf"),), (float("-inf"),), (0.0,), (-0.0,), (5e-324,), (-1e308,), (1e308,), (None,)]
+    df = spark.createDataFrame(rows, "v double")
+    r = exact_quantiles(df, [], "v", [0.0, 0.5, 1.0], count_name="n").first()
+    assert (r["q_0"], r["q_1"], r["q_2"], r["n"]) == (float("-inf"), 0.0, float("inf"), 7)
+    assert exact_quantiles(df.limit(0), [], "v", [0.5]).collect() == []
