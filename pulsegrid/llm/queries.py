@@ -77,4 +77,23 @@ QUERIES = {f.__name__: f for f in (
     op6_multi_index_top_k, op7_pareto_mix, op8_style_tree_text, op9_epsilon_grid_join,
     op10_partial_matching_scores)}
 
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op6_multi_index_top_k": """
+WITH c AS (SELECT vec_id, list_transform(embedding, lambda x: x > 0) AS b FROM embeddings
+           WHERE vec_id IS NOT NULL AND len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x))) = 0),
+d AS (SELECT q.vec_id AS query_id, o.vec_id AS neighbour_id,
+             CAST(list_sum(list_transform(list_zip(q.b, o.b), lambda z: CAST(z[1] <> z[2] AS INTEGER))) AS BIGINT) AS distance
+      FROM c q CROSS JOIN c o WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS INTEGER) AS rank FROM d)
+SELECT query_id, rank, neighbour_id, distance FROM r WHERE rank <= 10""",
+    "op9_epsilon_grid_join": """
+WITH RECURSIVE v AS (SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT *, sqrt(list_dot_product(e, e)) AS size FROM v),
+l AS (SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.label = b.label AND len(a.e) = len(b.e) AND a.vec_id <> b.vec_id
+      WHERE list_dot_product(a.e, b.e) / (a.size * b.size) >= 0.98),
+r AS (SELECT vec_id AS v, vec_id AS c FROM embeddings UNION SELECT l.b, r.c FROM r JOIN l ON l.a = r.v)
+SELECT e.vec_id, (SELECT count(*) FROM l WHERE l.a = e.vec_id) AS n_links, r.c AS component_id, e.vec_id = r.c AS kept
+FROM embeddings e JOIN (SELECT v, min(c) AS c FROM r GROUP BY v) r ON r.v = e.vec_id""",
+}

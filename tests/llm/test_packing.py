@@ -10,8 +10,8 @@ from pulsegrid.llm.packing import best_fit_plan, pack_documents, sequences
 from pulsegrid.llm.queries import tokenizer_path
 
 
-@settings(max_examples=60, deadline=None)
-@given(st.dictionaries(st.integers(1, 64), st.integers(0, 300), max_size=30))
+@settings(max_examples=40, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(0, 60), max_size=20))
 def test_plan_places_every_piece_once_without_overlap(counts):
     used, ranks = defaultdict(list), defaultdict(list)
     for length, lo, hi, seq, offset, each in best_fit_plan(counts, 64):
@@ -26,14 +26,17 @@ def test_plan_places_every_piece_once_without_overlap(counts):
             assert offset == at
             at += length
         assert at <= 64
-    total = sum(n * c for n, c in counts.items())
-    least = max(-(-total // 64), sum(c for n, c in counts.items() if n > 32))
-    assert len(used) <= 11 * least / 9 + 1  # the bound of best-fit decreasing
+    rooms = []  # best-fit decreasing, piece by piece
+    for length in sorted((n for n, c in counts.items() for _ in range(c)), reverse=True):
+        fits = [r for r in rooms if r >= length]
+        if fits:
+            rooms.remove(min(fits))
+        rooms.append((min(fits) if fits else 64) - length)
+    assert len(used) == len(rooms)
     assert sorted(used) == list(range(len(used)))
 
 
-def test_plan_is_best_fit_and_rejects_long():
-    assert len({s for *_, s, _, _ in best_fit_plan({6: 2, 5: 1, 4: 2, 3: 1}, 10)}) >= 1
+def test_plan_rejects_long_pieces():
     with pytest.raises(ValueError):
         best_fit_plan({11: 1}, 10)
 
