@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 WORD = r"[^\x20\x09-\x0D]+"
+BATCH_BYTES, ARROW_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", 16 << 20
 TWO_52 = float(1 << 52)
 
 
@@ -35,7 +36,12 @@ def stage_table(df: DataFrame, name: str) -> DataFrame:
     lineage, survives lost executors, and every later use sees the same rows."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    held = spark.conf.get(BATCH_BYTES)
+    spark.conf.set(BATCH_BYTES, ARROW_BYTES)  # small batches to Python while this table is written
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(BATCH_BYTES, held)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -49,9 +55,15 @@ def ship_package(spark: SparkSession) -> None:
 
 
 def map_arrow(df: DataFrame, function, schema: str) -> DataFrame:
-    """``mapInArrow`` with the package at hand on every executor."""
+    """``mapInArrow`` with the package at hand on every executor; workers
+    return freed Arrow memory to the system."""
     ship_package(df.sparkSession)
-    return df.mapInArrow(function, schema)
+
+    def run(batches):
+        pa.set_memory_pool(pa.system_memory_pool())
+        return function(batches)
+
+    return df.mapInArrow(run, schema)
 
 
 def uniform(*parts: Column | str) -> Column:
