@@ -13,7 +13,7 @@ from pulsegrid.llm.common import doc_remainder, stage_table
 from pulsegrid.llm.queries import tokenizer_path
 
 MIN_QUALITY, MIN_SHARE = 0.5, 0.4
-ROWS_TO_BROADCAST = 1_000_000
+ROWS_TO_BROADCAST = 100_000
 
 
 def _side(df: DataFrame) -> DataFrame:
