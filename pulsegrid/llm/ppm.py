@@ -31,11 +31,12 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import _LOWER, map_arrow, ship_package, stage_table, text_slices, word_keys, word_spans
 
-ORDER = 4
-CHUNK_BYTES = 32 << 20
+ORDER = 5
+CHUNK_BYTES = 16 << 20
 PAD, END = 0xFE, 0xFF
 SYMBOLS = 256
 BLOCK = 1 << 20
+ROW_BITS = 64 - 8 * (ORDER + 1)  # a row number takes the bits that a string leaves
 
 
 def _strings(data: np.ndarray, offsets: np.ndarray):
@@ -198,16 +199,16 @@ def score_documents(df: DataFrame, train, key: str = "doc_id", text: str = "text
                 known[part] = np.bincount(row, c > 0, rows).astype(np.int64)
                 base[part] = np.bincount(row, np.log10(c + 0.1), rows)
             for keys, row in _strings(data, offsets):
-                for lo in range(0, rows, 1 << 24):  # a row number takes 24 bits beside a string's 40
-                    here = (row >= lo) & (row < lo + (1 << 24)) if rows > 1 << 24 else slice(None)
-                    packed = np.sort((keys[here] << np.uint64(24)) | (row[here] - lo).astype(np.uint64))
-                    bare = packed >> np.uint64(24)
+                for lo in range(int(row[0]) if len(row) else 0, int(row[-1]) + 1 if len(row) else 0, 1 << ROW_BITS):
+                    here = slice(*np.searchsorted(row, (lo, lo + (1 << ROW_BITS))))
+                    packed = np.sort((keys[here] << np.uint64(ROW_BITS)) | (row[here] - lo).astype(np.uint64))
+                    bare = packed >> np.uint64(ROW_BITS)
                     if not len(bare):
                         continue
                     cut = np.flatnonzero(np.concatenate(([True], bare[1:] != bare[:-1])))
                     value = string_score[np.searchsorted(string_at, bare[cut])]
                     value = np.repeat(value, np.diff(np.concatenate((cut, [len(bare)]))))
-                    got = np.bincount((packed & np.uint64((1 << 24) - 1)).astype(np.int64), value)
+                    got = np.bincount((packed & np.uint64((1 << ROW_BITS) - 1)).astype(np.int64), value)
                     total[first + lo:first + lo + len(got)] += got
         first = np.zeros(n, bool)
         first[:1] = True
