@@ -2,9 +2,9 @@
 
 The trie of byte contexts up to ORDER is learned from all training documents
 and kept as Spark tables, one per order: (context, symbol) counts. Escapes
-follow method C (a context seen n times with q symbols escapes with
-q / (n + q)), and symbols seen in a context are excluded from all shorter
-ones after an escape; below order 0 the symbols left are uniform. A context
+follow method D (a context seen n times with q symbols escapes with q / 2n,
+a symbol seen c times has (2c - 1) / 2n), and symbols seen in a context are
+excluded from all shorter ones after an escape; below order 0 the symbols left are uniform. A context
 never seen in training is skipped without cost. Texts start with pad bytes
 and end with an end symbol, neither of which UTF-8 contains, so the model is
 a distribution over whole texts. The same pass counts words for the base
@@ -31,8 +31,8 @@ from pyspark.sql import functions as F
 
 from pulsegrid.llm.common import _LOWER, map_arrow, ship_package, stage_table, text_slices, word_keys, word_spans
 
-ORDER = 5
-CHUNK_BYTES = 16 << 20
+ORDER = 4
+CHUNK_BYTES = 32 << 20
 PAD, END = 0xFE, 0xFF
 SYMBOLS = 256
 BLOCK = 1 << 20
@@ -151,12 +151,12 @@ def trie_scores(strings: DataFrame) -> DataFrame:
             t = t.join(lower, "short")
             t = t.withColumn("left_n", F.col("seen_") - F.sum(F.when(F.col("n") > 0, F.col("n_")).otherwise(0)).over(context))
             t = t.withColumn("left_kinds", F.col("kinds_") - F.col("kinds"))
-            rest = F.col("left_n") + F.col("left_kinds")
+            rest = 2 * F.col("left_n")
             t = t.withColumn("below", F.when(F.col("seen") == 0, F.col("p_"))
-                             .when(F.col("n_") > 0, F.col("n_") / F.greatest(F.lit(1), rest))
+                             .when(F.col("n_") > 0, (2 * F.col("n_") - 1) / F.greatest(F.lit(1), rest))
                              .otherwise(F.when(rest > 0, F.col("left_kinds") / F.greatest(F.lit(1), rest)).otherwise(1.0) * F.col("below_")))
-        whole = F.greatest(F.lit(1), F.col("seen") + F.col("kinds"))
-        t = t.withColumn("p", F.when(F.col("seen") == 0, F.col("below")).when(F.col("n") > 0, F.col("n") / whole)
+        whole = F.greatest(F.lit(1), 2 * F.col("seen"))
+        t = t.withColumn("p", F.when(F.col("seen") == 0, F.col("below")).when(F.col("n") > 0, (2 * F.col("n") - 1) / whole)
                          .otherwise(F.col("kinds") / whole * F.col("below")))
         lower = t.select(F.col("key").alias("short"), *[F.col(c).alias(c + "_") for c in ("n", "seen", "kinds", "below", "p")])
     return t.select("key", F.log10("p").alias("score"))

@@ -13,7 +13,7 @@ LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 
 
 class Trie:
-    """Partial matching with method C and exclusion, symbol by symbol."""
+    """Partial matching with method D and exclusion, symbol by symbol."""
 
     def __init__(self, texts):
         self.count = defaultdict(Counter)
@@ -30,9 +30,9 @@ class Trie:
             if not seen:
                 continue
             left = {a: n for a, n in seen.items() if a not in out}
-            whole = sum(left.values()) + len(left)
+            whole = 2 * sum(left.values())
             if symbol in left:
-                return p * left[symbol] / whole
+                return p * (2 * left[symbol] - 1) / whole
             if left:
                 p *= len(left) / whole
             out |= set(seen)
