@@ -119,15 +119,20 @@ def threshold_grid(df: DataFrame, y: str = "y", score: str = "score", step: floa
                    lo: float = 0.0, hi: float = 4.0, classes: Sequence[int] = (0, 1, 2, 3)) -> DataFrame:
     """Best ordered thresholds t1 < t2 < t3 on the grid lo + k*step for QWK.
 
-    Scores are snapped to grid cells once (cell = number of grid points at
-    or below the score); the data is reduced to cumulative counts per
-    (cell, class), so each candidate needs three equi-joins on the grid
-    index, never a pass over the rows. Ties go to the smallest triple.
-    A missing score counts as above every threshold (class 3).
+    Scores are put in grid cells once (cell = number of grid points at or
+    below the score, by the same comparison as ``threshold_round``); the data
+    is reduced to cumulative counts per (cell, class), so each candidate needs
+    three equi-joins on the grid index, never a pass over the rows. The kappa
+    is that of ``qwk``: ranks among the labels seen or predicted by the
+    candidate. Ties go to the smallest triple. A missing score counts as above
+    every threshold (class 3).
     """
     K = int(round((hi - lo) / step))
-    cell = (F.when(F.col(score).isNull(), F.lit(K + 1))
-            .otherwise(F.least(F.lit(K + 1), F.greatest(F.lit(0), F.floor((F.col(score) - lo) / step).cast("int") + 1))))
+    s = F.greatest(F.lit(lo - step), F.least(F.lit(hi + step), F.col(score).cast("double")))
+    near = F.floor((s - lo) / step).cast("int")
+    # the division may land beside a grid point; the comparison decides
+    at = near + (s >= F.lit(lo) + (near + 1) * F.lit(step)).cast("int") - (s < F.lit(lo) + near * F.lit(step)).cast("int")
+    cell = F.when(F.col(score).isNull(), F.lit(K + 1)).otherwise(F.least(F.lit(K + 1), F.greatest(F.lit(0), at + 1)))
     d = df.where(F.col(y).isNotNull()).select(F.col(y).cast("int").alias("_y"), cell.alias("_cell"))
     counts = d.groupBy("_cell").agg(*[F.count(F.when(F.col("_y") == c, 1)).alias(f"_n{c}") for c in classes])
     # cum_c(k) = rows of class c whose score is below grid point k (cells < k+1)
@@ -151,10 +156,18 @@ def threshold_grid(df: DataFrame, y: str = "y", score: str = "score", step: floa
         a, b, cc, n = (F.col(f"k1_c{c}"), F.col(f"k2_c{c}"), F.col(f"k3_c{c}"), F.lit(tot_row[f"N{c}"]))
         O[c] = [a, b - a, cc - b, n - cc]
     N = sum(F.lit(tot_row[f"N{c}"]) for c in classes).cast("double")
-    num = sum(((ci - j) ** 2) * O[c][j] for ci, c in enumerate(classes) for j in range(4))
-    row_m = [sum(O[c][j] for j in range(4)) for c in classes]
+    row_m = {c: sum(O[c][j] for j in range(4)) for c in classes}
     col_m = [sum(O[c][j] for c in classes) for j in range(4)]
-    den = sum(((ci - j) ** 2) * row_m[ci] * col_m[j] for ci in range(len(classes)) for j in range(4)) / N
+
+    def rank(v):
+        seen = [((row_m[u] if u in row_m else F.lit(0)) + (col_m[u] if u in range(4) else F.lit(0)) > 0).cast("int")
+                for u in sorted({*classes, *range(4)}) if u < v]
+        return sum(seen, F.lit(0))
+
+    cand = cand.select("*", *[rank(v).alias(f"i{v}") for v in sorted({*classes, *range(4)})])
+    gap = {(c, j): (F.col(f"i{c}") - F.col(f"i{j}")) * (F.col(f"i{c}") - F.col(f"i{j}")) for c in classes for j in range(4)}
+    num = sum(gap[c, j] * O[c][j] for c in classes for j in range(4))
+    den = sum(gap[c, j] * row_m[c] * col_m[j] for c in classes for j in range(4)) / N
     scored = cand.select(
         (F.lit(lo) + F.col("k1") * step).alias("t1"), (F.lit(lo) + F.col("k2") * step).alias("t2"),
         (F.lit(lo) + F.col("k3") * step).alias("t3"), "k1", "k2", "k3",
@@ -162,13 +175,3 @@ def threshold_grid(df: DataFrame, y: str = "y", score: str = "score", step: floa
     best = scored.agg(F.max_by(F.struct("t1", "t2", "t3", "qwk"),
                                F.struct(F.coalesce("qwk", F.lit(-2.0)), -F.col("k1"), -F.col("k2"), -F.col("k3"))).alias("b"))
     return best.select("b.t1", "b.t2", "b.t3", "b.qwk")
-
-
-def grid_round(score: Column, t1: Column, t2: Column, t3: Column, step: float = 0.1, lo: float = 0.0,
-               hi: float = 4.0) -> Column:
-    """Apply grid thresholds exactly as ``threshold_grid`` scored them (on grid cells)."""
-    K = int(round((hi - lo) / step))
-    cell = (F.when(score.isNull(), F.lit(K + 1))
-            .otherwise(F.least(F.lit(K + 1), F.greatest(F.lit(0), F.floor((score - lo) / step).cast("int") + 1))))
-    k = lambda t: F.round((t - lo) / step).cast("int")
-    return F.when(cell <= k(t1), 0).when(cell <= k(t2), 1).when(cell <= k(t3), 2).otherwise(3).cast("int")

@@ -417,15 +417,20 @@ def metric_queries() -> dict[str, str]:
         f"WITH {S} SELECT avg(CAST(y = p AS DOUBLE)) AS accuracy, avg(abs(y - p)) AS mae, "
         "CAST(count(*) AS BIGINT) AS n FROM s WHERE y IS NOT NULL AND p IS NOT NULL", ["accuracy", "mae"])
     K = 40
-    tg = (f"WITH {S}, d AS (SELECT y, CASE WHEN score IS NULL THEN {K + 1} ELSE least({K + 1}, greatest(0, "
-          f"CAST(floor((score - 0.0) / 0.1) AS INTEGER) + 1)) END AS cell FROM s WHERE y IS NOT NULL), "
+    t = [f"CAST(k{i} AS DOUBLE) * CAST('0.1' AS DOUBLE)" for i in (1, 2, 3)]
+    rank = lambda v: "CAST(" + " + ".join(f"s{u} * CAST({v} > {u} AS INTEGER)" for u in range(3)) + " AS DOUBLE)"
+    tg = (f"WITH {S}, d AS (SELECT y, score, count(*) AS n FROM s WHERE y IS NOT NULL GROUP BY 1, 2), "
           f"g AS (SELECT range AS k FROM range(0, {K + 1})), "
           "c AS (SELECT a.k AS k1, b.k AS k2, c.k AS k3 FROM g a, g b, g c WHERE a.k < b.k AND b.k < c.k), "
-          "pr AS (SELECT k1, k2, k3, CAST(y AS DOUBLE) AS i, CAST(CASE WHEN cell <= k1 THEN 0 WHEN cell <= k2 THEN 1 "
-          "WHEN cell <= k3 THEN 2 ELSE 3 END AS DOUBLE) AS j FROM c, d), "
-          "qq AS (SELECT k1, k2, k3, 1.0 - " + sdiv("sum((i - j) * (i - j))",
-                                                    "sum(i * i) + sum(j * j) - 2 * sum(i) * sum(j) / count(*)") +
-          " AS qwk FROM pr GROUP BY k1, k2, k3) "
+          f"pr AS (SELECT k1, k2, k3, y, CASE WHEN score < {t[0]} THEN 0 WHEN score < {t[1]} THEN 1 "
+          f"WHEN score < {t[2]} THEN 2 ELSE 3 END AS p, n FROM c, d), "
+          "m AS (SELECT k1, k2, k3, y, p, sum(n) AS n FROM pr GROUP BY ALL), "
+          "f AS (SELECT k1, k2, k3, " + ", ".join(f"max(CAST(y = {u} OR p = {u} AS INTEGER)) AS s{u}" for u in range(3)) +
+          " FROM m GROUP BY ALL), "
+          f"ij AS (SELECT k1, k2, k3, n, {rank('y')} AS i, {rank('p')} AS j FROM m JOIN f USING (k1, k2, k3)), "
+          "qq AS (SELECT k1, k2, k3, 1.0 - " + sdiv("sum(n * (i - j) * (i - j))",
+                                                    "sum(n * i * i) + sum(n * j * j) - 2 * sum(n * i) * sum(n * j) / sum(n)") +
+          " AS qwk FROM ij GROUP BY k1, k2, k3) "
           "SELECT 0.0 + k1 * 0.1 AS t1, 0.0 + k2 * 0.1 AS t2, 0.0 + k3 * 0.1 AS t3, qwk FROM qq "
           "ORDER BY coalesce(qwk, -2.0) DESC, k1, k2, k3 LIMIT 1")
     q["threshold_grid"] = rnd(f"SELECT CAST(t1 AS DOUBLE) AS t1, CAST(t2 AS DOUBLE) AS t2, CAST(t3 AS DOUBLE) AS t3, "

@@ -86,7 +86,7 @@ PARTICIPANT_EXPRS = [
     ("cgas_cgas_score", "CASE WHEN c_custkey % 4 = 0 THEN NULL ELSE CAST(40 + c_custkey % 60 AS DOUBLE) END"),
     ("physical_bmi", "CASE WHEN c_custkey % 13 = 0 THEN NULL ELSE 12 + CAST(c_custkey * 7 % 200 AS DOUBLE) / 10 END"),
     ("physical_height", "CASE WHEN c_custkey % 11 = 0 THEN NULL ELSE 40 + CAST(c_custkey * 13 % 400 AS DOUBLE) / 10 END"),
-    ("physical_weight", "60 + c_acctbal / 100"),
+    ("physical_weight", "10 + c_acctbal / 100"),
     ("physical_waist_circumference", "CASE WHEN c_custkey % 3 = 0 THEN NULL ELSE CAST(20 + c_custkey % 15 AS DOUBLE) END"),
     ("physical_diastolic_bp", "CAST(60 + c_custkey % 30 AS DOUBLE)"),
     ("physical_heartrate", "CASE WHEN c_custkey % 9 = 0 THEN NULL ELSE CAST(60 + c_custkey % 50 AS DOUBLE) END"),

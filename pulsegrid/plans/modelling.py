@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.operators.fitted import fit_row
-from pulsegrid.operators.metrics import grid_round, half_even_class, qwk, threshold_grid
+from pulsegrid.operators.metrics import half_even_class, qwk, threshold_grid, threshold_round
 from pulsegrid.operators.quantiles import exact_quantiles
 from pulsegrid.operators.ranking import stratified_folds
 from pulsegrid.session import ensure_checkpoint_dir
@@ -70,6 +70,31 @@ def ensemble_members(max_iter: int = 20, max_depth: int = 4, seed: int = SEED) -
     }
 
 
+def voting_ensembles(seed: int = SEED) -> list[dict]:
+    """The two voting ensembles of the source: three tuned boosted members,
+    and five with the defaults of their libraries. L1 / L2 leaf penalties and
+    leaf counts have no counterpart; a leaf count becomes the depth that holds it."""
+    # Rounds, learning rate, depth, row share, feature share, rows per leaf.
+    tuned = {
+        "leafwise": (300, 0.046, 12, 0.784, "0.893", 13),
+        "levelwise": (200, 0.05, 6, 0.8, "0.8", 1),
+        "symmetric": (200, 0.05, 6, 1.0, "all", 1),
+    }
+    plain = {
+        "leafwise": (100, 0.1, 5, 1.0, "all", 20),
+        "levelwise": (100, 0.3, 6, 1.0, "all", 1),
+        "symmetric": (1000, 0.03, 6, 1.0, "all", 1),
+        "stagewise": (100, 0.1, 3, 1.0, "all", 1),
+    }
+
+    def boosted(rounds, rate, depth, rows, columns, leaf):
+        return GBTRegressor(maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=rows,
+                            featureSubsetStrategy=columns, minInstancesPerNode=leaf, seed=seed)
+
+    forest = RandomForestRegressor(numTrees=100, maxDepth=30, featureSubsetStrategy="all", seed=seed)
+    return [{k: boosted(*v) for k, v in tuned.items()}, {**{k: boosted(*v) for k, v in plain.items()}, "forest": forest}]
+
+
 def _fit_predict(members: dict, train: DataFrame, targets: list[DataFrame], features: Sequence[str],
                  label: str) -> list[DataFrame]:
     """Voting regressor: unweighted mean of member predictions, per id."""
@@ -91,47 +116,52 @@ def _fit_predict(members: dict, train: DataFrame, targets: list[DataFrame], feat
 
 def train_oof(train: DataFrame, test: DataFrame | None, label: str, features: Sequence[str],
               members: dict | None = None, n_splits: int = N_SPLITS, seed: int = SEED,
-              max_parallel_folds: int = N_SPLITS):
-    """Stratified k-fold: returns (oof[id, fold, y, score], test[id, score] or None).
+              max_parallel_folds: int = N_SPLITS, train_side: bool = False):
+    """Stratified k-fold: returns (oof[id, fold, y, score], test[id, score] or None);
+    with ``train_side`` also the scores of each fold's own training rows, in
+    the columns of oof, for the train-side kappa per fold.
 
     Per fold, medians are fitted on the fold's training part only; the test
     prediction is the mean over folds (bagging)."""
     members = members or ensemble_members(seed=seed)
     # the fold table is read by every fit: keep it (recomputed from lineage if lost)
     folded = stratified_folds(train, label, "id", n_splits, seed).persist()
+
     def run_fold(k: int):
         tr = folded.where(F.col("fold") != k)
         va = folded.where(F.col("fold") == k)
         med = fit_imputer(tr, features)
         tr_i, va_i = impute(tr, med, features), impute(va, med, features)
-        targets = [va_i] + ([impute(test, med, features)] if test is not None else [])
+        targets = [va_i] + ([impute(test, med, features)] if test is not None else []) + ([tr_i] if train_side else [])
         preds = _fit_predict(members, tr_i, targets, features, label)
         oof_k = preds[0].join(va.select("id", "fold", F.col(label).alias("y")), "id")
-        return oof_k, (preds[1] if test is not None else None)
-
-    # the folds are independent: their fits are submitted as concurrent Spark
-    # jobs (each still runs distributed on the executors)
-    with ThreadPoolExecutor(max_workers=max(1, min(n_splits, max_parallel_folds))) as pool:
-        results = list(pool.map(run_fold, range(n_splits)))
-    oof_parts = [r[0] for r in results]
-    test_parts = [r[1] for r in results if r[1] is not None]
-    oof = oof_parts[0]
-    for p in oof_parts[1:]:
-        oof = oof.unionByName(p)
-    tp = None
-    if test_parts:
-        u = test_parts[0]
-        for p in test_parts[1:]:
-            u = u.unionByName(p)
-        tp = u.groupBy("id").agg(F.avg("score").alias("score"))
-    # cut the lineage of k x members model applications in the shared
-    # checkpoint folder, then release the fold table
-    ensure_checkpoint_dir(train.sparkSession)
-    oof = oof.select("id", "fold", F.col("y").cast("int").alias("y"), "score").checkpoint(eager=True)
-    if tp is not None:
-        tp = tp.checkpoint(eager=True)
-    folded.unpersist()
-    return oof, tp
+        own = preds[-1].join(tr.select("id", F.lit(k).alias("fold"), F.col(label).alias("y")), "id") if train_side else None
+        return oof_k, (preds[1] if test is not None else None), own
+
+    def union(parts):
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    try:
+        # the folds are independent: their fits are submitted as concurrent Spark
+        # jobs (each still runs distributed on the executors)
+        with ThreadPoolExecutor(max_workers=max(1, min(n_splits, max_parallel_folds))) as pool:
+            results = list(pool.map(run_fold, range(n_splits)))
+        # cut the lineage of k x members model applications in the shared
+        # checkpoint folder, then release the fold table
+        ensure_checkpoint_dir(train.sparkSession)
+        typed = ["id", "fold", F.col("y").cast("int").alias("y"), "score"]
+        oof = union([r[0] for r in results]).select(*typed).checkpoint(eager=True)
+        tp = None
+        if test is not None:
+            tp = union([r[1] for r in results]).groupBy("id").agg(F.avg("score").alias("score")).checkpoint(eager=True)
+        if train_side:
+            return oof, tp, union([r[2] for r in results]).select(*typed).checkpoint(eager=True)
+        return oof, tp
+    finally:
+        folded.unpersist()
 
 
 def evaluate_oof(oof: DataFrame, test_scores: DataFrame | None = None, step: float = 0.1):
@@ -144,12 +174,12 @@ def evaluate_oof(oof: DataFrame, test_scores: DataFrame | None = None, step: flo
     per_fold = qwk(rounded, "y", "p", by=["fold"])
     best = fit_row(threshold_grid(oof, "y", "score", step=step))
     t = [F.lit(best["t1"]), F.lit(best["t2"]), F.lit(best["t3"])]
-    tuned = oof.withColumn("p", grid_round(F.col("score"), *t, step=step))
+    tuned = oof.withColumn("p", threshold_round(F.col("score"), t))
     tuned_q = fit_row(qwk(tuned, "y", "p"))["qwk"]
     summary = per_fold.agg(F.avg("qwk").alias("mean_qwk")).select(
         "mean_qwk", F.lit(best["t1"]).alias("t1"), F.lit(best["t2"]).alias("t2"), F.lit(best["t3"]).alias("t3"),
         F.lit(tuned_q).cast("double").alias("tuned_qwk"))
     test = None
     if test_scores is not None:
-        test = test_scores.select("id", grid_round(F.col("score"), *t, step=step).alias("sii"))
+        test = test_scores.select("id", threshold_round(F.col("score"), t).alias("sii"))
     return per_fold, summary, test

@@ -11,16 +11,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.metrics import majority_vote
-from pulsegrid.plans.modelling import ensemble_members, evaluate_oof, train_oof
+from pulsegrid.plans.modelling import evaluate_oof, train_oof, voting_ensembles
 
 
 def score_cohort(train: DataFrame, test: DataFrame, label: str, features: Sequence[str],
                  ensembles: Sequence[dict] | None = None, step: float = 0.1) -> tuple[DataFrame, list[DataFrame]]:
     """Returns (final[id, sii], summaries) where each summary row holds the
     ensemble's mean fold QWK, tuned thresholds and tuned QWK."""
-    if ensembles is None:
-        full = ensemble_members()
-        ensembles = [{k: full[k] for k in ("gbt_a", "gbt_b", "rf")}, {k: full[k] for k in ("gbt_a", "rf")}]
+    ensembles = voting_ensembles() if ensembles is None else ensembles
     train = train.where(F.col(label).isNotNull())
     votes, summaries = [], []
     for i, members in enumerate(ensembles):

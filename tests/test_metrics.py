@@ -54,21 +54,27 @@ def test_threshold_grid_brute_force(spark):
     s = np.clip(y + rng.normal(0, 0.7, 120), 0, 3.9)
     df = spark.createDataFrame([(int(a), float(b)) for a, b in zip(y, s)], "y int, score double")
     best = M.threshold_grid(df, "y", "score", step=0.5, lo=0.0, hi=4.0).collect()[0]
-    K = 8
-    cells = [min(K + 1, max(0, int(np.floor(v / 0.5)) + 1)) for v in s]
-    top = None
+    K, top = 8, None
     for k1 in range(K + 1):
         for k2 in range(k1 + 1, K + 1):
             for k3 in range(k2 + 1, K + 1):
-                p = [0 if c <= k1 else 1 if c <= k2 else 2 if c <= k3 else 3 for c in cells]
-                labels = sorted(set(y) | set(p))
-                q = _qwk_numpy(list(y), p) if len(labels) == 4 else None
-                if q is not None and (top is None or q > top[0] + 1e-12):
+                p = [sum(v >= k * 0.5 for k in (k1, k2, k3)) for v in s]
+                q = _qwk_numpy(list(y), p)
+                if top is None or q > top[0] + 1e-12:
                     top = (q, k1, k2, k3)
     assert abs(best["qwk"] - top[0]) < 1e-9
     assert (round(best["t1"] / 0.5), round(best["t2"] / 0.5), round(best["t3"] / 0.5)) == top[1:]
 
 
+def test_threshold_grid_is_the_kappa_of_rounded_scores(spark):
+    """Scores on grid points (17 * 0.1 is above 1.7), class 2 absent, one score missing."""
+    rows = [(0, 0.3), (0, 1.7), (1, 1.7), (1, 0.6), (3, 3.1), (3, None), (0, 0.1), (1, 3.0)]
+    df = spark.createDataFrame(rows, "y int, score double")
+    b = M.threshold_grid(df, "y", "score").collect()[0]
+    rounded = df.withColumn("p", M.threshold_round(F.col("score"), (b["t1"], b["t2"], b["t3"])))
+    assert abs(M.qwk(rounded).collect()[0]["qwk"] - b["qwk"]) < 1e-12
+
+
 def test_confusion_and_report(spark):
     df = spark.createDataFrame([(0, 0), (0, 1), (1, 1), (3, 3)], "y int, p int")
     c = {(r["y"], r["p"]): r["count"] for r in M.confusion(df).collect()}

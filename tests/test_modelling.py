@@ -3,7 +3,8 @@
 import numpy as np
 from pyspark.sql import functions as F
 
-from pulsegrid.plans.modelling import ensemble_members, evaluate_oof, feature_columns, train_oof
+from pulsegrid.operators.metrics import half_even_class, qwk
+from pulsegrid.plans.modelling import ensemble_members, evaluate_oof, feature_columns, train_oof, voting_ensembles
 
 
 def _table(spark, n=240, seed=2):
@@ -23,7 +24,10 @@ def test_oof_and_evaluation(spark):
     feats = feature_columns(train, ["id", "y"])
     assert feats == ["a", "b"]
     members = {k: v for k, v in ensemble_members(max_iter=3, max_depth=3).items() if k in ("gbt_a", "rf")}
-    oof, tp = train_oof(train, test, "y", feats, members)
+    oof, tp, own = train_oof(train, test, "y", feats, members, train_side=True)
+    # a row trains in every fold but its own
+    assert own.count() == 240 * 4 and own.join(oof, ["id", "fold"]).count() == 0
+    assert qwk(own.withColumn("p", half_even_class(F.col("score"))), by=["fold"]).count() == 5
     assert oof.count() == 240 and tp.count() == 40
     assert oof.select("fold").distinct().count() == 5
     assert oof.where(F.col("score").isNull()).count() == 0
@@ -45,3 +49,10 @@ def test_score_cohort_majority(spark):
     rows = final.collect()
     assert len(rows) == 30 and all(r["sii"] in (0, 1, 2, 3) for r in rows)
     assert len(summaries) == 2 and summaries[0].collect()[0]["tuned_qwk"] is not None
+
+
+def test_voting_ensembles_have_the_stated_parameters():
+    tuned, plain = voting_ensembles()
+    assert len(tuned) == 3 and len(plain) == 5
+    assert tuned["leafwise"].getMaxIter() == 300 and plain["symmetric"].getMaxIter() == 1000
+    assert plain["forest"].getNumTrees() == 100 and plain["stagewise"].getMaxDepth() == 3
