@@ -2,12 +2,14 @@
 
 Pages of one host are merged into a tree whose nodes are paths of block
 elements (tag, class, id; digits folded). A node's presentation importance is
-the entropy of the child sequences it shows over its ``m`` pages, base m; its
-content importance is 1 minus the mean entropy of its texts over the pages
-(a text on n of m pages: log n / log m). A branch weighs its own presentation
-by 1 - GAMMA and the content below it by GAMMA; branches under LOW on hosts
-where they stand on at least MIN_PAGES pages are removed from every page. The
-tree lives in aggregates by (host, path); no host is ever in one task.
+the entropy of the child sequences it shows, base the host's ``m`` pages; its
+content importance is 1 minus the mean entropy of its texts over the host's
+pages (a text on n of m pages: log n / log m). Pages of a host with the same
+article count once. A branch weighs its own presentation by 1 - GAMMA and the
+content below it by GAMMA; branches under LOW that stand on at least MIN_PAGES
+such pages are removed from every page, but never below a page's own <article>
+or <main>. The tree lives in aggregates by (host, path); no host is ever in
+one task.
 
 Before that a page loses what HTML itself marks as no article: scripts,
 styles, navigation, footers, forms, asides, hidden parts and elements whose
@@ -16,7 +18,7 @@ blocks count. A page that the tree alone would empty keeps what the marks
 left, so a host of copies is not wiped out.
 
 Rows: null or empty html gives an empty text; a null url is the host of
-nulls; repeated pages count as pages; broken nesting and open tags are
+nulls; repeated pages give a row each; broken nesting and open tags are
 mended as browsers do for paragraphs and list items; very long pages are
 read whole; an empty table gives an empty table.
 """
@@ -157,12 +159,16 @@ class Page(HTMLParser):
         if not self.stack[-1][2]:
             self.text.append(data)
 
-    def article(self) -> list[tuple[str, str]]:
-        """(path, text) of the blocks that HTML's marks leave."""
+    def marked(self) -> list[tuple[str, str, bool, bool]]:
+        """The blocks that HTML's marks leave."""
         for mark in (2, 3):
             if some := [b for b in self.blocks if b[mark]]:
-                return [b[:2] for b in some]
-        return [b[:2] for b in self.blocks]
+                return some
+        return self.blocks
+
+    def article(self) -> list[tuple[str, str]]:
+        """(path, text) of the blocks that HTML's marks leave."""
+        return [b[:2] for b in self.marked()]
 
 
 def _key(text: str) -> int:
@@ -181,31 +187,34 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     def nodes(batches):
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [], [], [])
+            out: tuple[list, ...] = ([], [], [], [], [], [])
             keys: dict[str, int] = {}
             ups: dict[str, str] = {}
             key = lambda s: keys[s] if s in keys else keys.setdefault(s, _key(s))  # noqa: B023, E731
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = Page(html.as_py() or "")
-                rows = {(p, 1, _key(t)) for p, t in page.article()} | {(p, 2, key(s)) for p, s in page.styles if p}
-                rows |= {(p, 0, 0) for p, _, _ in rows}
+                blocks = page.article()
+                same = _key("\n".join(t for _, t in blocks))
+                rows = {(p, 1, _key(t)) for p, t in blocks} | {(p, 2, key(s)) for p, s in page.styles if p}
+                rows |= {(p, 0, 0) for p, _, _ in rows} | {("", 0, 0)}  # the empty path is the host's
                 for p, kind, value in rows:
                     if p not in ups:
                         ups[p] = ",".join(str(key(x)) for x in _up(p))
-                    for o, x in zip(out, (host, key(p), ups[p], kind, value), strict=True):
+                    for o, x in zip(out, (host, key(p), ups[p], kind, value, same), strict=True):
                         o.append(x)
-            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64()), strict=True)],
-                                             ["host", "path", "up", "kind", "value"])
+            yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)],
+                                             ["host", "path", "up", "kind", "value", "same"])
 
-    seen = map_arrow(pages.select("host", "html"), nodes, "host string, path long, up string, kind int, value long")
-    seen = seen.groupBy("host", "path", "up", "kind", "value").agg(F.count(F.lit(1)).alias("n"))
+    seen = map_arrow(pages.select("host", "html"), nodes, "host string, path long, up string, kind int, value long, same long")
+    seen = seen.groupBy("host", "path", "up", "kind", "value").agg(F.count_distinct("same").alias("n"))
     of = lambda kind, x: F.when(F.col("kind") == kind, x)
     n, ln = F.col("n"), F.log(F.col("n").cast("double"))
-    node = seen.groupBy("host", "path", "up").agg(
+    node = stage_table(seen.groupBy("host", "path", "up").agg(
         F.max(of(0, n)).alias("m"), F.avg(of(1, ln)).alias("text_ln"), F.count(of(1, n)).alias("texts"),
-        F.sum(of(2, n)).alias("shown"), F.sum(of(2, n * ln)).alias("shown_ln"))
-    base = F.log(F.col("m").cast("double"))
-    alone = F.col("m") < 2
+        F.sum(of(2, n)).alias("shown"), F.sum(of(2, n * ln)).alias("shown_ln")), "style-nodes")
+    node = node.where("up != ''").join(node.where("up = ''").select("host", F.col("m").alias("pages")), "host")
+    base = F.log(F.col("pages").cast("double"))
+    alone = F.col("pages") < 2
     node = stage_table(node.select(
         "host", "path", "up", "m", "texts",
         F.when(alone, 1.0).otherwise((F.log(F.col("shown").cast("double")) - F.col("shown_ln") / F.col("shown")) / base).alias("presentation"),
@@ -229,12 +238,12 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str =
         for batch in batches:
             out, cuts = [], {}
             for html_, cut_ in zip(batch.column(2), batch.column(3), strict=True):
-                blocks = Page(html_.as_py() or "").article()
+                blocks = Page(html_.as_py() or "").marked()
                 drop = set(cut_.as_py() or ())
                 if drop:
-                    lost = {p: any((cuts[x] if x in cuts else cuts.setdefault(x, _key(x))) in drop for x in _up(p)) for p in {p for p, _ in blocks}}
-                    blocks = [b for b in blocks if not lost[b[0]]] or blocks
-                out.append("\n".join(t for _, t in blocks))
+                    lost = {p: any((cuts[x] if x in cuts else cuts.setdefault(x, _key(x))) in drop for x in _up(p)) for p in {b[0] for b in blocks}}
+                    blocks = [b for b in blocks if b[2] or b[3] or not lost[b[0]]] or blocks
+                out.append("\n".join(b[1] for b in blocks))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],
                                              ["key", "url", "text", "n_chars"])
 

@@ -42,3 +42,24 @@ def test_style_tree_drops_repeated_branches(spark):
     assert by[100] == "Welcome to our site" and by[101] == "" and by[102] == "" and by[103] == by[0]
     assert all(r["n_chars"] == len(r["text"]) for r in got)
     assert main_text(df.limit(0)).collect() == []
+
+
+def test_style_tree_keeps_articles_of_copies_and_section_heads(spark):
+    own = lambda i, n: "".join(f"<p>Own sentence {i} {j}.</p>" for j in range(n))
+    site = "<div class=site>Welcome to our site</div>"
+    rows = [(i, f"<body>{site}<article><h2>Introduction</h2>{own(i, 3)}<h2>References</h2></article></body>") for i in range(30)]
+    copy = f"<article><h2>Introduction</h2>{own(99, 3)}<blockquote>Quoted</blockquote><ul><li>One<li>Two</ul></article>"
+    rows += [(100 + i, f"<body>{site}{copy}</body>") for i in range(12)]
+    # the same without marks: copies of one text with a block that no other page has
+    loose = f"<div class=story>{own(77, 3)}<blockquote>Quoted</blockquote></div>"
+    rows += [(200 + i, f"<body>{site}{loose}</body>") for i in range(12)]
+    rows += [(300 + i, f"<body>{site}<div class=story>{own(i + 300, 2)}{'<blockquote>Rare words</blockquote>' if i < 9 else ''}</div></body>") for i in range(80)]
+    df = spark.createDataFrame([(k, "https://copies.example/x", h) for k, h in rows], "page_id long, url string, html string")
+    by = {r["page_id"]: r["text"] for r in main_text(df).collect()}
+    for i in range(30):
+        assert by[i].split("\n") == ["Introduction", *[f"Own sentence {i} {j}." for j in range(3)], "References"]
+    for i in range(12):
+        assert by[100 + i].split("\n") == ["Introduction", *[f"Own sentence 99 {j}." for j in range(3)], "Quoted", "One", "Two"]
+        assert by[200 + i].split("\n") == [*[f"Own sentence 77 {j}." for j in range(3)], "Quoted"]
+    for i in range(9):
+        assert by[300 + i].split("\n") == [*[f"Own sentence {i + 300} {j}." for j in range(2)], "Rare words"]
