@@ -19,7 +19,8 @@ left, so a host of copies is not wiped out.
 
 Rows: null or empty html gives an empty text; a null url is the host of
 nulls; repeated pages give a row each; broken nesting and open tags are
-mended as browsers do for paragraphs and list items; very long pages are
+mended as browsers do for paragraphs and list items; unknown declarations are
+comments; very long pages are
 read whole; an empty table gives an empty table.
 """
 
@@ -53,6 +54,15 @@ KEEP = {"html", "body", "article", "main"}
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 HOLDERS = {"ul", "ol", "dl", "table", "tbody", "thead", "tfoot", "article", "main", "body", "section", "div", "select"}
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+")
+#: Marked sections that the parser reads.
+_SECTION = re.compile(r"<!\[(?:temp|cdata|ignore|include|rcdata|if|else|endif)(?![-.\w])", re.I)
+#: Character numbers with more digits than int() takes.
+_DIGITS = re.compile(r"&#([0-9]{1000,});?")
+
+
+def _number(m: re.Match) -> str:
+    digits = m[1].lstrip("0") or "0"
+    return f"&#{digits};" if len(digits) < 8 else "\ufffd"
 
 
 def _noise(tag: str, attrs: dict, inside: bool) -> bool:
@@ -80,15 +90,17 @@ class Page(HTMLParser):
         self.blocks: list[tuple[str, str, bool, bool]] = []
         self.styles: list[tuple[str, str]] = []
         self.text: list[str] = []
-        try:
-            self.feed(html)
-            self.close()
-        except (AssertionError, ValueError):  # a declaration that the parser gives up on: what came before stays
-            pass
+        self.feed(_DIGITS.sub(_number, html))
+        self.close()
         self._flush()
         while len(self.stack) > 1:
             self._pop()
 
+    def parse_marked_section(self, i, report=1):
+        # the parser gives up on sections it does not know; browsers read a comment up to the next '>'
+        end = super().parse_marked_section(i, report) if _SECTION.match(self.rawdata, i) else -1
+        return end if end >= 0 else self.parse_bogus_comment(i, report)
+
     def _flush(self) -> None:
         if self.text:
             words = " ".join("".join(self.text).split())

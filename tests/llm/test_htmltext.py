@@ -63,3 +63,11 @@ def test_style_tree_keeps_articles_of_copies_and_section_heads(spark):
         assert by[200 + i].split("\n") == [*[f"Own sentence 77 {j}." for j in range(3)], "Quoted"]
     for i in range(9):
         assert by[300 + i].split("\n") == [*[f"Own sentence {i + 300} {j}." for j in range(2)], "Rare words"]
+
+
+def test_text_after_odd_declarations_stays():
+    assert text("<![bad[ <p>y") == "y" and text("<p>x<![bad[ z ]]><p>y") == "x\ny"
+    assert text("<p>x<![]><p>y") == "x\ny" and text("<p>x<![ 5>5]><p>y").endswith("\ny") and text("<p>x<![iffy]><p>y") == "x\ny"
+    assert text("<p>x<![if !IE]>z<![endif]><p>y") == "xz\ny" and text("<p>x<![CDATA[ a > b ]]><p>y") == "x\ny"
+    assert text("<p>x<![CDATA[ open <p>y") == "xy" and text("<p>x<!odd [ (a)><p>y") == "x\ny"
+    assert text(f"<p>x&#{'9' * 5000};<p>y") == "x\ufffd\ny" and text(f"<p>x&#{'0' * 5000}65;<p>y") == "xA\ny"
