@@ -19,8 +19,8 @@ left, so a host of copies is not wiped out.
 
 Rows: null or empty html gives an empty text; a null url is the host of
 nulls; repeated pages give a row each; broken nesting and open tags are
-mended as browsers do for paragraphs and list items; unknown declarations are
-comments; very long pages are
+mended as browsers do for paragraphs and list items; a head ends where
+its content does; unknown declarations are comments; very long pages are
 read whole; an empty table gives an empty table.
 """
 
@@ -49,6 +49,8 @@ NOISE_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor s
                   "consent gdpr notice notices alert alerts popup modal overlay newsletter subscribe subscription signup signin login register social "
                   "share sharing shares related recommended recommendations comment comments commentlist disqus reply replies respond discussion search "
                   "pagination pager widget widgets toolbar skip form hidden".split())
+#: What may stand in a head; anything else ends it.
+IN_HEAD = set("base basefont bgsound head link meta noframes noscript script style template title".split())
 KEEP = {"html", "body", "article", "main"}
 #: A tag that opens closes these first, up to the nearest of their holders.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -125,6 +127,8 @@ class Page(HTMLParser):
                 return
 
     def handle_starttag(self, tag, attrs):
+        if tag == "body" or self.stack[-1][0] == "head" and tag not in IN_HEAD:
+            self._close({"head"}, set())
         if tag in INLINE:
             if tag == "br":
                 self.text.append(" ")
@@ -168,6 +172,8 @@ class Page(HTMLParser):
                 return
 
     def handle_data(self, data):
+        if self.stack[-1][0] == "head" and data.strip():
+            self._close({"head"}, set())
         if not self.stack[-1][2]:
             self.text.append(data)
 

@@ -71,3 +71,10 @@ def test_text_after_odd_declarations_stays():
     assert text("<p>x<![if !IE]>z<![endif]><p>y") == "xz\ny" and text("<p>x<![CDATA[ a > b ]]><p>y") == "x\ny"
     assert text("<p>x<![CDATA[ open <p>y") == "xy" and text("<p>x<!odd [ (a)><p>y") == "x\ny"
     assert text(f"<p>x&#{'9' * 5000};<p>y") == "x\ufffd\ny" and text(f"<p>x&#{'0' * 5000}65;<p>y") == "xA\ny"
+
+
+def test_head_without_end_tag():
+    assert text("<html><head><title>t</title><body><p>x") == "x" and text("<head><title>t<body><p>x") == "x"
+    assert text("<html><head><meta charset=utf-8><link rel=x><style>p{}</style><script>1</script><noscript><img src=x>n</noscript><p>x<p>y") == "x\ny"
+    assert text("<head><title>t</title>\n <a href=x>x</a> tail") == "x tail" and text("<head><title>t</title> loose <p>x") == "loose\nx"
+    assert text("<head><title>t</title></head><body><p>x") == "x" and text("<head><title>t</title>") == ""
