@@ -13,9 +13,13 @@ one task.
 
 Before that a page loses what HTML itself marks as no article: scripts,
 styles, navigation, footers, forms, asides, hidden parts and elements whose
-class or id names such a part. With an <article> (else <main>) only its
-blocks count. A page that the tree alone would empty keeps what the marks
-left, so a host of copies is not wiped out.
+class or id names such a part by its first or last word. Names cut no prose
+element within an article, and no branch with more text of its own (the tree
+has no say against it) than the page has besides, unless it stands outside an
+article or main that the page has. With an <article> or <main>
+only its blocks count: the article if it holds half of main's text (without a
+main: of the page's), else main (the page). A page that the tree alone would
+empty keeps what the marks left, so a host of copies is not wiped out.
 
 Rows: null or empty html gives an empty text; a null url is the host of
 nulls; repeated pages give a row each; broken nesting and open tags are
@@ -51,6 +55,10 @@ NOISE_NAMES = set("ad ads adv advert adverts advertisement advertising sponsor s
                   "pagination pager widget widgets toolbar skip form hidden".split())
 #: What may stand in a head; anything else ends it.
 IN_HEAD = set("base basefont bgsound head link meta noframes noscript script style template title".split())
+#: Within an article these are prose, whatever their class or id.
+PROSE = INLINE | set("h1 h2 h3 h4 h5 h6 p blockquote pre li dt dd td th tr caption figcaption".split())
+#: Names that start so say what an element is not, or how it is shown.
+DENIALS = set("has no not non with without hide hides overflow".split())
 KEEP = {"html", "body", "article", "main"}
 #: A tag that opens closes these first, up to the nearest of their holders.
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
@@ -78,18 +86,33 @@ def _noise(tag: str, attrs: dict, inside: bool) -> bool:
         return True
     if "display:none" in (attrs.get("style") or "").replace(" ", "").lower():
         return True
-    names = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-    return bool(names.strip()) and any(n in NOISE_NAMES and not (inside and n == "header") for n in map(str.lower, _NAME.findall(names)))
+    return False
+
+
+def _named(tag: str, attrs: dict, inside: bool) -> bool:
+    """Whether a class or the id names a part that is no article."""
+    if tag in KEEP or (inside and tag in PROSE):
+        return False
+    names = attrs.get("class", "").split()
+    if not (inside and tag == "section"):
+        names += attrs.get("id", "").split()
+    for name in names:
+        words = [w.lower() for w in _NAME.findall(name)]
+        if words and words[0] not in DENIALS and any(w in NOISE_NAMES and not (inside and w == "header") for w in (words[0], words[-1])):
+            return True
+    return False
 
 
 class Page(HTMLParser):
-    """Blocks of one page: (path, text, in article, in main), and the child
-    sequence of every element."""
+    """Blocks of one page: (path, text, in article, in main, path of the
+    outermost element around it that is cut by name and whether that one is in
+    an article or main), and the child sequence
+    of every element."""
 
     def __init__(self, html: str):
         super().__init__(convert_charrefs=True)
-        self.stack = [["", "", False, False, False, []]]  # tag, path, noise, in article, in main, children
-        self.blocks: list[tuple[str, str, bool, bool]] = []
+        self.stack = [["", "", False, False, False, [], ()]]  # tag, path, noise, in article, in main, children, cut by name
+        self.blocks: list[tuple[str, str, bool, bool, tuple]] = []
         self.styles: list[tuple[str, str]] = []
         self.text: list[str] = []
         self.feed(_DIGITS.sub(_number, html))
@@ -108,12 +131,12 @@ class Page(HTMLParser):
             words = " ".join("".join(self.text).split())
             self.text.clear()
             if words:
-                _, path, _, article, main, _ = self.stack[-1]
-                self.blocks.append((path, words, article, main))
+                _, path, _, article, main, _, named = self.stack[-1]
+                self.blocks.append((path, words, article, main, named))
 
     def _pop(self) -> None:
         top = self.stack.pop()
-        if not top[2]:
+        if not top[2] and not top[6]:
             self.styles.append((top[1], " ".join(top[5])))
 
     def _close(self, tags: set[str], holders: set[str]) -> None:
@@ -132,10 +155,10 @@ class Page(HTMLParser):
         if tag in INLINE:
             if tag == "br":
                 self.text.append(" ")
-            elif self.stack[-1][2] or not attrs or not _noise(tag, {k: v or "" for k, v in attrs}, self.stack[-1][3] or self.stack[-1][4]):
-                return
-            else:  # an inline element that is marked as no article
-                self.stack.append([tag, self.stack[-1][1], True, False, False, []])
+            elif not self.stack[-1][2] and attrs:
+                attrs, inside = {k: v or "" for k, v in attrs}, self.stack[-1][3] or self.stack[-1][4]
+                if _noise(tag, attrs, inside) or _named(tag, attrs, inside):  # an inline element that is marked as no article
+                    self.stack.append([tag, self.stack[-1][1], True, False, False, [], ()])
             return
         attrs = {k: v or "" for k, v in attrs}
         if tag not in VOID or tag == "hr":
@@ -146,15 +169,17 @@ class Page(HTMLParser):
             self._flush()
         if tag in VOID:
             return
-        _, path, noise, article, main, children = self.stack[-1]
+        _, path, noise, article, main, children, named = self.stack[-1]
         if noise:
-            self.stack.append([tag, path, True, False, False, children])
+            self.stack.append([tag, path, True, False, False, children, ()])
             return
         name = re.sub(r"\d+", "0", ".".join([tag, *sorted(attrs.get("class", "").split()), attrs.get("id", "")]))
         noise = _noise(tag, attrs, article or main)
-        if not noise and (not children or children[-1] != name):
+        if not named and not noise and _named(tag, attrs, article or main):
+            named = (f"{path}/{name}", article or main)
+        if not noise and not named and (not children or children[-1] != name):
             children.append(name)
-        self.stack.append([tag, f"{path}/{name}", noise, article or tag == "article", main or tag == "main" or attrs.get("role") == "main", []])
+        self.stack.append([tag, f"{path}/{name}", noise, article or tag == "article", main or tag == "main" or attrs.get("role") == "main", [], named])
 
     def handle_startendtag(self, tag, attrs):
         self.handle_starttag(tag, attrs)
@@ -177,12 +202,30 @@ class Page(HTMLParser):
         if not self.stack[-1][2]:
             self.text.append(data)
 
-    def marked(self) -> list[tuple[str, str, bool, bool]]:
-        """The blocks that HTML's marks leave."""
-        for mark in (2, 3):
-            if some := [b for b in self.blocks if b[mark]]:
-                return some
-        return self.blocks
+    def marked(self, low=lambda path: False) -> list[tuple[str, str, bool, bool, tuple]]:
+        """The blocks that HTML's marks leave; text under a ``low`` path has
+        no weight in the choices."""
+        size = lambda blocks: sum(len(b[1]) for b in blocks if not low(b[0]))
+
+        def scope(blocks):
+            article, main = [b for b in blocks if b[2]], [b for b in blocks if b[3]]
+            if not article:
+                return main or blocks
+            if 2 * size(b for b in article if b[3] or not main) >= size(main or blocks):
+                return article
+            if main and size(article) > size(main):  # articles beside a main with less text
+                return [b for b in blocks if b[2] or b[3]]
+            return main or blocks
+
+        left = scope(plain := [b for b in self.blocks if not b[4]])
+        marks = any(b[2] or b[3] for b in plain)
+        named: dict[tuple, int] = {}
+        for b in self.blocks:
+            if b[4] and (b[4][1] or not marks):
+                named[b[4]] = named.get(b[4], 0) + size([b])
+        if named and max(named.values()) > (most := size(left)):
+            left = scope([b for b in self.blocks if not b[4] or named.get(b[4], 0) > most])
+        return left
 
     def article(self) -> list[tuple[str, str]]:
         """(path, text) of the blocks that HTML's marks leave."""
@@ -211,9 +254,8 @@ def style_tree(pages: DataFrame) -> DataFrame:
             key = lambda s: keys[s] if s in keys else keys.setdefault(s, _key(s))  # noqa: B023, E731
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = Page(html.as_py() or "")
-                blocks = page.article()
-                same = _key("\n".join(t for _, t in blocks))
-                rows = {(p, 1, _key(t)) for p, t in blocks} | {(p, 2, key(s)) for p, s in page.styles if p}
+                same = _key("\n".join(t for _, t in page.article()))
+                rows = {(b[0], 1, _key(b[1])) for b in page.blocks} | {(p, 2, key(s)) for p, s in page.styles if p}
                 rows |= {(p, 0, 0) for p, _, _ in rows} | {("", 0, 0)}  # the empty path is the host's
                 for p, kind, value in rows:
                     if p not in ups:
@@ -256,11 +298,14 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str =
         for batch in batches:
             out, cuts = [], {}
             for html_, cut_ in zip(batch.column(2), batch.column(3), strict=True):
-                blocks = Page(html_.as_py() or "").marked()
+                page = Page(html_.as_py() or "")
                 drop = set(cut_.as_py() or ())
                 if drop:
-                    lost = {p: any((cuts[x] if x in cuts else cuts.setdefault(x, _key(x))) in drop for x in _up(p)) for p in {b[0] for b in blocks}}
-                    blocks = [b for b in blocks if b[2] or b[3] or not lost[b[0]]] or blocks
+                    lost = {p: any((cuts[x] if x in cuts else cuts.setdefault(x, _key(x))) in drop for x in _up(p)) for p in {b[0] for b in page.blocks}}
+                    blocks = page.marked(lost.__getitem__)
+                    blocks = [b for b in blocks if ((b[2] or b[3]) and not b[4]) or not lost[b[0]]] or blocks
+                else:
+                    blocks = page.marked()
                 out.append("\n".join(b[1] for b in blocks))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.string()), pa.array(map(len, out), pa.int64())],
                                              ["key", "url", "text", "n_chars"])

@@ -78,3 +78,36 @@ def test_head_without_end_tag():
     assert text("<html><head><meta charset=utf-8><link rel=x><style>p{}</style><script>1</script><noscript><img src=x>n</noscript><p>x<p>y") == "x\ny"
     assert text("<head><title>t</title>\n <a href=x>x</a> tail") == "x tail" and text("<head><title>t</title> loose <p>x") == "loose\nx"
     assert text("<head><title>t</title></head><body><p>x") == "x" and text("<head><title>t</title>") == ""
+
+
+def test_names_do_not_cut_the_article():
+    story = "<article><p>A story of some length.</p><p>And more.</p></article>"
+    want = "A story of some length.\nAnd more."
+    for name in ("content has-sidebar", "post no-comments", "with-ads", "overflow-hidden", "page-with-menu-left", "widget", "elementor-widget"):
+        assert text(f"<body><div class='{name}'>{story}</div><div class=sidebar>Links</div></body>") == want, name
+        assert text(f"<body><div class='{name}'><p>A story of some length.<p>And more.</div></body>") == want, name
+    inner = "<section id=discussion><h2 id=search>Search</h2><p class=notice>Note<p class=reply>Reply <em class=alert>now</em></section>"
+    assert text(f"<article><h1>T</h1>{inner}<p>Some more of the article.</article>") == "T\nSearch\nNote\nReply now\nSome more of the article."
+    assert text("<div class=ad>An advertisement longer than the article.</div><article><p>Short.</article>") == "Short."
+    # whole names, first and last words still cut
+    for name in ("sidebar", "ad-box", "main-menu", "cookieNotice"):
+        assert text(f"<div><p>A story of some length.</div><div class='{name}'>Less of it</div>") == "A story of some length.", name
+
+
+def test_article_or_main():
+    teaser, story = "<article><h3>Teaser</h3></article>", "<h1>Title</h1><p>The story itself is longer.</p>"
+    assert text(f"<body>{teaser}<main>{story}</main></body>") == "Title\nThe story itself is longer."
+    assert text(f"<main>{story}{teaser}</main>") == "Title\nThe story itself is longer.\nTeaser"
+    assert text(f"<main><p>Crumbs</p><article>{story}</article></main>") == "Title\nThe story itself is longer."
+    assert text(f"<div>{story}</div>{teaser}") == "Title\nThe story itself is longer.\nTeaser"
+    assert text(f"<main><p>Wait</p></main><article>{story}</article>") == "Wait\nTitle\nThe story itself is longer."
+
+
+def test_tree_confirms_cuts_by_name(spark):
+    shared = "<div class=sidebar><p>" + "The same long list of links on every page. " * 9 + "</p></div>"
+    rows = [(i, f"<body>{shared}<div class=story><p>Story {i}.</p></div></body>") for i in range(20)]
+    rows += [(100 + i, f"<body><div class=promo><p>Own words of page {i}, and many of them.</p></div><div class=story><p>Story {i + 50}.</p></div></body>") for i in range(20)]
+    df = spark.createDataFrame([(k, "https://names.example/x", h) for k, h in rows], "page_id long, url string, html string")
+    by = {r["page_id"]: r["text"] for r in main_text(df).collect()}
+    for i in range(20):
+        assert by[i] == f"Story {i}." and by[100 + i] == f"Own words of page {i}, and many of them.\nStory {i + 50}."
