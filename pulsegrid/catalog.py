@@ -19,6 +19,7 @@ from pulsegrid.plans import bindings as B
 from pulsegrid.plans import series as S
 from pulsegrid.plans.model_table import align_train, build_model_table
 from pulsegrid.plans.participants import SII_LABELS, add_target, health_features
+from pulsegrid.session import ensure_checkpoint_dir
 
 DIGITS = 6
 SEASONS_B = ["basic_demos_enroll_season", "physical_season"]
@@ -221,16 +222,21 @@ def q_fold_assignment(spark, d):
 
 
 def q_oof_predictions(spark, d):
-    from pulsegrid.plans.modelling import ensemble_members, feature_columns, train_oof
-    mt = build_model_table(B.participants(spark, d), None, SEASONS_B,
+    """Both voting ensembles on the full model table: out-of-fold scores of the
+    rows with a class, and (fold and y null) bagged scores of the rows without."""
+    from pulsegrid.plans.modelling import feature_columns, train_oof, voting_ensembles
+    mt = build_model_table(B.participants(spark, d), S.series_features(_series(spark, d)), SEASONS_B,
                            target_kwargs=dict(items=B.ITEM_COLS, total="pciat_pciat_total", bands=B.BINDING_BANDS))
-    train = mt.where(F.col("recalc_sii").isNotNull())
+    ensure_checkpoint_dir(spark)
+    mt = mt.checkpoint(eager=True)  # every fold and member reads it
+    train, test = mt.where(F.col("recalc_sii").isNotNull()), mt.where(F.col("recalc_sii").isNull())
     feats = feature_columns(train, ["id", "recalc_sii", "complete_resp_total", "pciat_pciat_total", *B.ITEM_COLS])
-    # small members keep the registered check quick; the full ensemble is
-    # ``ensemble_members()`` with its defaults
-    members = {k: v for k, v in ensemble_members(max_iter=3, max_depth=3).items() if k in ("gbt_a", "rf")}
-    oof, _ = train_oof(train, None, "recalc_sii", feats, members)
-    return rounded(oof)
+    out = None
+    for i, members in enumerate(voting_ensembles()):
+        oof, scores = train_oof(train, test, "recalc_sii", feats, members)
+        both = oof.unionByName(scores, allowMissingColumns=True).select(F.lit(i).alias("ensemble"), "id", "fold", "y", "score")
+        out = both if out is None else out.unionByName(both)
+    return rounded(out)
 
 
 QUERIES = {

@@ -56,3 +56,28 @@ def test_voting_ensembles_have_the_stated_parameters():
     assert len(tuned) == 3 and len(plain) == 5
     assert tuned["leafwise"].getMaxIter() == 300 and plain["symmetric"].getMaxIter() == 1000
     assert plain["forest"].getNumTrees() == 100 and plain["stagewise"].getMaxDepth() == 3
+
+
+def test_oof_predictions_trains_the_whole_job(spark, monkeypatch):
+    from conftest import SF
+
+    from pulsegrid.catalog import QUERIES
+    from pulsegrid.plans import bindings, modelling
+    from pulsegrid.plans import series
+    runs = []
+
+    def note(train, test, label, features, members):
+        runs.append((set(features), members))
+        assert train.where(F.col(label).isNull()).count() == 0 and test.where(F.col(label).isNotNull()).count() == 0
+        return (train.select("id", F.lit(0).alias("fold"), F.col(label).alias("y"), F.lit(1.0).alias("score")),
+                test.select("id", F.lit(2.0).alias("score")))
+
+    monkeypatch.setattr(modelling, "train_oof", note)
+    rows = QUERIES["oof_predictions"](spark, SF).collect()
+    people = bindings.participants(spark, SF).count()
+    named = set(series.series_features(bindings.series(spark, SF)).columns) - {"id"}
+    assert len(named) == 58 and all(named <= features for features, _ in runs)
+    assert [sorted(m) for _, m in runs] == [sorted(m) for m in voting_ensembles()]
+    assert runs[0][1]["leafwise"].getMaxIter() == 300 and runs[1][1]["symmetric"].getMaxIter() == 1000
+    assert len(rows) == 2 * people == 2 * len({r["id"] for r in rows})
+    assert 0 < sum(r["fold"] is None for r in rows) < len(rows)
