@@ -10,7 +10,10 @@ Documents: a source that must give ``rho`` times its size takes floor(rho)
 certain whole copies of each document; the rest is a Pareto sample: documents
 are ranked by odds(u) / odds(p), u a hash of the document and p the part of a
 copy still due, and taken in that order while their words fit into what is
-due. The last place goes to the document whose size comes nearest to the
+due. Then rounds step over what does not fit and go on down the order, with
+documents of at most half the words still missing, or of at most all of them
+if none is that small; a round or two halve what is missing, until nothing
+left fits. The last place goes to the document whose size comes nearest to the
 words still missing (if it comes nearer than taking none), so a heavy-tailed
 source still meets its target. Words, not documents, are the fixed size,
 since targets are in words.
@@ -56,6 +59,45 @@ def source_targets(sizes: DataFrame, weights: tuple[float, ...] = (3, 1, 2), sha
     return s.select("source", "source_size", "n", F.least("stop", F.col("w") * F.col("level")).alias("target"))
 
 
+def _taken() -> Column:
+    """Whether a round took a row: it is no larger than the round's limit and
+    stands before the round's end in the order."""
+    return F.exists("cuts", lambda c: (F.col("size") <= c["limit"]) & (
+        (F.col("block") < c["block"]) | ((F.col("block") == c["block"]) & (F.col("at") < c["at"]))))
+
+
+def _fill(pool: DataFrame, blocks: DataFrame, missing: DataFrame) -> DataFrame:
+    """One row per source: __s, missing (words that no row left fits into) and
+    cuts (limit, block, at of each round). ``pool`` holds the rows not yet
+    taken; a round sums them by block and looks into one block a source."""
+    state = stage_table(missing.select("__s", F.col("missing").cast("double").alias("missing"), F.expr(
+        "cast(array() as array<struct<limit: double, block: bigint, at: int>>)").alias("cuts")), "mix-fill")
+    source = Window.partitionBy("__s")
+    while True:
+        rest = pool.join(blocks.join(state, "__s"), ["__s", "block"]).where((F.col("size") <= F.col("missing")) & ~_taken())
+        small = F.when(F.col("size") * 2 <= F.col("missing"), F.col("size")).otherwise(0)
+        sums = stage_table(rest.groupBy("__s", "block").agg(F.max("missing").alias("missing"), F.sum(small).alias("small"), F.sum("size").alias("all")), "mix-sums")
+        if sums.isEmpty():
+            return state
+        half = F.sum("small").over(source) > 0
+        sums = sums.withColumn("limit", F.when(half, F.col("missing") / 2).otherwise(F.col("missing"))).withColumn(
+            "in_block", F.when(half, F.col("small")).otherwise(F.col("all")))
+        sums = sums.withColumn("before", F.sum("in_block").over(source.orderBy("block")) - F.col("in_block"))
+        edge = sums.where((F.col("before") <= F.col("missing")) & (F.col("before") + F.col("in_block") > F.col("missing")))
+        within = rest.drop("missing", "cuts").join(edge.select("__s", "block", "missing", "limit", "before"), ["__s", "block"]).where("size <= limit")
+        to = F.col("before") + F.sum("size").over(Window.partitionBy("__s", "block").orderBy("at"))
+        ends = within.withColumn("to", to).groupBy("__s", "block").agg(
+            F.min(F.when(F.col("to") > F.col("missing"), F.col("at"))).alias("at"),
+            F.coalesce(F.max(F.when(F.col("to") <= F.col("missing"), F.col("to"))), F.max("before")).alias("got"))
+        round_ = sums.groupBy("__s").agg(F.max("limit").alias("limit"), F.sum("in_block").alias("every")).join(ends, "__s", "left")
+        # without an end, all rows within the limit were taken
+        cut = F.struct("limit", F.coalesce("block", F.lit(2 ** 62)).alias("block"), F.coalesce("at", F.lit(0)).alias("at"))
+        round_ = round_.select("__s", F.coalesce("got", "every").alias("got"), cut.alias("cut"))
+        state = stage_table(state.join(round_, "__s", "left").select(
+            "__s", (F.col("missing") - F.coalesce("got", F.lit(0))).alias("missing"),
+            F.when(F.col("cut").isNull(), F.col("cuts")).otherwise(F.array_append("cuts", F.col("cut"))).alias("cuts")), "mix-fill")
+
+
 def mix_sources(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: float = 1.5, most: float = 2.0,
                 key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:
     """One row per input row: key, source, size, source_size, target, copies
@@ -87,14 +129,16 @@ def mix_sources(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: fl
     placed = ranked.join(blocks, ["__s", "block"]).withColumn("fits", fits)
     missing = placed.groupBy("__s").agg((F.max("due") - F.coalesce(
         F.max(F.when(F.col("fits"), F.col("words") + F.col("earlier"))), F.lit(0))).alias("missing"))
-    off = F.abs(F.col("size") - F.col("missing"))
-    last = (ranked.join(blocks.join(missing, "__s"), ["__s", "block"]).where((F.col("p") > 0) & ~fits & (F.col("size") > 0))
-            .groupBy("__s").agg(F.min(F.struct(off.alias("off"), F.col("rank"), F.col("block"), F.col("at"))).alias("b"),
-                                F.max("missing").alias("missing"))
+    pool = stage_table(placed.where((F.col("p") > 0) & ~F.col("fits") & (F.col("size") > 0))
+                       .select("__s", "block", "at", "rank", "size"), "mix-left")
+    state = _fill(pool, blocks.select("__s", "block"), missing)
+    last = (pool.join(blocks.select("__s", "block").join(state, "__s"), ["__s", "block"]).where(~_taken())
+            .withColumn("off", F.abs(F.col("size") - F.col("missing")))
+            .groupBy("__s").agg(F.min(F.struct("off", "rank", "block", "at")).alias("b"), F.max("missing").alias("missing"))
             .where(F.col("b.off") < F.col("missing"))
             .select("__s", F.col("b.block").alias("block"), F.col("b.at").alias("last_at")))
-    out = placed.join(last, ["__s", "block"], "left")
-    chosen = F.col("fits") | (F.col("at") == F.col("last_at"))
+    out = placed.join(blocks.select("__s", "block").join(state.select("__s", "cuts"), "__s"), ["__s", "block"]).join(last, ["__s", "block"], "left")
+    chosen = F.col("fits") | ((F.col("p") > 0) & (F.col("size") > 0) & _taken()) | (F.col("at") == F.col("last_at"))
     copies = (F.col("whole") + F.coalesce(chosen, F.lit(False)).cast("long")).cast("long")
     return out.select(F.col("k").alias(key), F.col("source").alias(source), "size", "source_size", "target",
                       copies.alias("copies"), (copies * F.col("size")).alias("taken"))

@@ -57,3 +57,19 @@ def test_empty_table_and_no_words(docs, spark):
     assert mix_sources(docs.limit(0)).collect() == []
     got = mix_sources(spark.createDataFrame([(1, None, "a"), (2, "", None)], "doc_id long, text string, source string")).collect()
     assert [(r["size"], r["target"], r["taken"]) for r in got] == [(0, 0.0, 0)] * 2
+
+
+def test_large_documents_are_stepped_over(spark, monkeypatch):
+    # one large document a source at any place of the order, and heavy tails; tiny ones can fill every gap
+    rows = [(1000 * s + i, 30 if i == 0 else 1, f"a{s:02}") for s in range(12) for i in range(71)]
+    rows += [(10**6 + i, max(1, int(3000 / (1 + i % 400))), "tail") for i in range(1200)]
+    df = spark.createDataFrame(rows, "doc_id long, n int, source string").selectExpr("doc_id", "repeat('w ', n) text", "source")
+    kinds = {"weights": (1,), "share": 0.5, "most": 0.5}
+    one = sorted(map(tuple, mix_sources(df, **kinds).collect()))
+    taken, target = defaultdict(int), {}
+    for _, source, _, _, due, _, words in one:
+        taken[source] += words
+        target[source] = due
+    assert all(abs(taken[s] - target[s]) <= max(1, 0.001 * target[s]) for s in target), (taken, target)
+    monkeypatch.setattr("pulsegrid.llm.mixing.BLOCK_ROWS", 20)
+    assert sorted(map(tuple, mix_sources(df, **kinds).collect())) == one
