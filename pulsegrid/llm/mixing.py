@@ -9,7 +9,8 @@ that fixed point has a closed form: the level is the largest of
 Documents: a source that must give ``rho`` times its size takes floor(rho)
 certain whole copies of each document; the rest is a Pareto sample: documents
 are ranked by odds(u) / odds(p), u a hash of the document and p the part of a
-copy still due, and taken in that order while their words fit into what is
+copy still due (the same for all documents of a source, so inclusion is equal
+within a source and the order is that of u), and taken in that order while their words fit into what is
 due. Then rounds step over what does not fit and go on down the order, with
 documents of at most half the words still missing, or of at most all of them
 if none is that small; a round or two halve what is missing, until nothing
