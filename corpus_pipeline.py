@@ -37,17 +37,20 @@ def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component, the one of the smallest doc_id; of
-    rows that repeat a doc_id one stays. Rows without a doc_id stay."""
-    verdict = stage_table(neardup.near_duplicates(docs), "verdict")
-    gone = stage_table(verdict.where("not kept and doc_id is not null").select("doc_id").distinct(), "gone")
-    left = docs.join(_side(gone), "doc_id", "left_anti").select(*docs.columns)
-    twice = stage_table(verdict.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc_id"), "repeated")
-    if twice.isEmpty():
-        return left
-    side = _side(twice)
-    return left.join(side, "doc_id", "left_anti").select(*docs.columns).union(
-        left.join(side, "doc_id", "left_semi").select(*docs.columns).dropDuplicates(["doc_id"]))
+    """One document of each component, the one of the smallest doc_id, and the
+    first of its rows without a doc_id. Rows are told apart by a number in the
+    order of doc_id, so rows that share a doc_id but are no near-duplicates
+    all stay; of rows without words that repeat doc_id and text one stays."""
+    rows = docs.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64(*docs.columns)).withColumn("__row", F.monotonically_increasing_id())
+    rows = stage_table(rows, "rows")
+    verdict = stage_table(neardup.near_duplicates(rows, key="__row"), "verdict")
+    nameless = verdict.join(rows.where("doc_id is null").select("__row"), "__row")
+    first = nameless.where("component_id is not null").groupBy("component_id").agg(F.min("__row").alias("__row")).select("__row")
+    bare = rows.where("doc_id is not null").join(verdict.where("n_shingles = 0").select("__row"), "__row")
+    once = bare.groupBy("doc_id", "text").agg(F.min("__row").alias("__row")).select("__row")
+    gone = verdict.where("not kept").select("__row").join(first, "__row", "left_anti").union(
+        bare.select("__row").join(once, "__row", "left_anti"))
+    return rows.join(_side(stage_table(gone, "gone")), "__row", "left_anti").select(*docs.columns)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

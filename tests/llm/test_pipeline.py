@@ -32,3 +32,14 @@ def test_repeated_ids_and_empty_table(spark):
     assert corpus_pipeline.drop_near_duplicates(spark, docs.limit(0), "").collect() == []
     assert corpus_pipeline.mix(spark, docs.limit(0), "").collect() == []
     assert corpus_pipeline.keep_language(spark, docs.limit(0), "").collect() == []
+
+
+def test_rows_without_or_with_shared_ids(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    one, two, three = (" ".join(f"{w}{i}" for i in range(50)) for w in ("one", "two", "three"))
+    rows = [(1, one), (1, two), (2, two), (None, three), (None, three), (None, three + " more"), (7, ""), (7, ""), (8, "")]
+    docs = spark.createDataFrame([(k, t, "en", "a", 1) for k, t in rows], schema)
+    got = corpus_pipeline.drop_near_duplicates(spark, docs, "").collect()
+    # both texts of id 1 stay, id 2 repeats one of them; of the copies without an id one stays
+    assert sorted((r["doc_id"], r["text"]) for r in got if r["doc_id"]) == [(1, one), (1, two), (7, ""), (8, "")]
+    assert len([r for r in got if r["doc_id"] is None]) == 1
