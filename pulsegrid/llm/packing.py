@@ -10,90 +10,26 @@ their length and take the planned slot of that rank by a join.
 
 Rows: a null text is empty and gives the end id alone; repeated rows are
 packed each; ties in length are ranked by key, piece and ids; an empty table
-gives an empty table; very long texts are tokenized whole, and one
-white-space-free run at a time. Only the named columns are read.
+gives an empty table; very long texts are tokenized whole (see chunks.py).
+Only the named columns are read, so other columns may have any name.
 """
 
 from __future__ import annotations
 
-import os
 import zlib
 from bisect import bisect_left, insort
+from itertools import pairwise
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from pulsegrid.llm.chunks import WordEndCoder, coder
 from pulsegrid.llm.common import map_arrow, stage_table
 from pulsegrid.llm.ranking import numbered
 
 BLOCK_ROWS = 4096
-CACHE_WORDS = 700_000
-
-
-class WordTokenizer:
-    """Ids of whole texts by a tokenizer that drops white space: the ids of a
-    text are those of its white-space-free runs, one after the other, so runs
-    seen before come from a bounded memory and new ones are encoded together,
-    parted by a special token that no run contains."""
-
-    MARK = "<|endoftext|>"
-
-    def __init__(self, path: str):
-        import re
-
-        from tokenizers import Tokenizer
-
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        self.tok = Tokenizer.from_file(path)
-        self.mark = self.tok.token_to_id(self.MARK)
-        self.seen: dict[bytes, bytes] = {}
-        # a run of letters or digits, then punctuation: two runs for the tokenizer, too
-        self.parts = re.compile(rb"([0-9A-Za-z\x80-\xff]*[0-9A-Za-z])([.,;:!?|$%&*#]+)").fullmatch
-
-    def _encode(self, runs: list[bytes]) -> None:
-        plain = [r for r in runs if b"<|" not in r]
-        for at in range(0, len(plain), 8192):
-            some = plain[at:at + 8192]
-            ids = np.array(self.tok.encode_batch_fast([self.MARK.join(r.decode() for r in some)], add_special_tokens=False)[0].ids, "<u4")
-            cuts = np.flatnonzero(ids == self.mark)
-            if len(cuts) != len(some) - 1:  # never merge what the mark did not part
-                plain_ids = [np.array(e.ids, "<u4") for e in self.tok.encode_batch_fast([r.decode() for r in some], add_special_tokens=False)]
-            else:
-                edges = np.concatenate(([-1], cuts, [len(ids)]))
-                plain_ids = [ids[a + 1:b] for a, b in zip(edges[:-1], edges[1:], strict=True)]
-            self.seen.update((r, x.tobytes()) for r, x in zip(some, plain_ids, strict=True))
-        for r in runs:
-            if b"<|" in r:
-                self.seen[r] = np.array(self.tok.encode(r.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-    def learn(self, texts: list[bytes]) -> None:
-        """Make sure that every run of ``texts`` is in memory."""
-        if len(self.seen) > CACHE_WORDS:
-            self.seen.clear()
-        new = set()
-        for t in texts:
-            new.update(t.split())
-        new -= self.seen.keys()
-        split = {r: (m[1].lower(), m[2]) for r in new if (m := self.parts(r))}
-        need = (new - split.keys()) | {x for pair in split.values() for x in pair}
-        self._encode(sorted(need - self.seen.keys()))
-        for r, (core, tail) in split.items():
-            self.seen[r] = self.seen[core] + self.seen[tail]
-
-    def ids(self, text: bytes) -> bytes:
-        """Little-endian unsigned 32-bit ids."""
-        return b"".join(map(self.seen.__getitem__, text.split()))
-
-
-_TOKENIZERS: dict[str, WordTokenizer] = {}
-
-
-def _tokenizer(path: str) -> WordTokenizer:
-    if path not in _TOKENIZERS:
-        _TOKENIZERS[path] = WordTokenizer(path)
-    return _TOKENIZERS[path]
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id",
@@ -105,30 +41,23 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_i
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(batches):
-        tok = _tokenizer(tokenizer_path)
+        tok = coder(WordEndCoder, tokenizer_path)
         for batch in batches:
             keys = batch.column(0)
-            texts = batch.column(1).cast(pa.binary())
-            at = 0
-            while at < len(texts):
-                some, size = [], 0
-                while at + len(some) < len(texts) and size < 1 << 22:
-                    some.append(texts[at + len(some)].as_py() or b"")
-                    size += len(some[-1])
-                tok.learn(some)
+            for first, ids, starts in tok.rows(batch.column(1)):
+                raw, starts = memoryview(ids.astype("<u4")).cast("B"), (4 * starts).tolist()
                 rows: list[tuple] = []
-                for i, t in enumerate(some):
-                    ids = memoryview(tok.ids(t) + end)
-                    for p, a in enumerate(range(0, len(ids), 4 * capacity)):
-                        part = ids[a:a + 4 * capacity]
-                        rows.append((at + i, p, a // 4, len(part) // 4, zlib.crc32(part), part))
+                for i, (a, b) in enumerate(pairwise(starts)):
+                    whole = memoryview(bytes(raw[a:b]) + end)
+                    for p, at in enumerate(range(0, len(whole), 4 * capacity)):
+                        part = whole[at:at + 4 * capacity]
+                        rows.append((first + i, p, at // 4, len(part) // 4, zlib.crc32(part), part))
                 columns = list(zip(*rows, strict=True))
                 out = [keys.take(pa.array(columns[0], pa.int64())), pa.array(columns[1], pa.int32())]
                 out += [pa.array(c, pa.int64()) for c in columns[2:5]]
                 if keep_ids:
                     out.append(pa.array([np.frombuffer(p, "<i4") for p in columns[5]], pa.list_(pa.int32())))
                 yield pa.RecordBatch.from_arrays(out, [key, "piece", "start", "length", "ids_crc32"] + ["ids"] * keep_ids)
-                at += len(some)
 
     return map_arrow(df.select(key, text), pieces, schema)
 
