@@ -34,9 +34,10 @@ _PUNCT &= ~_ALNUM
 
 
 def _wide_blank(a: np.ndarray, b: np.ndarray, c: np.ndarray) -> np.ndarray:
-    """Do the UTF-8 bytes a, b, c end with white space beyond ASCII?"""
+    """Do the UTF-8 bytes a, b, c end with white space beyond ASCII, or with
+    the sign that stands for a space in piece vocabularies?"""
     two = (b == 0xC2) & ((c == 0x85) | (c == 0xA0))
-    three = (a == 0xE2) & (((b == 0x80) & ((c < 0x8B) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F)))
+    three = (a == 0xE2) & (((b == 0x80) & ((c < 0x8B) | (c == 0xA8) | (c == 0xA9) | (c == 0xAF))) | ((b == 0x81) & (c == 0x9F)) | ((b == 0x96) & (c == 0x81)))
     rare = ((a == 0xE1) & (((b == 0x9A) & (c == 0x80)) | ((b == 0xA0) & (c == 0x8E)))) | ((a == 0xE3) & (b == 0x80) & (c == 0x80))
     return two | three | rare
 
