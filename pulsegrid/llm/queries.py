@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import epsgrid, hamming, htmltext, langid, mixing, neardup, packing, ppm, quality, sharding
+from pulsegrid.llm import crosstok, epsgrid, hamming, htmltext, langid, mixing, neardup, packing, ppm, quality, sharding
 from pulsegrid.llm.common import doc_remainder
 
 
@@ -14,10 +14,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def tokenizer_path() -> str:
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
     import public_tokenizers
 
-    return public_tokenizers.path("word_bpe_49k.json")
+    return public_tokenizers.path(name)
 
 
 def op1_hash_tree_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -72,10 +72,15 @@ def op10_partial_matching_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = crosstok.align_documents(_t(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
+    return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_shards, op2_span_language, op3_bottom_k_near_duplicates, op4_best_fit_packing, op5_rule_quality,
     op6_multi_index_top_k, op7_pareto_mix, op8_style_tree_text, op9_epsilon_grid_join,
-    op10_partial_matching_scores)}
+    op10_partial_matching_scores, op12_diagonal_alignment)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_multi_index_top_k": """
