@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import crosstok, epsgrid, hamming, htmltext, langid, mixing, neardup, packing, ppm, quality, sharding
+from pulsegrid.llm import crosstok, epsgrid, hamming, htmltext, langid, mixing, neardup, packing, ppm, quality, sharding, tokenfile
 from pulsegrid.llm.common import doc_remainder
 
 
@@ -72,6 +72,10 @@ def op10_partial_matching_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", (~F.col("train")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
 
 
+def op11_arrow_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenfile.round_trip(_t(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"))
+
+
 def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = crosstok.align_documents(_t(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model"))
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
@@ -80,7 +84,7 @@ def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_shards, op2_span_language, op3_bottom_k_near_duplicates, op4_best_fit_packing, op5_rule_quality,
     op6_multi_index_top_k, op7_pareto_mix, op8_style_tree_text, op9_epsilon_grid_join,
-    op10_partial_matching_scores, op12_diagonal_alignment)}
+    op10_partial_matching_scores, op11_arrow_token_files, op12_diagonal_alignment)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_multi_index_top_k": """
