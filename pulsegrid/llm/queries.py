@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pulsegrid.llm import crosstok, epsgrid, hamming, htmltext, langid, mixing, neardup, packing, ppm, quality, sharding, tokenfile
+from pulsegrid.llm import crosstok, epsgrid, hamming, htmltext, langid, mixing, neardup, packing, ppm, quality, sharding, tokenfile, variants
 from pulsegrid.llm.common import doc_remainder
 
 
@@ -81,10 +81,15 @@ def op12_diagonal_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
+def op13_bloom_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(_t(spark, sf_dir, "documents")).select("word", "form", "root", "n", "n_near", "form_n")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_hash_tree_shards, op2_span_language, op3_bottom_k_near_duplicates, op4_best_fit_packing, op5_rule_quality,
     op6_multi_index_top_k, op7_pareto_mix, op8_style_tree_text, op9_epsilon_grid_join,
-    op10_partial_matching_scores, op11_arrow_token_files, op12_diagonal_alignment)}
+    op10_partial_matching_scores, op11_arrow_token_files, op12_diagonal_alignment,
+    op13_bloom_spelling_variants)}
 
 ORACLE_SQL: dict[str, str] = {
     "op6_multi_index_top_k": """
