@@ -78,6 +78,15 @@ def doc_remainder(key: Column, n: int) -> Column:
     return F.crc32(F.coalesce(key.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def spare_name(df: DataFrame, name: str) -> str:
+    """``name``, or the first of ``_name``, ``__name``, ... that is no column
+    of ``df`` (names compare without case, as Spark does)."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = f"_{name}"
+    return name
+
+
 # ---- keys of words and shingles over Arrow string columns -----------------
 
 _P = np.uint64(0x9E3779B97F4A7C15)

@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from pulsegrid.llm.common import WORD, doc_remainder
+from pulsegrid.llm.common import WORD, doc_remainder, spare_name
 
 MAX_LABELS = 20_000
 TREES, DEPTH, BINS, STEP, LASSO = 40, 3, 64, 0.3, 4e-4
@@ -146,18 +146,22 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
     """Learn from at most ``max_labels`` labelled rows whose crc32(key as
     text) mod 3 is not 1. Only their statistics reach the driver."""
     picked = (labels.where(F.col(label).isNotNull() & F.col(key).isNotNull() & (doc_remainder(F.col(key), 3) != 1))
-              .select(F.col(key).alias("k"), F.col(label).cast("double").alias("y"))
-              .orderBy(F.xxhash64("k"), "k", "y").limit(max_labels))
+              .groupBy(F.col(key).alias("k")).agg(F.min(F.col(label).cast("double")).alias("y"))
+              .orderBy(F.xxhash64("k"), "k").limit(max_labels))
     stats = statistics(F.col("t"))
+    # repeated keys: one row each, whatever the number of copies
     rows = (docs.select(F.col(key).alias("k"), F.col(text).alias("t")).join(F.broadcast(picked), "k")
-            .select("y", *[e.alias(n) for n, e in stats.items()]))
-    got = np.array(rows.limit(2 * max_labels).collect(), float).reshape(-1, len(stats) + 1)
+            .groupBy("k").agg(F.min(F.struct("y", *[e.alias(n) for n, e in stats.items()])).alias("r")).select("r.*"))
+    got = np.array(rows.collect(), float).reshape(-1, len(stats) + 1)  # at most max_labels rows
     got = got[np.lexsort(got.T)]
     return fit_rules(got[:, 1:], got[:, 0], list(stats))
 
 
 def score_quality(docs: DataFrame, model: RuleModel, text: str = "text", name: str = "score") -> DataFrame:
-    """``docs`` with the score as column ``name`` (one of that name is replaced)."""
+    """``docs`` with the score as column ``name`` (one of that name is
+    replaced). The statistics come out of a generator, so a later filter on
+    the score refers to them and cannot repeat their expressions."""
     stats = statistics(F.col(text))
-    held = docs.withColumn("__stats", F.struct(*[e.alias(n) for n, e in stats.items()]))
-    return held.withColumn(name, model.score({n: F.col("__stats")[n] for n in stats})).drop("__stats")
+    held = spare_name(docs, "__stats")
+    rows = docs.select("*", F.explode(F.array(F.struct(*[e.alias(n) for n, e in stats.items()]))).alias(held))
+    return rows.withColumn(name, model.score({n: F.col(held)[n] for n in stats})).drop(held)

@@ -43,3 +43,22 @@ def test_held_out_quality(spark):
     got = op5_rule_quality(spark, sf).join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id").where("held_out").collect()
     good, bad = ([r["score"] for r in got if r["quality"] == q] for q in (1, 0))
     assert np.mean([a > b for a in good for b in bad]) > 0.97
+
+
+def test_repeated_keys_and_labels(spark):
+    texts = [" ".join(f"w{i}{j}" for j in range(i % 40 + 1)) for i in range(60)]
+    docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id long, text string")
+    labels = docs.select("doc_id", (F.col("doc_id") % 40 > 20).cast("int").alias("quality"))
+    once, often = fit_quality(docs, labels), fit_quality(docs.union(docs).union(docs), labels.union(labels))
+    assert once == often and once.rules
+
+
+def test_filter_on_the_score_computes_each_statistic_once(docs):
+    labels = docs.select("doc_id", F.when(F.length("text") > 600, 1).otherwise(0).alias("quality")).where("doc_id is not null")
+    model = fit_quality(docs, labels)
+    assert model.rules
+    scored = score_quality(docs.withColumn("__stats", F.lit(1)), model, name="__quality")
+    kept = scored.where(F.col("__quality") >= 0.5).select(*docs.columns)
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    own = score_quality(docs, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") <= own.count("regexp_extract_all") <= 20
