@@ -29,7 +29,7 @@ def _keys(keys) -> list[str]:
 
 def _lerp(a: Column, b: Column, t: Column) -> Column:
     # numpy's lerp: from the nearer end, exact at both ends
-    return F.when(a == b, a).when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
+    return F.when((a == b) | (t == 0), a).when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
 
 
 BINS = 64  # per power of two

@@ -14,5 +14,3 @@ def spark():
     yield s
     s.stop()
 
-
-SF = "/root/testdata/sf0.001"

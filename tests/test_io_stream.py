@@ -3,7 +3,7 @@ incremental (streaming) feature runner."""
 
 import tempfile
 
-from conftest import SF
+from core_paths import SF
 from pyspark.sql import functions as F
 
 from pulsegrid.plans import bindings

@@ -59,7 +59,7 @@ def test_voting_ensembles_have_the_stated_parameters():
 
 
 def test_oof_predictions_trains_the_whole_job(spark, monkeypatch):
-    from conftest import SF
+    from core_paths import SF
 
     from pulsegrid.catalog import QUERIES
     from pulsegrid.plans import bindings, modelling

@@ -4,7 +4,7 @@ frames and the invariants of FIXTURES.md F4."""
 import math
 
 import duckdb
-from conftest import SF
+from core_paths import SF
 
 from pulsegrid.catalog import rounded
 from pulsegrid.oracle import all_sql
