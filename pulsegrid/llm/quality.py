@@ -25,30 +25,54 @@ MAX_LABELS = 20_000
 TREES, DEPTH, BINS, STEP, LASSO = 40, 3, 64, 0.3, 4e-4
 
 
-def statistics(text: Column) -> dict[str, Column]:
-    """Name -> expression. Shares are of characters unless named otherwise."""
+def _lists(text: Column) -> dict[str, Column]:
     t = F.coalesce(text, F.lit(""))
-    chars = F.char_length(t)
-    share = lambda pattern: F.regexp_count(t, F.lit(pattern)) / F.greatest(F.lit(1), chars)
-    words = F.regexp_extract_all(F.lower(t), F.lit(WORD), F.lit(0))
-    n, distinct = F.size(words), F.size(F.array_distinct(words))
-    lines = F.split(t, "\n")
+    return {"t": t, "words": F.regexp_extract_all(F.lower(t), F.lit(WORD), F.lit(0)), "lines": F.split(t, "\n")}
+
+
+def _counts(part: dict[str, Column]) -> dict[str, Column]:
+    count = lambda pattern: F.regexp_count(part["t"], F.lit(pattern))
+    return {
+        "chars": F.char_length(part["t"]),
+        "words": F.size(part["words"]),
+        "distinct": F.size(F.array_distinct(part["words"])),
+        "symbols": count(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()\-]"),
+        "marks": count(r"[!?]"),
+        "capitals": count(r"\p{Lu}"),
+        "digits": count(r"\p{N}"),
+        "stops": count(r"[.,;:]"),
+        "lines": F.size(part["lines"]),
+        "distinct_lines": F.size(F.array_distinct(part["lines"])),
+    }
+
+
+def _shares(n: dict[str, Column]) -> dict[str, Column]:
+    chars, words = (F.greatest(F.lit(1), n[c]) for c in ("chars", "words"))
     return {
-        "chars": chars.cast("double"),
-        "words": n.cast("double"),
-        "word_chars": chars / F.greatest(F.lit(1), n),
-        "distinct_words": distinct / F.greatest(F.lit(1), n),
-        "word_richness": F.log1p(distinct.cast("double")) / F.log1p(F.greatest(F.lit(1), n).cast("double")),
-        "symbols": share(r"[^\p{L}\p{M}\p{N}\s.,;:!?'\"()\-]"),
-        "marks": share(r"[!?]"),
-        "capitals": share(r"\p{Lu}"),
-        "digits": share(r"\p{N}"),
-        "stops": share(r"[.,;:]"),
-        "distinct_lines": F.size(F.array_distinct(lines)) / F.size(lines),
-        "line_chars": chars / F.size(lines),
+        "chars": n["chars"].cast("double"),
+        "words": n["words"].cast("double"),
+        "word_chars": n["chars"] / words,
+        "distinct_words": n["distinct"] / words,
+        "word_richness": F.log1p(n["distinct"].cast("double")) / F.log1p(words.cast("double")),
+        **{c: n[c] / chars for c in ("symbols", "marks", "capitals", "digits", "stops")},
+        "distinct_lines": n["distinct_lines"] / n["lines"],
+        "line_chars": n["chars"] / n["lines"],
     }
 
 
+def statistics(text: Column) -> dict[str, Column]:
+    """Name -> expression. Shares are of characters unless named otherwise."""
+    return _shares(_counts(_lists(text)))
+
+
+def _once(df: DataFrame, columns: dict[str, Column], name: str) -> tuple[DataFrame, dict[str, Column]]:
+    """``df`` with the columns as a struct that comes out of a generator: what
+    refers to them, a filter too, cannot repeat their expressions."""
+    name = spare_name(df, name)
+    out = df.select("*", F.explode(F.array(F.struct(*[e.alias(n) for n, e in columns.items()]))).alias(name))
+    return out, {n: out[name][n] for n in columns}
+
+
 Rule = tuple[tuple[str, float, float], ...]  # (statistic, above, up to) each
 
 
@@ -159,9 +183,8 @@ def fit_quality(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: s
 
 def score_quality(docs: DataFrame, model: RuleModel, text: str = "text", name: str = "score") -> DataFrame:
     """``docs`` with the score as column ``name`` (one of that name is
-    replaced). The statistics come out of a generator, so a later filter on
-    the score refers to them and cannot repeat their expressions."""
-    stats = statistics(F.col(text))
-    held = spare_name(docs, "__stats")
-    rows = docs.select("*", F.explode(F.array(F.struct(*[e.alias(n) for n, e in stats.items()]))).alias(held))
-    return rows.withColumn(name, model.score({n: F.col(held)[n] for n in stats})).drop(held)
+    replaced). Lists, counts and statistics are each computed once a row."""
+    rows, lists = _once(docs, _lists(F.col(text)), "__lists")
+    rows, counts = _once(rows, _counts(lists), "__counts")
+    rows, stats = _once(rows, _shares(counts), "__stats")
+    return rows.withColumn(name, model.score(stats)).select(*[c for c in docs.columns if c.lower() != name.lower()], name)

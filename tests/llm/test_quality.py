@@ -54,11 +54,12 @@ def test_repeated_keys_and_labels(spark):
 
 
 def test_filter_on_the_score_computes_each_statistic_once(docs):
-    labels = docs.select("doc_id", F.when(F.length("text") > 600, 1).otherwise(0).alias("quality")).where("doc_id is not null")
-    model = fit_quality(docs, labels)
-    assert model.rules
+    rng = np.random.default_rng(1)
+    names = list(statistics(F.col("text")))
+    x = rng.random((2000, len(names)))
+    model = fit_rules(x, ((x[:, 1] > 0.5) != (x[:, 7] * x[:, 9] > 0.2)).astype(float), names)
     scored = score_quality(docs.withColumn("__stats", F.lit(1)), model, name="__quality")
     kept = scored.where(F.col("__quality") >= 0.5).select(*docs.columns)
     plan = kept._jdf.queryExecution().optimizedPlan().toString()
-    own = score_quality(docs, model)._jdf.queryExecution().optimizedPlan().toString()
-    assert plan.count("regexp_extract_all") <= own.count("regexp_extract_all") <= 20
+    # the five patterns of the shares and the one of the words
+    assert len(model.rules) > 1 and 0 < plan.count("regexp_extract_all") <= 6
