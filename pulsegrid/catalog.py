@@ -221,22 +221,26 @@ def q_fold_assignment(spark, d):
     return stratified_folds(B.scored(spark, d).select("id", "y"), "y", "id", 5, 42).select("id", "y", "fold")
 
 
-def q_oof_predictions(spark, d):
-    """Both voting ensembles on the full model table: out-of-fold scores of the
-    rows with a class, and (fold and y null) bagged scores of the rows without."""
-    from pulsegrid.plans.modelling import feature_columns, train_oof, voting_ensembles
+def _model_rows(spark, d):
+    """The full model table, stored: rows with a class, rows without, features."""
+    from pulsegrid.plans.modelling import feature_columns
     mt = build_model_table(B.participants(spark, d), S.series_features(_series(spark, d)), SEASONS_B,
                            target_kwargs=dict(items=B.ITEM_COLS, total="pciat_pciat_total", bands=B.BINDING_BANDS))
     ensure_checkpoint_dir(spark)
-    mt = mt.checkpoint(eager=True)  # every fold and member reads it
-    train, test = mt.where(F.col("recalc_sii").isNotNull()), mt.where(F.col("recalc_sii").isNull())
-    feats = feature_columns(train, ["id", "recalc_sii", "complete_resp_total", "pciat_pciat_total", *B.ITEM_COLS])
-    out = None
-    for i, members in enumerate(voting_ensembles()):
-        oof, scores = train_oof(train, test, "recalc_sii", feats, members)
-        both = oof.unionByName(scores, allowMissingColumns=True).select(F.lit(i).alias("ensemble"), "id", "fold", "y", "score")
-        out = both if out is None else out.unionByName(both)
-    return rounded(out)
+    mt = mt.checkpoint(eager=True)  # bins, medians and folds read it
+    feats = feature_columns(mt, ["id", "recalc_sii", "complete_resp_total", "pciat_pciat_total", *B.ITEM_COLS])
+    return mt.where(F.col("recalc_sii").isNotNull()), mt.where(F.col("recalc_sii").isNull()), feats
+
+
+def q_oof_predictions(spark, d):
+    """Both voting ensembles on the full model table: out-of-fold scores of the
+    rows with a class, and (fold and y null) bagged scores of the rows without."""
+    from pulsegrid.plans.modelling import train_ensembles, voting_ensembles
+    train, test, feats = _model_rows(spark, d)
+    scores = train_ensembles(train, test, "recalc_sii", feats, voting_ensembles(), nominal=SEASONS_B).checkpoint(eager=True)
+    oof = scores.where("side = 'validation'").select("ensemble", "id", "fold", F.col("y").cast("int").alias("y"), "score")
+    bagged = scores.where("side = 'test'").groupBy("ensemble", "id").agg(F.avg("score").alias("score"))
+    return rounded(oof.unionByName(bagged, allowMissingColumns=True))
 
 
 QUERIES = {

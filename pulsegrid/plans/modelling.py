@@ -1,20 +1,17 @@
-"""Ordinal regression with stratified folds on ``pyspark.ml``.
+"""Ordinal regression with stratified folds.
 
-The driver only loops over folds and ensemble members (a handful of
-``fit`` calls); data stays in DataFrames: folds are a column, predictions
-keep the ``id`` (no positional alignment), the out-of-fold table is a
-union, the bagged test prediction an ``avg`` per id, and the tuned
-thresholds / QWK are aggregations (``operators.metrics``).
+Folds are a column, predictions keep the ``id`` (no positional alignment),
+all members of all ensembles train in all folds in shared passes over a table
+that is binned once (``plans.boosting``), the bagged test prediction is an
+``avg`` per id, and the tuned thresholds / QWK are aggregations
+(``operators.metrics``).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
-from concurrent.futures import ThreadPoolExecutor
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.regression import GBTRegressor, RandomForestRegressor
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +20,7 @@ from pulsegrid.operators.fitted import fit_row
 from pulsegrid.operators.metrics import half_even_class, qwk, threshold_grid, threshold_round
 from pulsegrid.operators.quantiles import exact_quantiles
 from pulsegrid.operators.ranking import stratified_folds
+from pulsegrid.plans.boosting import Learner, Member, bin_values, binned_blocks, ensemble_scores, train_learners
 from pulsegrid.session import ensure_checkpoint_dir
 
 SEED = 42
@@ -35,133 +33,93 @@ def feature_columns(df: DataFrame, exclude: Sequence[str]) -> list[str]:
             if f.name not in skip and isinstance(f.dataType, (T.NumericType, T.BooleanType))]
 
 
-def fit_medians(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """Exact medians of many columns in one stacked quantile pass: one row
-    per column (a table of the feature count's size)."""
-    stacked = df.select(F.explode(F.array(*[
-        F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns])).alias("s")
-    ).select("s.column", "s.value")
-    return exact_quantiles(stacked, ["column"], "value", [0.5], names=["median"])
+def fold_medians(folded: DataFrame, columns: Sequence[str], n_splits: int = N_SPLITS) -> DataFrame:
+    """fold, column, median: the exact median of every column over the
+    training rows of every fold (the rows of the other folds), in one stacked
+    quantile pass."""
+    others = F.array_remove(F.sequence(F.lit(0), F.lit(n_splits - 1)), F.col("fold").cast("int"))
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("value")) for c in columns]))
+    stacked = folded.select("fold", cells.alias("s")).select(F.explode(others).alias("fold"), "s.column", "s.value")
+    return exact_quantiles(stacked, ["fold", "column"], "value", [0.5], names=["median"])
 
 
-def fit_imputer(df: DataFrame, columns: Sequence[str]) -> list:
-    """Exact median per feature (one small job), as literals for ``impute``."""
-    st = fit_row(fit_medians(df, columns).agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"m{i}")
-                                                for i, c in enumerate(columns)]))
-    return [st[f"m{i}"] for i in range(len(columns))]
-
-
-def impute(df: DataFrame, medians: list, columns: Sequence[str]) -> DataFrame:
-    """Fill nulls with the fitted medians (one value per feature, inlined)."""
-    return df.select(*[c for c in df.columns if c not in set(columns)],
-                     *[F.coalesce(F.col(c).cast("double"), F.lit(m).cast("double")).alias(c)
-                       for c, m in zip(columns, medians)])
-
-
-def ensemble_members(max_iter: int = 20, max_depth: int = 4, seed: int = SEED) -> dict:
-    """Boosted and bagged tree regressors standing in for the source's
-    members (iterations, learning rate, depth, row / feature subsampling)."""
+def ensemble_members(max_iter: int = 20, max_depth: int = 4, seed: int = SEED) -> dict[str, Member]:
+    """A small ensemble: two boosted members and a forest."""
     return {
-        "gbt_a": GBTRegressor(maxIter=max_iter, stepSize=0.05, maxDepth=max_depth, subsamplingRate=0.8,
-                              featureSubsetStrategy="0.8", seed=seed),
-        "gbt_b": GBTRegressor(maxIter=max_iter, stepSize=0.1, maxDepth=max_depth - 1, subsamplingRate=0.75,
-                              featureSubsetStrategy="0.5", minInstancesPerNode=5, seed=seed),
-        "rf": RandomForestRegressor(numTrees=max(5, max_iter), maxDepth=max_depth + 2, seed=seed),
+        "gbt_a": Member(max_iter, 0.05, max_depth, rows=0.8, columns=0.8, seed=seed),
+        "gbt_b": Member(max_iter, 0.1, max_depth - 1, rows=0.75, columns=0.5, leaf_rows=5, seed=seed),
+        "rf": Member(max(5, max_iter), depth=max_depth + 2, bagged=True, columns=1 / 3, seed=seed),
     }
 
 
-def voting_ensembles(seed: int = SEED) -> list[dict]:
-    """The two voting ensembles of the source: three tuned boosted members,
-    and five with the defaults of their libraries. L1 / L2 leaf penalties and
-    leaf counts have no counterpart; a leaf count becomes the depth that holds it."""
-    # Rounds, learning rate, depth, row share, feature share, rows per leaf.
+def voting_ensembles(seed: int = SEED) -> list[dict[str, Member]]:
+    """The two voting ensembles of the source: three tuned boosted members
+    (missing values split on the better side, one member takes the nominal
+    columns as such), and five with the defaults of their libraries on
+    features imputed with medians."""
+    # The source's parameters, and its libraries' defaults where it sets none.
     tuned = {
-        "leafwise": (300, 0.046, 12, 0.784, "0.893", 13),
-        "levelwise": (200, 0.05, 6, 0.8, "0.8", 1),
-        "symmetric": (200, 0.05, 6, 1.0, "all", 1),
+        "leafwise": Member(300, 0.046, 12, rows=0.784, rows_every=4, columns=0.893, leaf_rows=13, leaves=478, l1=10, l2=0.01, seed=seed),
+        "levelwise": Member(200, 0.05, 6, rows=0.8, columns=0.8, l1=1, l2=5, seed=seed),
+        "symmetric": Member(200, 0.05, 6, l2=10, symmetric=True, nominal=True, seed=seed),
     }
     plain = {
-        "leafwise": (100, 0.1, 5, 1.0, "all", 20),
-        "levelwise": (100, 0.3, 6, 1.0, "all", 1),
-        "symmetric": (1000, 0.03, 6, 1.0, "all", 1),
-        "stagewise": (100, 0.1, 3, 1.0, "all", 1),
+        "leafwise": Member(100, 0.1, 31, leaf_rows=20, leaves=31, impute=True, seed=seed),
+        "levelwise": Member(100, 0.3, 6, l2=1, impute=True, seed=seed),
+        "symmetric": Member(1000, 0.03, 6, l2=3, symmetric=True, impute=True, seed=seed),
+        "forest": Member(100, depth=30, bagged=True, impute=True, seed=seed),
+        "stagewise": Member(100, 0.1, 3, impute=True, seed=seed),
     }
-
-    def boosted(rounds, rate, depth, rows, columns, leaf):
-        return GBTRegressor(maxIter=rounds, stepSize=rate, maxDepth=depth, subsamplingRate=rows,
-                            featureSubsetStrategy=columns, minInstancesPerNode=leaf, seed=seed)
-
-    forest = RandomForestRegressor(numTrees=100, maxDepth=30, featureSubsetStrategy="all", seed=seed)
-    return [{k: boosted(*v) for k, v in tuned.items()}, {**{k: boosted(*v) for k, v in plain.items()}, "forest": forest}]
-
-
-def _fit_predict(members: dict, train: DataFrame, targets: list[DataFrame], features: Sequence[str],
-                 label: str) -> list[DataFrame]:
-    """Voting regressor: unweighted mean of member predictions, per id."""
-    assembler = VectorAssembler(inputCols=list(features), outputCol="_features", handleInvalid="keep")
-    outs: list[list[DataFrame]] = [[] for _ in targets]
-    for name, est in members.items():
-        model = Pipeline(stages=[assembler, est.copy().setFeaturesCol("_features").setLabelCol(label)
-                                 .setPredictionCol("_pred")]).fit(train)
-        for i, t in enumerate(targets):
-            outs[i].append(model.transform(t).select("id", F.col("_pred").alias("score")))
-    res = []
-    for parts in outs:
-        u = parts[0]
-        for p in parts[1:]:
-            u = u.unionByName(p)
-        res.append(u.groupBy("id").agg(F.avg("score").alias("score")))
-    return res
+    return [tuned, plain]
+
+
+def train_ensembles(train: DataFrame, test: DataFrame | None, label: str, features: Sequence[str], ensembles: Sequence[dict[str, Member]],
+                    nominal: Sequence[str] = (), n_splits: int = N_SPLITS, seed: int = SEED, train_side: bool = False, block_rows: int | None = None) -> DataFrame:
+    """Scores of every ensemble in every fold (see ``ensemble_scores``):
+    validation rows by the fold that left them out, test rows by every fold.
+
+    Medians are fitted on a fold's training part only; bin edges, which see
+    no label, on all rows of ``train``."""
+    ensure_checkpoint_dir(train.sparkSession)
+    features = list(features)
+    folded = stratified_folds(train, label, "id", n_splits, seed).select("id", "fold", label, *features).checkpoint(eager=True)
+    rows = folded
+    if test is not None:
+        rows = folded.unionByName(test.select("id", F.lit(None).cast("int").alias("fold"), F.lit(None).cast("double").alias(label), *features)).checkpoint(eager=True)
+    blocks, edges = binned_blocks(rows, label, features, nominal, block_rows)
+    base = {r["fold"]: (r["s"], r["n"]) for r in folded.groupBy("fold").agg(F.sum(F.col(label).cast("double")).alias("s"), F.count(label).alias("n")).collect()}
+    fill: dict[int, np.ndarray] = {}
+    if any(m.impute for e in ensembles for m in e.values()):
+        found = {(r["fold"], r["column"]): r["median"] for r in fold_medians(folded, features, n_splits).collect()}  # folds x features rows
+        for k in range(n_splits):
+            medians = [np.array([np.nan if found.get((k, f)) is None else found[k, f]], float) for f in features]
+            fill[k] = np.array([bin_values(m, edges[f], f in set(nominal))[0] for m, f in zip(medians, features, strict=True)], np.uint8)
+    learners = []
+    for e, members in enumerate(ensembles):
+        for member in members.values():
+            for k in range(n_splits):
+                rest = [v for f, v in base.items() if f != k]
+                mean = sum(s or 0.0 for s, _ in rest) / max(1, sum(n for _, n in rest))
+                learners.append(Learner(len(learners), member, k, tuple(f in set(nominal) for f in features), fill[k] if member.impute else None, e, mean))
+    trees = train_learners(blocks, learners)
+    return ensemble_scores(blocks, learners, trees, train.schema["id"].dataType.simpleString(), train_side)
 
 
 def train_oof(train: DataFrame, test: DataFrame | None, label: str, features: Sequence[str],
-              members: dict | None = None, n_splits: int = N_SPLITS, seed: int = SEED,
-              max_parallel_folds: int = N_SPLITS, train_side: bool = False):
+              members: dict[str, Member] | None = None, n_splits: int = N_SPLITS, seed: int = SEED,
+              train_side: bool = False, nominal: Sequence[str] = (), block_rows: int | None = None):
     """Stratified k-fold: returns (oof[id, fold, y, score], test[id, score] or None);
     with ``train_side`` also the scores of each fold's own training rows, in
-    the columns of oof, for the train-side kappa per fold.
-
-    Per fold, medians are fitted on the fold's training part only; the test
+    the columns of oof, for the train-side kappa per fold. The test
     prediction is the mean over folds (bagging)."""
-    members = members or ensemble_members(seed=seed)
-    # the fold table is read by every fit: keep it (recomputed from lineage if lost)
-    folded = stratified_folds(train, label, "id", n_splits, seed).persist()
-
-    def run_fold(k: int):
-        tr = folded.where(F.col("fold") != k)
-        va = folded.where(F.col("fold") == k)
-        med = fit_imputer(tr, features)
-        tr_i, va_i = impute(tr, med, features), impute(va, med, features)
-        targets = [va_i] + ([impute(test, med, features)] if test is not None else []) + ([tr_i] if train_side else [])
-        preds = _fit_predict(members, tr_i, targets, features, label)
-        oof_k = preds[0].join(va.select("id", "fold", F.col(label).alias("y")), "id")
-        own = preds[-1].join(tr.select("id", F.lit(k).alias("fold"), F.col(label).alias("y")), "id") if train_side else None
-        return oof_k, (preds[1] if test is not None else None), own
-
-    def union(parts):
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
-
-    try:
-        # the folds are independent: their fits are submitted as concurrent Spark
-        # jobs (each still runs distributed on the executors)
-        with ThreadPoolExecutor(max_workers=max(1, min(n_splits, max_parallel_folds))) as pool:
-            results = list(pool.map(run_fold, range(n_splits)))
-        # cut the lineage of k x members model applications in the shared
-        # checkpoint folder, then release the fold table
-        ensure_checkpoint_dir(train.sparkSession)
-        typed = ["id", "fold", F.col("y").cast("int").alias("y"), "score"]
-        oof = union([r[0] for r in results]).select(*typed).checkpoint(eager=True)
-        tp = None
-        if test is not None:
-            tp = union([r[1] for r in results]).groupBy("id").agg(F.avg("score").alias("score")).checkpoint(eager=True)
-        if train_side:
-            return oof, tp, union([r[2] for r in results]).select(*typed).checkpoint(eager=True)
-        return oof, tp
-    finally:
-        folded.unpersist()
+    scores = train_ensembles(train, test, label, features, [members or ensemble_members(seed=seed)], nominal, n_splits, seed, train_side, block_rows)
+    scores = scores.checkpoint(eager=True)  # trees are not applied again for every use
+    typed = ["id", "fold", F.col("y").cast("int").alias("y"), "score"]
+    oof = scores.where("side = 'validation'").select(*typed)
+    tp = scores.where("side = 'test'").groupBy("id").agg(F.avg("score").alias("score")) if test is not None else None
+    if train_side:
+        return oof, tp, scores.where("side = 'train'").select(*typed)
+    return oof, tp
 
 
 def evaluate_oof(oof: DataFrame, test_scores: DataFrame | None = None, step: float = 0.1):

@@ -11,18 +11,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.metrics import majority_vote
-from pulsegrid.plans.modelling import evaluate_oof, train_oof, voting_ensembles
+from pulsegrid.plans.modelling import evaluate_oof, train_ensembles, voting_ensembles
 
 
 def score_cohort(train: DataFrame, test: DataFrame, label: str, features: Sequence[str],
-                 ensembles: Sequence[dict] | None = None, step: float = 0.1) -> tuple[DataFrame, list[DataFrame]]:
+                 ensembles: Sequence[dict] | None = None, step: float = 0.1, nominal: Sequence[str] = ()) -> tuple[DataFrame, list[DataFrame]]:
     """Returns (final[id, sii], summaries) where each summary row holds the
-    ensemble's mean fold QWK, tuned thresholds and tuned QWK."""
+    ensemble's mean fold QWK, tuned thresholds and tuned QWK. All ensembles
+    train in the same passes."""
     ensembles = voting_ensembles() if ensembles is None else ensembles
     train = train.where(F.col(label).isNotNull())
+    scores = train_ensembles(train, test, label, features, ensembles, nominal).checkpoint(eager=True)
     votes, summaries = [], []
-    for i, members in enumerate(ensembles):
-        oof, test_scores = train_oof(train, test, label, features, members)
+    for i in range(len(ensembles)):
+        own = scores.where(F.col("ensemble") == i)
+        oof = own.where("side = 'validation'").select("id", "fold", F.col("y").cast("int").alias("y"), "score")
+        test_scores = own.where("side = 'test'").groupBy("id").agg(F.avg("score").alias("score"))
         _, summary, classes = evaluate_oof(oof, test_scores, step=step)
         summaries.append(summary)
         votes.append(classes.select("id", F.col("sii").alias(f"sii_{i}")))

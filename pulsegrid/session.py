@@ -7,7 +7,9 @@ only a local session without it (tests) uses a private scratch folder.
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -58,3 +60,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(found)
     return found
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give Python workers on executors this package (once a context), as
+    ``--py-files`` would."""
+    sc, top = spark.sparkContext, Path(__file__).resolve().parent
+    if not getattr(sc, "_package_shipped", False) and top.is_dir():
+        sc.addPyFile(shutil.make_archive(f"{tempfile.mkdtemp(prefix='code-')}/{top.name}", "zip", top.parent, top.name))
+        sc._package_shipped = True

@@ -1,10 +1,14 @@
-"""Out-of-fold training on MLlib and the evaluation that follows it."""
+"""Out-of-fold training and the evaluation that follows it."""
 
 import numpy as np
 from pyspark.sql import functions as F
 
+from core_paths import SF
+
+from pulsegrid.catalog import QUERIES
 from pulsegrid.operators.metrics import half_even_class, qwk
-from pulsegrid.plans.modelling import ensemble_members, evaluate_oof, feature_columns, train_oof, voting_ensembles
+from pulsegrid.plans import bindings
+from pulsegrid.plans.modelling import ensemble_members, evaluate_oof, feature_columns, fold_medians, train_oof, voting_ensembles
 
 
 def _table(spark, n=240, seed=2):
@@ -54,30 +58,25 @@ def test_score_cohort_majority(spark):
 def test_voting_ensembles_have_the_stated_parameters():
     tuned, plain = voting_ensembles()
     assert len(tuned) == 3 and len(plain) == 5
-    assert tuned["leafwise"].getMaxIter() == 300 and plain["symmetric"].getMaxIter() == 1000
-    assert plain["forest"].getNumTrees() == 100 and plain["stagewise"].getMaxDepth() == 3
-
+    assert tuned["leafwise"].rounds == 300 and plain["symmetric"].rounds == 1000
+    assert plain["forest"].rounds == 100 and plain["forest"].bagged and plain["stagewise"].depth == 3
+    assert (tuned["leafwise"].l1, tuned["levelwise"].l2, tuned["symmetric"].nominal) == (10, 5, True)
 
-def test_oof_predictions_trains_the_whole_job(spark, monkeypatch):
-    from core_paths import SF
 
-    from pulsegrid.catalog import QUERIES
-    from pulsegrid.plans import bindings, modelling
-    from pulsegrid.plans import series
-    runs = []
+def test_fold_medians_equal_plain_ones(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, int(i % 3), float(rng.normal()) if i % 4 else None, float(i % 7)) for i in range(90)]
+    df = spark.createDataFrame(rows, "id long, fold int, a double, b double")
+    got = {(r["fold"], r["column"]): r["median"] for r in fold_medians(df, ["a", "b"], 3).collect()}
+    for k in range(3):
+        for j, c in ((2, "a"), (3, "b")):
+            assert got[k, c] == np.median([r[j] for r in rows if r[1] != k and r[j] is not None])
 
-    def note(train, test, label, features, members):
-        runs.append((set(features), members))
-        assert train.where(F.col(label).isNull()).count() == 0 and test.where(F.col(label).isNotNull()).count() == 0
-        return (train.select("id", F.lit(0).alias("fold"), F.col(label).alias("y"), F.lit(1.0).alias("score")),
-                test.select("id", F.lit(2.0).alias("score")))
 
-    monkeypatch.setattr(modelling, "train_oof", note)
-    rows = QUERIES["oof_predictions"](spark, SF).collect()
+def test_oof_predictions_trains_the_whole_job(spark):
+    rows = QUERIES["oof_predictions"](spark, SF).toPandas()
     people = bindings.participants(spark, SF).count()
-    named = set(series.series_features(bindings.series(spark, SF)).columns) - {"id"}
-    assert len(named) == 58 and all(named <= features for features, _ in runs)
-    assert [sorted(m) for _, m in runs] == [sorted(m) for m in voting_ensembles()]
-    assert runs[0][1]["leafwise"].getMaxIter() == 300 and runs[1][1]["symmetric"].getMaxIter() == 1000
-    assert len(rows) == 2 * people == 2 * len({r["id"] for r in rows})
-    assert 0 < sum(r["fold"] is None for r in rows) < len(rows)
+    assert len(rows) == 2 * people == 2 * rows["id"].nunique() and sorted(rows["ensemble"].unique()) == [0, 1]
+    scored = rows[rows["y"].notna()]
+    assert 0 < len(scored) < len(rows) and set(scored["fold"]) == set(range(5)) and rows["score"].notna().all()
+    assert scored["score"].between(-1, 4).all() and scored.groupby("ensemble")["score"].nunique().min() > 20
