@@ -48,8 +48,8 @@ def test_many_blocks_equal_one(spark, monkeypatch):
     assert sorted(map(tuple, mix_sources(df).collect())) == one
     sums = defaultdict(int)
     for r in one:
-        sums[r[1]] += r[6]
-    target = {r[1]: r[4] for r in one}
+        sums[r[5]] += r[4]
+    target = {r[5]: r[3] for r in one}
     assert all(abs(sums[s] - target[s]) <= 1 for s in sums)
 
 
@@ -67,9 +67,41 @@ def test_large_documents_are_stepped_over(spark, monkeypatch):
     kinds = {"weights": (1,), "share": 0.5, "most": 0.5}
     one = sorted(map(tuple, mix_sources(df, **kinds).collect()))
     taken, target = defaultdict(int), {}
-    for _, source, _, _, due, _, words in one:
+    for _, _, _, due, words, source, *_ in one:
         taken[source] += words
         target[source] = due
     assert all(abs(taken[s] - target[s]) <= max(1, 0.001 * target[s]) for s in target), (taken, target)
     monkeypatch.setattr("pulsegrid.llm.mixing.BLOCK_ROWS", 20)
     assert sorted(map(tuple, mix_sources(df, **kinds).collect())) == one
+
+
+def test_inclusion_is_proportional_to_size_and_order_sampling_is_kept(spark):
+    from collections import Counter
+
+    sizes = [3] * 1500 + [12] * 600 + [60] * 120 + [2000] * 2
+    df = spark.createDataFrame([(i, "w " * n, "a") for i, n in enumerate(sizes)], "doc_id long, text string, source string")
+    rows = [r.asDict() for r in mix_sources(df, share=0.4).collect()]
+    due = 0.4 * sum(sizes)
+    certain = [n for n in sizes if n == 2000]  # the plain way: make the largest certain until no inclusion is above 1
+    factor = (due - sum(certain)) / sum(n * n for n in sizes if n < 2000)
+    assert factor * 60 < 1 < due / sum(n * n for n in sizes) * 2000
+    assert all(r["inclusion"] == pytest.approx(1 if r["size"] == 2000 else factor * r["size"]) for r in rows)
+    left, taken = due, set()
+    for r in sorted(rows, key=lambda r: r["rank"]):  # sequential Pareto sampling
+        if r["size"] > left:
+            break
+        left -= r["size"]
+        taken.add(r["doc_id"])
+    mixed = {r["doc_id"] for r in rows if r["copies"]}
+    assert taken <= mixed and len(mixed - taken) < 25
+    share = Counter(r["size"] for r in rows if r["copies"])
+    for n, number in Counter(sizes).items():
+        p = 1 if n == 2000 else factor * n
+        assert abs(share[n] - p * number) <= 4 * (number * p * (1 - p)) ** 0.5 + 12, (n, share[n], p * number)
+
+
+def test_many_equal_rows_have_draws_of_their_own(spark, monkeypatch):
+    monkeypatch.setattr("pulsegrid.llm.mixing.BLOCK_ROWS", 64)
+    df = spark.range(1000).selectExpr("cast(null as long) doc_id", "'a b c' text", "'x' source")
+    rows = mix_sources(df, share=0.5).collect()
+    assert len(rows) == 1000 and len({r["rank"] for r in rows}) == 1000 and sum(r["taken"] for r in rows) == 1500
