@@ -1,18 +1,21 @@
 """Exact, linearly interpolated quantiles per group, and equal-frequency buckets.
 
 Spark's exact ``percentile`` aggregate keeps every distinct value of a group
-in one task; ``approx_percentile`` is not exact. Here the rank of a value is
-found through value bins:
+in one task; ``approx_percentile`` is not exact. Here a histogram is refined
+where a target rank lies:
 
 1. collapse duplicates: ``(group, value) -> multiplicity`` (map-side combine,
    so a value repeated a billion times is one row);
-2. every value gets a bin that is a pure function of it and grows with it
-   (sign and BINS steps per power of two), so all uses of the frame agree
+2. every value gets a 64-bit key that never falls with the value
+   (``order_key``), a pure function of it, so all uses of the frame agree
    whatever plan Spark picks;
-3. a window per (group, bin) gives the running multiplicity inside the bin
-   and a small table of bins gives the rows before each bin;
-4. only the rows that cover a target rank survive; one aggregate per group
-   interpolates ``x[lo] + (x[lo+1] - x[lo]) * frac`` (numpy's "linear").
+3. count by the key's leading digits; the cells that hold a target rank, a
+   few per group, are split by further digits, again and again
+   (``CELL_SHIFTS``);
+4. the values of the last cells, at most 2 ** (last shift) each however
+   narrow or skewed the column is, are ranked by a window per cell; one
+   aggregate per group interpolates ``x[lo] + (x[lo+1] - x[lo]) * frac``
+   (numpy's "linear").
 """
 
 from __future__ import annotations
@@ -32,19 +35,38 @@ def _lerp(a: Column, b: Column, t: Column) -> Column:
     return F.when((a == b) | (t == 0), a).when(t >= 0.5, b - (b - a) * (F.lit(1.0) - t)).otherwise(a + (b - a) * t)
 
 
-BINS = 64  # per power of two
+CELL_SHIFTS = (44, 22)  # low bits of the key that a cell of each round leaves open
 
 
-def value_bin(v: Column) -> Column:
-    """Bin number of a double: never decreasing in the value, NaN last."""
-    far = 1 << 40
-    size = F.floor(F.log2(F.abs(v)) * BINS) + (1 << 20)
-    return (F.when(F.isnan(v), F.lit(2 * far)).when(v == float("inf"), F.lit(far)).when(v == float("-inf"), F.lit(-far))
-            .when(v == 0, F.lit(0)).when(v > 0, size).otherwise(-size).cast("long"))
+def order_key(v: Column) -> Column:
+    """A long that never falls with a double: exponent and mantissa of its
+    size, with its sign; NaN last."""
+    size = F.abs(v)
+    exponent = F.greatest(F.floor(F.log2(size)), F.lit(-1000))
+    mantissa = F.floor((size * F.pow(F.lit(2.0), -exponent) - 1) * float(1 << 52))
+    key = ((exponent + 1002) * (1 << 52) + mantissa).cast("long")
+    top = (1 << 63) - 1
+    return (F.when(F.isnan(v), F.lit(top)).when(v == float("inf"), F.lit(top - 1)).when(v == float("-inf"), F.lit(1 - top))
+            .when(v == 0, F.lit(0)).when(v > 0, key).otherwise(-key).cast("long"))
+
+
+def _covered(probs: Sequence[float], low: Column, rows: Column, n: Column) -> Column:
+    """Do ranks low .. low + rows - 1 of n hold a rank that a quantile needs?"""
+    found = F.lit(False)
+    for p in probs:
+        for rank in _ranks(p, n):
+            found = found | ((low <= rank) & (rank < low + rows))
+    return found
+
+
+def _ranks(p: float, n: Column) -> tuple[Column, Column]:
+    at = F.floor(F.lit(float(p)) * (n - 1).cast("double"))
+    return at, F.least(at + 1, n - 1)
 
 
 def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
-                    names: Sequence[str] | None = None, count_name: str | None = None) -> DataFrame:
+                    names: Sequence[str] | None = None, count_name: str | None = None,
+                    cell_shifts: Sequence[int] = CELL_SHIFTS) -> DataFrame:
     """One row per group: ``names[i]`` = quantile at ``probs[i]`` of non-null ``value``.
 
     ``keys`` may be empty for a global quantile. Groups without values are absent.
@@ -53,46 +75,31 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
     names = list(names) if names is not None else [f"q_{i}" for i in range(len(probs))]
     v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
     distinct = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
-    s = distinct.withColumn("_blk", value_bin(F.col("_v")))
-    bw = Window.partitionBy(*keys, "_blk")
-    s = s.select("*",
-                 F.sum("_m").over(bw.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)).alias("_cum"),
-                 F.sum("_m").over(bw).alias("_btot"))
-    blocks = s.groupBy(*keys, "_blk").agg(F.max("_btot").alias("_btot"))
-    kw = Window.partitionBy(*keys) if keys else Window.partitionBy()
-    blocks = blocks.select(
-        *keys, "_blk",
-        F.coalesce(F.sum("_btot").over(kw.orderBy("_blk").rowsBetween(Window.unboundedPreceding, -1)),
-                   F.lit(0)).alias("_boff"),
-        F.sum("_btot").over(kw).alias("_n"))
-    # target ranks per prob, computed once per (group, block) on the small table:
-    # _a{i} = floor(p (n-1)), _b{i} = min(_a{i} + 1, n - 1)
-    n1 = (F.col("_n") - 1).cast("double")
-    tcols = []
-    for i, p in enumerate(probs):
-        t1 = F.floor(F.lit(float(p)) * n1)
-        tcols += [t1.alias(f"_ta{i}"), F.least(t1 + 1, F.col("_n") - 1).alias(f"_tb{i}")]
-    blocks = blocks.select("*", *tcols)
-    r = s.join(blocks, [*keys, "_blk"])
-    # this value covers ranks [_lo, _hi] (0-based)
-    lo = F.col("_boff") + F.col("_cum") - F.col("_m")
-    hi = F.col("_boff") + F.col("_cum") - 1
-    r = r.select(*keys, "_v", "_n", lo.alias("_lo"), hi.alias("_hi"),
-                 *[F.col(f"_t{x}{i}") for i in range(len(probs)) for x in "ab"])
-
-    def covers(t):
-        return (F.col("_lo") <= F.col(t)) & (F.col("_hi") >= F.col(t))
-
-    keep = None
-    for i in range(len(probs)):
-        c = covers(f"_ta{i}") | covers(f"_tb{i}")
-        keep = c if keep is None else keep | c
-    picked = r.where(keep)
+    values = distinct.select("*", order_key(F.col("_v")).alias("_k"))
+    rows, within = values, list(keys)  # rows of the cells that are still open, and what tells the cells apart
+    for i, shift in enumerate(cell_shifts):
+        cell = f"_c{i}"
+        known = ["_low", "_n"] if i else []
+        counts = rows.groupBy(*within, *known, F.shiftright("_k", shift).alias(cell)).agg(F.sum("_m").alias("_rows"))
+        w = Window.partitionBy(*within)
+        before = F.coalesce(F.sum("_rows").over(w.orderBy(cell).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+        counts = counts.select(*within, cell, "_rows", (F.col("_low") + before if i else before).alias("_low"),
+                               (F.col("_n") if i else F.sum("_rows").over(w)).alias("_n"))
+        hold = counts.where(_covered(probs, F.col("_low"), F.col("_rows"), F.col("_n"))).drop("_rows")
+        within = [*within, cell]
+        digits = [F.shiftright("_k", s).alias(f"_c{j}") for j, s in enumerate(cell_shifts[:i + 1])]
+        rows = values.select("*", *digits).join(hold, within)
+    inside = F.sum("_m").over(Window.partitionBy(*within).orderBy("_v").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.select(*keys, "_v", "_m", "_n", (F.col("_low") + inside - F.col("_m")).alias("_low"))
+
+    def at(rank):
+        return F.max(F.when((F.col("_low") <= rank) & (rank < F.col("_low") + F.col("_m")), F.col("_v")))
+
     aggs = [F.max("_n").alias("_n")]
-    for i in range(len(probs)):
-        aggs.append(F.max(F.when(covers(f"_ta{i}"), F.col("_v"))).alias(f"_a{i}"))
-        aggs.append(F.max(F.when(covers(f"_tb{i}"), F.col("_v"))).alias(f"_b{i}"))
-    g = picked.groupBy(*keys).agg(*aggs)
+    for i, p in enumerate(probs):
+        low, high = _ranks(p, F.col("_n"))
+        aggs += [at(low).alias(f"_a{i}"), at(high).alias(f"_b{i}")]
+    g = rows.groupBy(*keys).agg(*aggs).where(F.col("_n").isNotNull())
     out = [*keys]
     for i, p in enumerate(probs):
         vi = F.lit(float(p)) * (F.col("_n") - 1).cast("double")
