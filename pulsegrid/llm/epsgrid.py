@@ -64,9 +64,9 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     wide = df.schema[vector].dataType.elementType.simpleString() != "float"
     kind = np.float64 if wide else np.float32
     classes = stage_table(rows.where("fine").groupBy("l", "h1", "h2").agg(
-        F.min("k").alias("k"), F.count(F.lit(1)).alias("n"), F.any_value("v").alias("v")), "vector-classes")
+        F.min("k").alias("low"), F.count(F.lit(1)).alias("n"), F.any_value("v").alias("v")).withColumn("k", F.xxhash64("l", "h1", "h2")), "vector-classes")
     axes = principal_axes([r["v"] for r in classes.select("k", "v").orderBy(F.xxhash64("k"), "k").limit(PCA_ROWS).collect()])
-    ltype, ktype = df.schema[label].dataType.simpleString(), df.schema[key].dataType.simpleString()
+    ltype, ktype = df.schema[label].dataType.simpleString(), "bigint"
 
     def cells(batches):
         for batch in batches:
@@ -124,7 +124,7 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
 
     from pyspark.sql.pandas.types import to_arrow_type
 
-    batch_type = {c: to_arrow_type(df.schema[x].dataType) for c, x in (("l", label), ("k", key))}
+    batch_type = {"l": to_arrow_type(df.schema[label].dataType), "k": pa.int64()}
     data = stage_table(map_arrow(sequence.select("l", "k", "n", "d", "v", "at"), blocks,
                                  f"block long, l {ltype}, d int, size int, {', '.join(c + ' double' for c in box_names)}, ks array<{ktype}>, ns array<long>, vs binary"), "vector-blocks")
 
@@ -179,9 +179,11 @@ def near_vectors(df: DataFrame, key: str = "vec_id", vector: str = "embedding",
     found = stage_table(map_arrow(joined, compare, f"k {ktype}, links long, root {ktype}"), "vector-links")
     comp = connected_components(found.select(F.col("k").alias("a"), F.col("root").alias("b")), "vector-components")
     counts = found.groupBy("k").agg(F.sum("links").alias("links"))
-    classes = (classes.select("l", "h1", "h2", "k", "n").join(counts, "k", "left").join(comp.select(F.col("node").alias("k"), "component"), "k", "left")
-               .select("l", "h1", "h2", F.lit(True).alias("fine"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"),
-                       F.coalesce("component", "k").alias("component")))
+    classes = stage_table(classes.select("l", "h1", "h2", "low", "k", "n").join(counts, "k", "left")
+                          .join(comp.select(F.col("node").alias("k"), F.col("component").alias("c")), "k", "left")
+                          .withColumn("c", F.coalesce("c", "k")), "vector-labels")
+    names = classes.groupBy("c").agg(F.min("low").alias("component"))
+    classes = classes.join(names, "c").select("l", "h1", "h2", F.lit(True).alias("fine"), (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("links"), "component")
     out = rows.select("k", "l", "h1", "h2", "fine").join(classes, ["l", "h1", "h2", "fine"], "left")
     out = out.select(F.col("k").alias(key), F.coalesce("links", F.lit(0)).cast("long").alias("n_links"), F.coalesce("component", "k").alias("component_id"))
     return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))

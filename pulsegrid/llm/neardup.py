@@ -15,9 +15,9 @@
    component are never formed, so a group of copies costs as many pairs as it
    has members, and no link between different components is missed.
 
-Rows: texts without words are linked with nothing and kept; a null key takes
-part with its class but is nobody's component; repeated rows share their
-verdict; an empty table gives an empty table; very long texts are hashed
+Rows: texts without words are linked with nothing and kept; a row without a
+key links like any other but is nobody's component; rows that share a key are
+told apart by their texts; repeated rows share their verdict; an empty table gives an empty table; very long texts are hashed
 whole, about a megabyte at a time. Only the named columns are read.
 """
 
@@ -51,7 +51,8 @@ def overlap_floor(k: int, percent: int, miss: float = MISS) -> int:
 
 
 def sketches(df: DataFrame, key: str, text: str, k: int, width: int) -> DataFrame:
-    """key, n (set size), h1 and h2 (128 bits of the whole set), sketch."""
+    """key, th (hash of the text), n (set size), h1 and h2 (128 bits of the
+    whole set), sketch."""
     kind = df.schema[key].dataType.simpleString()
 
     def rows(batches):
@@ -65,11 +66,11 @@ def sketches(df: DataFrame, key: str, text: str, k: int, width: int) -> DataFram
             ends = np.cumsum([0, *map(len, values)])
             flat = pa.array(np.concatenate(values) if values else [], pa.int64())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)),
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(np.array(h1, np.uint64).view(np.int64)),
                  pa.array(np.array(h2, np.uint64).view(np.int64)), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), flat)],
-                ["key", "n", "h1", "h2", "sketch"])
+                ["key", "th", "n", "h1", "h2", "sketch"])
 
-    return map_arrow(df.select(key, text), rows, f"key {kind}, n long, h1 long, h2 long, sketch array<long>")
+    return map_arrow(df.select(key, text, F.xxhash64(text)), rows, f"key {kind}, th long, n long, h1 long, h2 long, sketch array<long>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -159,11 +160,13 @@ def _family_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, width: int = WIDTH,
                     percent: int = PERCENT) -> DataFrame:
     """One row per input row: key, n_shingles, component_id (smallest key
-    reachable by links) and kept (key equals component_id)."""
+    reachable by links) and kept (key equals component_id). Classes and links
+    go by the texts' hashes, so rows that share a key or have none take part
+    as what they are."""
     floor = overlap_floor(k, percent)
     docs = stage_table(sketches(df, key, text, k, width), "sketches")
-    reps = stage_table(docs.where("n > 0").groupBy("n", "h1", "h2").agg(F.min("key").alias("key"), F.any_value("sketch").alias("sketch"))
-                       .where("key is not null"), "classes")
+    reps = stage_table(docs.where("n > 0").groupBy("n", "h1", "h2").agg(
+        F.min("th").alias("key"), F.min("key").alias("low"), F.any_value("sketch").alias("sketch")), "classes")
     need = lambda n: F.least(F.ceil(n * percent / 100), F.lit(floor))
 
     # inverted lists of the rarest retained values
@@ -192,14 +195,14 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
         ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
         ids = stage_table((ids.union(more.select("key")) if more is not None else ids).distinct(), "pair-ids")
         side = F.broadcast(ids) if ids.count() <= IDS_TO_BROADCAST else ids
-        some = df.select(F.col(key).alias("id"), F.col(text).alias("t")).join(side, "id").dropDuplicates(["id"])
+        some = df.select(F.xxhash64(text).alias("id"), F.col(text).alias("t")).join(side, "id").dropDuplicates(["id"])
 
         def keys(batches):
             for batch in batches:
                 sets = [s.tobytes() for _, s in shingle_sets(batch.column(1), width)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], ["key", "keys"])
 
-        return stage_table(map_arrow(some.select("id", "t"), keys, f"key {df.schema[key].dataType.simpleString()}, keys binary"), "full-sets")
+        return stage_table(map_arrow(some.select("id", "t"), keys, "key long, keys binary"), "full-sets")
 
     # two hubs of each list: the members whose retained values are the most common, and a member by hash
     hubs = lists.groupBy("value").agg(
@@ -231,9 +234,11 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     links = _verified(more, sets, percent).union(_family_links(family, sets, percent))
     comp = connected_components(links.union(comp.where("node != component").select("node", "component")))
 
-    found = reps.select("n", "h1", "h2", "key").join(comp.select(F.col("node").alias("key"), "component"), "key", "left")
-    found = found.select("n", "h1", "h2", F.coalesce("component", "key").alias("__c"))
+    found = stage_table(reps.select("n", "h1", "h2", "key", "low").join(comp.select(F.col("node").alias("key"), "component"), "key", "left")
+                        .withColumn("component", F.coalesce("component", "key")), "classes-found")
+    names = found.groupBy("component").agg(F.min("low").alias("__c"))
+    found = found.join(names, "component").select("n", "h1", "h2", "__c")
     out = docs.select("key", "n", "h1", "h2").join(found, ["n", "h1", "h2"], "left")
-    # a null component: no words, or no key in the class
+    # a null component: no words, or no key in the component
     out = out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("__c", "key").alias("component_id"))
     return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))

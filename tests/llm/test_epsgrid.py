@@ -60,3 +60,15 @@ def test_empty_table_and_other_threshold(spark):
     assert near_vectors(df.limit(0)).collect() == []
     got = near_vectors(df, cosine=0.9).collect()
     assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=str) == sorted(brute(rows, 0.9), key=str)
+
+
+def test_vectors_that_share_a_key(spark):
+    rng = np.random.default_rng(5)
+    rows = [(k, [float(x) for x in v], l) for k, v, l in fixture(120, 6) if v and len(v) == 6 and all(x is not None and np.isfinite(x) for x in v)]
+    rows = [(None if k is None else k % 40, v, l) for k, v, l in rows]
+    a, b = rng.normal(size=6), rng.normal(size=6)  # 701 near one vector of 702, the other vector of 702 near 703
+    rows += [(701, a.tolist(), 1), (702, (a * 1.5).tolist(), 1), (702, b.tolist(), 1), (703, (b + 0.001).tolist(), 1)]
+    rows = [(k, [float(np.float32(x)) for x in v], l) for k, v, l in rows]
+    got = near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3)).collect()
+    assert sorted(((r["vec_id"], r["n_links"], r["component_id"]) for r in got), key=str) == sorted(brute(rows, 0.98), key=str)
+    assert {(r["vec_id"], r["n_links"], r["component_id"]) for r in got if r["vec_id"] in (702, 703)} == {(702, 1, 701), (702, 1, 702), (703, 1, 702)}

@@ -59,3 +59,22 @@ def test_components_of_a_long_path(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (7, 7)], "a long, b long")
     got = dict(connected_components(edges).collect())
     assert got == {**{i: 0 for i in range(41)}, 100: 100, 101: 100}
+
+
+def test_null_repeated_and_shared_keys(spark):
+    t, u, v = (" ".join(f"{c}{i}" for i in range(60)) for c in "tuv")
+    rows = [(1, t), (None, t + " more"), (2, u), (3, u + " more"), (3, v), (4, v + " more"), (4, v + " more"), (None, "alone by itself here today"),
+            (None, "alone by itself here today"), (9, ""), (9, None), (None, "")]
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute([{"doc_id": k, "text": x} for k, x in rows])
+    # the link goes by the text of key 3, not by the key: its two texts stay apart
+    assert sorted(r["component_id"] for r in got if r["doc_id"] in (2, 3, 4)) == [2, 2, 3, 3, 3]
+
+
+def test_keys_that_are_all_shared(docs, local):
+    from pyspark.sql import functions as F
+
+    some = docs.withColumn("doc_id", F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 7))
+    rows = [{**r, "doc_id": r["doc_id"] % 7 if r["doc_id"] is not None and r["doc_id"] % 3 else None} for r in local]
+    got = near_duplicates(some).collect()
+    assert sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got), key=str) == brute(rows)
