@@ -7,6 +7,8 @@ columns are rounded to ``DIGITS`` places (the oracle rounds the same way).
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -19,7 +21,9 @@ from pulsegrid.plans import bindings as B
 from pulsegrid.plans import series as S
 from pulsegrid.plans.model_table import align_train, build_model_table
 from pulsegrid.plans.participants import SII_LABELS, add_target, health_features
+from pulsegrid.plans.scoring import vote_submissions
 from pulsegrid.session import ensure_checkpoint_dir
+from pulsegrid.sources.io import read_csv, read_series, read_with_lineage, write_csv, write_parquet
 
 DIGITS = 6
 SEASONS_B = ["basic_demos_enroll_season", "physical_season"]
@@ -135,6 +139,10 @@ def q_missing_report(spark, d):
     return rounded(PR.missing_triage(PR.missing_report(B.participants(spark, d))))
 
 
+def q_missing_report_wide(spark, d):
+    return rounded(PR.transpose_report(PR.missing_report(B.participants(spark, d)), B.PARTICIPANT_COLUMNS))
+
+
 def q_class_distribution(spark, d):
     return rounded(PR.class_distribution(_participants_t(spark, d), "sii", SII_LABELS))
 
@@ -221,6 +229,37 @@ def q_fold_assignment(spark, d):
     return stratified_folds(B.scored(spark, d).select("id", "y"), "y", "id", 5, 42).select("id", "y", "fold")
 
 
+def _shared(spark, name):
+    """A new path in the folder that driver and executors share."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def q_submission_vote(spark, d):
+    """Two submissions written as CSV, read back, joined, voted on; the vote
+    written and read again."""
+    s = _scored(spark, d)
+    paths = []
+    for i, c in enumerate(("p", "p_b")):
+        paths.append(_shared(spark, f"submission-{i}"))
+        write_csv(s.select("id", F.col(c).alias("sii")), paths[-1])
+    vote = vote_submissions([read_csv(spark, p, "id long, sii int")[0] for p in paths])
+    final = _shared(spark, "submission")
+    write_csv(vote, final)
+    return read_csv(spark, final, "id long, sii_0 int, sii_1 int, sii int")[0]
+
+
+def q_series_store(spark, d):
+    """The series written as a store with a folder per id, then the id taken
+    from the folder (one scan) and from the path of every file (recursive
+    scan): rows, steps and magnitude per id both ways."""
+    path = _shared(spark, "series-store")
+    write_parquet(_series(spark, d), path, partition_by="id")
+    from_folder = read_series(spark, path).groupBy("id").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.min("step").alias("first_step"), F.max("step").alias("last_step"), F.sum("enmo").alias("enmo"))
+    from_path = read_with_lineage(spark, path).groupBy("id").agg(F.count(F.lit(1)).alias("n_listed"), F.sum("light").alias("light"))
+    return rounded(from_folder.join(from_path, "id", "full").withColumn("id", F.col("id").cast("long")))
+
+
 def _model_rows(spark, d):
     """The full model table, stored: rows with a class, rows without, features."""
     from pulsegrid.plans.modelling import feature_columns
@@ -265,6 +304,7 @@ QUERIES = {
     "encode_shared": q_encode_shared,
     "schema_align": q_schema_align,
     "missing_report": q_missing_report,
+    "missing_report_wide": q_missing_report_wide,
     "class_distribution": q_class_distribution,
     "distribution_by_age": q_distribution_by_age,
     "target_audit": q_target_audit,
@@ -281,6 +321,8 @@ QUERIES = {
     "regression_summary": q_regression_summary,
     "threshold_grid": q_threshold_grid,
     "majority_vote": q_majority_vote,
+    "submission_vote": q_submission_vote,
+    "series_store": q_series_store,
     "stratified_folds": q_stratified_folds,
     "fold_assignment": q_fold_assignment,
     "oof_predictions": q_oof_predictions,

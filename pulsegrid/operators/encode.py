@@ -5,15 +5,15 @@ values (ordered by an explicit ``order_by`` column, since a distributed
 table has no row order); the missing label is coded 0 but still takes a
 position, so codes can skip a number. All columns are fitted in one pass:
 the (column, value) pairs are stacked, reduced to their first position
-(map-side combined), ranked per column on that small table, and joined
-back (a small dimension table; AQE broadcasts it after measuring it).
+(map-side combined), ranked per column on that small table, and gathered in
+a one-row dictionary, a map per column, in which rows look their codes up.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 MISSING = "Missing"
@@ -31,17 +31,27 @@ def fit_first_appearance(df: DataFrame, columns: Sequence[str], order_by: str =
                         F.when(F.col("value") == missing, F.lit(0)).otherwise(F.row_number().over(w)).alias("code"))
 
 
+def dictionary(mapping: DataFrame, columns: Sequence[str]) -> Column:
+    """The mapping as one value, a struct with a map per column, for use as a
+    scalar subquery: the plan holds it once however many columns look things
+    up. It is for categories: its size is that of the distinct values."""
+    entries = [F.map_from_entries(F.collect_list(F.when(F.col("column") == c, F.struct("value", "code")))).alias(f"m{i}")
+               for i, c in enumerate(columns)]
+    return mapping.agg(*entries).select(F.struct(*[f"m{i}" for i in range(len(columns))]).alias("d")).scalar()
+
+
 def apply_mapping(df: DataFrame, mapping: DataFrame, columns: Sequence[str], unseen: int = 0,
                   missing: str = MISSING) -> DataFrame:
-    """Replace each column by its code; values absent from the mapping get ``unseen``."""
-    out = df
-    for c in columns:
-        m = mapping.where(F.col("column") == c).select(F.col("value").alias(f"_v_{c}"), F.col("code").alias(f"_c_{c}"))
-        key = F.coalesce(F.col(c).cast("string"), F.lit(missing))
-        out = (out.join(m, key == F.col(f"_v_{c}"), "left")
-               .withColumn(c, F.coalesce(F.col(f"_c_{c}"), F.lit(unseen)).cast("int"))
-               .drop(f"_v_{c}", f"_c_{c}"))
-    return out
+    """Replace each column by its code; values absent from the mapping get
+    ``unseen``. No join: the codes are looked up in the one-row dictionary."""
+    columns = list(columns)
+    if not columns:
+        return df
+    codes = dictionary(mapping.where(F.col("column").isin(columns)), columns)
+    place = {c: i for i, c in enumerate(columns)}
+    return df.select(*[
+        F.coalesce(F.element_at(codes[f"m{place[c]}"], F.coalesce(F.col(c).cast("string"), F.lit(missing))), F.lit(unseen)).cast("int").alias(c)
+        if c in place else F.col(c) for c in df.columns])
 
 
 def encode_per_table(df: DataFrame, columns: Sequence[str], order_by: str = "id") -> DataFrame:

@@ -39,6 +39,14 @@ def missing_triage(report: DataFrame, remove_above: float = 50.0, impute_above:
     return report.withColumn("action", act)
 
 
+def transpose_report(report: DataFrame, fields: Sequence[str], field: str = "field", value: str = "missing_pct") -> DataFrame:
+    """The report turned on its side: one row, one column per field (null
+    where the report has none). The fields are given, so no job looks for
+    them, and the aggregate holds one value per field whatever the report's
+    size; of a field's repeated rows the largest value counts."""
+    return report.groupBy().pivot(field, list(fields)).agg(F.max(value)).select(*[F.col(f"`{f}`") for f in fields])
+
+
 # ----------------------------------------------------------- dense groups
 def dense_counts(df: DataFrame, category: str, domain: Sequence, key: str | None = None,
                  count_col: str = "id", name: str = "count") -> DataFrame:

@@ -323,6 +323,8 @@ def participant_queries() -> dict[str, str]:
         f"WITH {P}, r AS ({unions}) SELECT field, missing_pct, CASE WHEN missing_pct > 50 THEN 'remove' "
         "WHEN missing_pct > 10 AND missing_pct < 50 THEN 'impute' WHEN missing_pct < 10 THEN 'keep' END AS action FROM r",
         ["missing_pct"])
+    wide = ", ".join(f"avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) * 100 AS {c}" for c in mcols)
+    q["missing_report_wide"] = rnd(f"WITH {P} SELECT {wide} FROM p", mcols)
     dom = "(VALUES " + ", ".join(f"('{x}')" for x in SII) + ") dom(sii)"
     q["class_distribution"] = rnd(
         f"WITH {P}, {target_cte()}, c AS (SELECT sii, count(id) AS n FROM pt WHERE sii IS NOT NULL GROUP BY sii), "
@@ -437,6 +439,8 @@ def metric_queries() -> dict[str, str]:
                               f"qwk FROM ({tg})", ["t1", "t2", "t3", "qwk"])
     q["majority_vote"] = (f"WITH {S} SELECT id, p, p_b, CASE WHEN p IS NULL THEN p_b WHEN p_b IS NULL THEN p "
                           "ELSE least(p, p_b) END AS vote, CAST(round_even(score, 0) AS INTEGER) AS rounded FROM s")
+    q["submission_vote"] = (f"WITH {S} SELECT id, p AS sii_0, p_b AS sii_1, CASE WHEN p IS NULL THEN p_b WHEN p_b IS NULL THEN p "
+                            "ELSE least(p, p_b) END AS sii FROM s")
     q["stratified_folds"] = (
         f"WITH {S}, c AS (SELECT y, count(*) AS n FROM s WHERE y IS NOT NULL GROUP BY y), "
         "f AS (SELECT CAST(range AS INTEGER) AS fold FROM range(0, 5)) "
@@ -447,5 +451,11 @@ def metric_queries() -> dict[str, str]:
     return q
 
 
+def io_queries() -> dict[str, str]:
+    return {"series_store": rnd(
+        f"SELECT id, count(*) AS n_rows, min(step) AS first_step, max(step) AS last_step, sum(enmo) AS enmo, count(*) AS n_listed, "
+        f"sum(light) AS light FROM {B.series_sql()} GROUP BY id", ["enmo", "light"])}
+
+
 def all_sql() -> dict[str, str]:
-    return {**series_queries(), **participant_queries(), **metric_queries()}
+    return {**io_queries(), **series_queries(), **participant_queries(), **metric_queries()}

@@ -6,6 +6,7 @@ All steps keep ``id`` as a column; the result is (id, sii)."""
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,9 +30,15 @@ def score_cohort(train: DataFrame, test: DataFrame, label: str, features: Sequen
         test_scores = own.where("side = 'test'").groupBy("id").agg(F.avg("score").alias("score"))
         _, summary, classes = evaluate_oof(oof, test_scores, step=step)
         summaries.append(summary)
-        votes.append(classes.select("id", F.col("sii").alias(f"sii_{i}")))
-    joined = votes[0]
-    for v in votes[1:]:
-        joined = joined.join(v, "id", "full")
-    final = joined.select("id", majority_vote([f"sii_{i}" for i in range(len(votes))]).cast("int").alias("sii"))
-    return final, summaries
+        votes.append(classes)
+    return vote_submissions(votes).select("id", "sii"), summaries
+
+
+def vote_submissions(submissions: Sequence[DataFrame], label: str = "sii", key: str = "id") -> DataFrame:
+    """Submissions (key, label) joined by key and voted on: key, one column
+    per submission, label. A row that a submission lacks has no vote there;
+    rows without a key are dropped, as they match nothing."""
+    named = [s.where(F.col(key).isNotNull()).select(key, F.col(label).alias(f"{label}_{i}")) for i, s in enumerate(submissions)]
+    joined = reduce(lambda a, b: a.join(b, key, "full"), named)
+    votes = [f"{label}_{i}" for i in range(len(named))]
+    return joined.select(key, *votes, majority_vote(votes).cast("int").alias(label))
