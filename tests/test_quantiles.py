@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from pulsegrid.operators.quantiles import exact_quantiles, order_key, qcut_bucket
-from pulsegrid.operators.ranking import rank_within, stratified_folds
+from pulsegrid.operators.ranking import key_hash, rank_by_key, rank_within, stratified_folds
 
 PROBS = [0.0, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 1.0]
 
@@ -134,3 +134,29 @@ def test_cells_of_narrow_and_skewed_columns_stay_small(spark):
     for shifts in ((60, 50, 40, 30, 20, 10, 0), (52,)):
         again = exact_quantiles(df, ["g"], "v", PROBS, cell_shifts=shifts).toPandas().set_index("g")
         assert (again.sort_index() == got.sort_index()).all(None)
+
+
+def test_count_tree_bounds_every_block(spark):
+    # 10**6 rows, 90 % of them in one class: blocks of at most 1,000 rows, and the folds of a plain sort
+    df = spark.range(1_000_000).select("id", F.when(F.col("id") % 10 > 0, 0).otherwise(1).alias("y"))
+    ranked = rank_by_key(df, ["y"], key_hash("id", 42), ["id"], "r", bound=1_000)
+    got = ranked.groupBy("y").agg(F.count("*").alias("n"), F.countDistinct("r").alias("d"), F.max("r").alias("m")).collect()
+    assert sorted((r["y"], r["n"], r["d"], r["m"]) for r in got) == [(0, 900_000, 900_000, 899_999), (1, 100_000, 100_000, 99_999)]
+    sizes = df.groupBy("y", F.shiftright(key_hash("id", 42), 36)).count().agg(F.max("count")).first()[0]
+    assert sizes <= 1_000
+    after = ranked.where("y = 1").withColumn("h", key_hash("id", 42)).toPandas().sort_values(["h", "id"])
+    assert (after["r"].to_numpy() == np.arange(100_000)).all()
+    folds = stratified_folds(df, "y", "id", bound=1_000).groupBy("y", "fold").count().collect()
+    assert {(r["y"], r["count"]) for r in folds} == {(0, 180_000), (1, 20_000)}
+
+
+@pytest.mark.parametrize("bound", [1, 7, 10_000])
+def test_count_tree_with_ties_and_null_keys(spark, bound):
+    rng = np.random.default_rng(0)
+    rows = [(None if i % 5 == 0 else i % 3, int(rng.integers(0, 1 << 16)) if i % 4 else 77, i) for i in range(400)]
+    df = spark.createDataFrame(rows, "g int, k long, id long").repartition(3)
+    got = rank_by_key(df, ["g"], F.col("k"), ["id"], "r", bits=16, levels=3, bound=bound).collect()
+    for g in (None, 0, 1, 2):
+        want = [i for _, i in sorted((k, i) for h, k, i in rows if h == g)]
+        assert [r["id"] for r in sorted((r for r in got if r["g"] == g), key=lambda r: r["r"])] == want
+        assert sorted(r["r"] for r in got if r["g"] == g) == list(range(len(want)))
