@@ -119,7 +119,8 @@ def mix_sources(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: fl
                 key: str = "doc_id", text: str = "text", source: str = "source", seed: str = "mix") -> DataFrame:
     """One row per input row: key, size, source_size, target, taken (copies
     times size), then source, copies (whole copies the mix takes), inclusion
-    (of the copy that is drawn; null where none is) and rank."""
+    (of the copy that is drawn; null where none is), rank and text_hash
+    (xxhash64 of the text)."""
     told = df.select(F.col(key).alias("k"), F.col(source).alias("source"), word_count(F.col(text)).alias("size"), F.xxhash64(F.col(text)).alias("__hash"))
     # equal rows: counted, dealt in chunks, and numbered inside a chunk
     chunk = F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("__n") - 1) / BLOCK_ROWS))).alias("__chunk")
@@ -168,4 +169,4 @@ def mix_sources(df: DataFrame, weights: tuple[float, ...] = (3, 1, 2), share: fl
     chosen = F.col("fits") | ((F.col("p") > 0) & (F.col("size") > 0) & _taken()) | (F.col("at") == F.col("last_at"))
     copies = (F.col("whole") + F.coalesce(chosen, F.lit(False)).cast("long")).cast("long")
     return out.select(F.col("k").alias(key), "size", "source_size", "target", (copies * F.col("size")).alias("taken"),
-                      F.col("source").alias(source), copies.alias("copies"), F.col("p").alias("inclusion"), "rank")
+                      F.col("source").alias(source), copies.alias("copies"), F.col("p").alias("inclusion"), "rank", F.col("__hash").alias("text_hash"))

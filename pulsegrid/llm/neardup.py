@@ -158,11 +158,12 @@ def _family_links(family: DataFrame, sets: DataFrame, percent: int) -> DataFrame
 
 
 def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: int = K, width: int = WIDTH,
-                    percent: int = PERCENT) -> DataFrame:
+                    percent: int = PERCENT, inner: bool = False) -> DataFrame:
     """One row per input row: key, n_shingles, component_id (smallest key
     reachable by links) and kept (key equals component_id). Classes and links
     go by the texts' hashes, so rows that share a key or have none take part
-    as what they are."""
+    as what they are. With ``inner`` also text_hash (xxhash64 of the text) and
+    component (a number that a component's rows share, null without words)."""
     floor = overlap_floor(k, percent)
     docs = stage_table(sketches(df, key, text, k, width), "sketches")
     reps = stage_table(docs.where("n > 0").groupBy("n", "h1", "h2").agg(
@@ -237,8 +238,9 @@ def near_duplicates(df: DataFrame, key: str = "doc_id", text: str = "text", k: i
     found = stage_table(reps.select("n", "h1", "h2", "key", "low").join(comp.select(F.col("node").alias("key"), "component"), "key", "left")
                         .withColumn("component", F.coalesce("component", "key")), "classes-found")
     names = found.groupBy("component").agg(F.min("low").alias("__c"))
-    found = found.join(names, "component").select("n", "h1", "h2", "__c")
-    out = docs.select("key", "n", "h1", "h2").join(found, ["n", "h1", "h2"], "left")
+    found = found.join(names, "component").select("n", "h1", "h2", "__c", "component")
+    out = docs.select("key", "th", "n", "h1", "h2").join(found, ["n", "h1", "h2"], "left")
     # a null component: no words, or no key in the component
-    out = out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), F.coalesce("__c", "key").alias("component_id"))
-    return out.withColumn("kept", F.col(key).eqNullSafe(F.col("component_id")))
+    label = F.coalesce("__c", "key")
+    return out.select(F.col("key").alias(key), F.col("n").alias("n_shingles"), label.alias("component_id"), F.col("key").eqNullSafe(label).alias("kept"),
+                      *([F.col("th").alias("text_hash"), "component"] if inner else []))
