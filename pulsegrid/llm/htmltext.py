@@ -8,8 +8,11 @@ pages (a text on n of m pages: log n / log m). Pages of a host with the same
 article count once. A branch weighs its own presentation by 1 - GAMMA and the
 content below it by GAMMA; branches under LOW that stand on at least MIN_PAGES
 such pages are removed from every page, but never below a page's own <article>
-or <main>. The tree lives in aggregates by (host, path); no host is ever in
-one task.
+or <main>. Where a path has no class or id at all, menus, stories and notices
+share a node, so there the leaves of the tree are its content nodes, one per
+(path, text): one whose importance, 1 - log n / log m, is under LOW_TEXT
+stands on nearly all pages of the host and goes likewise. The tree lives in aggregates by
+(host, path); no host is ever in one task.
 
 Before that a page loses what HTML itself marks as no article: scripts,
 styles, navigation, footers, forms, asides, hidden parts and elements whose
@@ -40,7 +43,8 @@ from pyspark.sql import functions as F
 from pulsegrid.llm.common import map_arrow, stage_table
 
 GAMMA, LOW, MIN_PAGES = 0.9, 0.3, 8
-HOSTS_TO_BROADCAST = 100_000
+LOW_TEXT = 0.1
+CUTS_TO_BROADCAST = 1_000_000  # keys of 8 bytes
 
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = set("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time "
@@ -243,8 +247,19 @@ def _up(path: str) -> list[str]:
     return ["/".join(parts[:i]) for i in range(2, len(parts) + 1)]
 
 
+def _bare(path: str) -> bool:
+    """No element of the path has a class or an id."""
+    return all(name.endswith(".") and name.count(".") == 1 for name in path.split("/")[1:])
+
+
+def _leaf(path: int, text: int) -> int:
+    """Key of a content node; wraps as 64-bit arithmetic does."""
+    return (((path * 31 + text) + (1 << 63)) & ((1 << 64) - 1)) - (1 << 63)
+
+
 def style_tree(pages: DataFrame) -> DataFrame:
-    """``pages`` (host, html) to the paths to remove: host, path (a key)."""
+    """``pages`` (host, html) to what to remove: host, cut (key of a path or
+    of a content node)."""
 
     def nodes(batches):
         for batch in batches:
@@ -255,19 +270,19 @@ def style_tree(pages: DataFrame) -> DataFrame:
             for host, html in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 page = Page(html.as_py() or "")
                 same = _key("\n".join(t for _, t in page.article()))
-                rows = {(b[0], 1, _key(b[1])) for b in page.blocks} | {(p, 2, key(s)) for p, s in page.styles if p}
+                rows = {(b[0], 3 if _bare(b[0]) else 1, _key(b[1])) for b in page.blocks} | {(p, 2, key(s)) for p, s in page.styles if p}
                 rows |= {(p, 0, 0) for p, _, _ in rows} | {("", 0, 0)}  # the empty path is the host's
                 for p, kind, value in rows:
                     if p not in ups:
                         ups[p] = ",".join(str(key(x)) for x in _up(p))
-                    for o, x in zip(out, (host, key(p), ups[p], kind, value, same), strict=True):
+                    for o, x in zip(out, (host, key(p), ups[p], kind, _leaf(key(p), value) if kind == 3 else value, same), strict=True):
                         o.append(x)
             yield pa.RecordBatch.from_arrays([pa.array(o, t) for o, t in zip(out, (pa.string(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.int64()), strict=True)],
                                              ["host", "path", "up", "kind", "value", "same"])
 
     seen = map_arrow(pages.select("host", "html"), nodes, "host string, path long, up string, kind int, value long, same long")
-    seen = seen.groupBy("host", "path", "up", "kind", "value").agg(F.count_distinct("same").alias("n"))
-    of = lambda kind, x: F.when(F.col("kind") == kind, x)
+    seen = stage_table(seen.groupBy("host", "path", "up", "kind", "value").agg(F.count_distinct("same").alias("n")), "style-seen")
+    of = lambda kind, x: F.when(F.col("kind") % 2 == kind if kind == 1 else F.col("kind") == kind, x)  # noqa: E731  texts: kinds 1 and 3
     n, ln = F.col("n"), F.log(F.col("n").cast("double"))
     node = stage_table(seen.groupBy("host", "path", "up").agg(
         F.max(of(0, n)).alias("m"), F.avg(of(1, ln)).alias("text_ln"), F.count(of(1, n)).alias("texts"),
@@ -276,22 +291,25 @@ def style_tree(pages: DataFrame) -> DataFrame:
     base = F.log(F.col("pages").cast("double"))
     alone = F.col("pages") < 2
     node = stage_table(node.select(
-        "host", "path", "up", "m", "texts",
+        "host", "path", "up", "m", "texts", base.alias("base"),
         F.when(alone, 1.0).otherwise((F.log(F.col("shown").cast("double")) - F.col("shown_ln") / F.col("shown")) / base).alias("presentation"),
         F.when(alone, 1.0).otherwise(1 - F.col("text_ln") / base).alias("content")), "style-tree")
     below = (node.where("texts > 0").select("host", F.explode(F.split("up", ",")).alias("path"), "texts", "content")
              .groupBy("host", F.col("path").cast("long").alias("path")).agg((F.sum(F.col("texts") * F.col("content")) / F.sum("texts")).alias("below")))
     both = node.join(below, ["host", "path"])
     worth = (1 - GAMMA) * F.coalesce("presentation", F.lit(0.0)) + GAMMA * F.col("below")
-    return both.where((worth < LOW) & (F.col("m") >= MIN_PAGES)).select("host", "path")
+    paths = both.where((worth < LOW) & (F.col("m") >= MIN_PAGES)).select("host", F.col("path").alias("cut"))
+    host = node.groupBy("host").agg(F.max("base").alias("base"))
+    leaves = seen.where((F.col("kind") == 3) & (F.col("n") >= MIN_PAGES)).join(host, "host")
+    return paths.union(leaves.where(1 - ln / F.col("base") < LOW_TEXT).select("host", F.col("value").alias("cut")))
 
 
 def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str = "html") -> DataFrame:
     """One row per page: key, url, text, n_chars."""
     host = F.coalesce(F.lower(F.regexp_extract(F.col(url), r"^[A-Za-z][A-Za-z0-9+.-]*://([^/:?#]+)", 1)), F.lit(""))
     pages = df.select(F.col(key).alias("key"), F.col(url).alias("url"), host.alias("host"), F.col(html).alias("html"))
-    cut = stage_table(style_tree(pages).groupBy("host").agg(F.collect_list("path").alias("cut")), "removed-branches")
-    side = F.broadcast(cut) if cut.count() <= HOSTS_TO_BROADCAST else cut
+    cut = stage_table(style_tree(pages).groupBy("host").agg(F.collect_list("cut").alias("cut")), "removed-branches")
+    side = F.broadcast(cut) if cut.agg(F.coalesce(F.sum(F.size("cut") + 8), F.lit(0))).first()[0] <= CUTS_TO_BROADCAST else cut
     pages = pages.join(side, "host", "left").select("key", "url", "html", "cut")
 
     def texts(batches):
@@ -301,9 +319,11 @@ def main_text(df: DataFrame, key: str = "page_id", url: str = "url", html: str =
                 page = Page(html_.as_py() or "")
                 drop = set(cut_.as_py() or ())
                 if drop:
-                    lost = {p: any((cuts[x] if x in cuts else cuts.setdefault(x, _key(x))) in drop for x in _up(p)) for p in {b[0] for b in page.blocks}}
+                    key_of = lambda x: cuts[x] if x in cuts else cuts.setdefault(x, _key(x))  # noqa: B023, E731
+                    lost = {p: any(key_of(x) in drop for x in _up(p)) for p in {b[0] for b in page.blocks}}
                     blocks = page.marked(lost.__getitem__)
-                    blocks = [b for b in blocks if ((b[2] or b[3]) and not b[4]) or not lost[b[0]]] or blocks
+                    blocks = [b for b in blocks if ((b[2] or b[3]) and not b[4])
+                              or not lost[b[0]] and _leaf(key_of(b[0]), _key(b[1])) not in drop] or blocks
                 else:
                     blocks = page.marked()
                 out.append("\n".join(b[1] for b in blocks))

@@ -23,7 +23,7 @@ def test_broken_and_odd_pages():
     assert text("") == "" and text("<p>") == "" and text("plain < text & more") == "plain < text & more"
     assert text("<article><p><b>Bold<br><p>Next</p></article></div></p>") == "Bold\nNext"
     assert text("<article><p>&nbsp;a&nbsp;\t b &lt;i&gt;</article>") == "a b <i>"
-    assert text("<main><p>x</main><p>out") == "x" and text("<![bad[ <p>y") in ("", "y")
+    assert text("<main><p>x</main><p>out") == "x" and text("<![bad[ <p>y") in ("y",)
     assert len(text("<p>" + "word " * 300000)) == 5 * 300000 - 1
 
 
@@ -111,3 +111,29 @@ def test_tree_confirms_cuts_by_name(spark):
     by = {r["page_id"]: r["text"] for r in main_text(df).collect()}
     for i in range(20):
         assert by[i] == f"Story {i}." and by[100 + i] == f"Own words of page {i}, and many of them.\nStory {i + 50}."
+
+
+def test_unmarked_blocks_that_repeat_over_a_host_go(spark):
+    import math
+
+    from pulsegrid.llm.htmltext import LOW_TEXT, MIN_PAGES
+
+    rows, want = [], {}
+    for h, n in (("a.org", 14), ("b.org", 5)):  # the second host has too few pages for a tree
+        for i in range(n):
+            shared = ["Home", "About us", "Copyright Example Press"] + (["Now on sale"] if i < 11 else []) + (["Read this twice"] if i % 2 else [])
+            story = [f"Story {h} {i} tells of things {i * 7} and more.", f"It goes on for page {i} only."]
+            body = "".join(f"<div>{t}</div>" for t in shared[:2] + story + shared[2:])
+            rows.append((f"{h}{i}", f"http://{h}/{i}", f"<html><body><div>{body}</div></body></html>"))
+            want[f"{h}{i}"] = shared[:2] + story + shared[2:]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(rows, "page_id string, url string, html string")).collect()}
+    for key, blocks in want.items():  # by hand: a text on n of the host's m pages
+        host = [v for k, v in want.items() if k[:5] == key[:5]]
+        on = {t: sum(t in v for v in host) for t in blocks}
+        left = [t for t in blocks if not (on[t] >= MIN_PAGES and 1 - math.log(on[t]) / math.log(len(host)) < LOW_TEXT)]
+        assert got[key] == "\n".join(left)
+    assert "Home" not in got["a.org3"] and "Read this twice" in got["a.org3"] and "Home" in got["b.org1"]
+    # an article is kept whole, whatever repeats in it
+    marked = [(k, u, h.replace("<body><div>", "<body><article>").replace("</div></body>", "</article></body>")) for k, u, h in rows]
+    got = {r["page_id"]: r["text"] for r in main_text(spark.createDataFrame(marked, "page_id string, url string, html string")).collect()}
+    assert all(got[k] == "\n".join(v) for k, v in want.items())
