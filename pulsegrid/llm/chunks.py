@@ -70,13 +70,13 @@ class ChunkCoder:
     """Ids of texts from ``encode``, which maps a list of distinct chunks
     (bytes) to a list of little-endian unsigned 32-bit id strings."""
 
-    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], joined_by_cr: bool = False):
-        self.encode, self.joined_by_cr = encode, joined_by_cr
+    def __init__(self, encode: Callable[[list[bytes]], list[bytes]], joined_by_cr: bool = False, memory: int | None = None):
+        self.encode, self.joined_by_cr, self.memory = encode, joined_by_cr, memory
         self.young: dict[bytes, bytes] = {}
         self.old: dict[bytes, bytes] = {}
 
     def _known(self, chunks: list[bytes]) -> list[bytes]:
-        if len(self.young) > MEMORY_CHUNKS:
+        if len(self.young) > (self.memory or MEMORY_CHUNKS):
             self.old, self.young = self.young, {}
         known = list(map(self.young.get, chunks))
         new = [c for c, k in zip(chunks, known, strict=True) if k is None]
@@ -170,11 +170,11 @@ class WordEndCoder(ChunkCoder):
     one word of Latin letters need no normalizing beyond lower case, so
     hundreds of them are encoded as one string by the model alone."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, memory: int | None = None):
         from tokenizers import Tokenizer
 
         self.tok = _library(path, False)
-        super().__init__(self._encode)
+        super().__init__(self._encode, memory=memory)
         bare = json.loads(self.tok.to_str()) | {"normalizer": None, "added_tokens": []}
         bare["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
             {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}

@@ -30,6 +30,7 @@ from pulsegrid.llm.common import map_arrow, stage_table
 from pulsegrid.llm.ranking import numbered
 
 BLOCK_ROWS = 4096
+CHUNKS_KEPT, TEXT_BYTES = 150_000, 4 << 20  # a worker's memory of runs, and bytes of text coded at once
 
 
 def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_id: int = 0, key: str = "doc_id",
@@ -41,10 +42,10 @@ def token_pieces(df: DataFrame, tokenizer_path: str, capacity: int = 2048, end_i
     end = int(end_id).to_bytes(4, "little")
 
     def pieces(batches):
-        tok = coder(WordEndCoder, tokenizer_path)
+        tok = coder(WordEndCoder, tokenizer_path, CHUNKS_KEPT)
         for batch in batches:
             keys = batch.column(0)
-            for first, ids, starts in tok.rows(batch.column(1)):
+            for first, ids, starts in tok.rows(batch.column(1), TEXT_BYTES):
                 raw, starts = memoryview(ids.astype("<u4")).cast("B"), (4 * starts).tolist()
                 rows: list[tuple] = []
                 for i, (a, b) in enumerate(pairwise(starts)):
