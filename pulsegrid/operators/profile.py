@@ -10,8 +10,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pulsegrid.operators.fitted import fit_row
-from pulsegrid.operators.quantiles import distinct_edge, exact_quantiles, qcut_bucket
+from pulsegrid.operators.fitted import fitted
+from pulsegrid.operators.quantiles import exact_quantiles
 
 
 def _lit_array(values) -> Column:
@@ -110,41 +110,33 @@ def split_median(df: DataFrame, split_col: str, value: str, zero=0, scale: int =
 def quantile_buckets(df: DataFrame, variable: str, q: int, duplicates: str = "raise",
                      name: str | None = None) -> DataFrame:
     """Equal-frequency bucket (1..q) of ``variable`` over the whole table, with
-    the global quantile edges fitted once and inlined. Duplicate edges
+    the global quantile edges as a scalar subquery. Duplicate edges
     are dropped (``duplicates='drop'``) or make the query fail ('raise')."""
     name = name or f"{variable}_bucket"
     probs = [i / q for i in range(q + 1)]
     edges = exact_quantiles(df, [], variable, probs, names=[f"_e{i}" for i in range(q + 1)])
-    cols = [F.col(f"_e{i}") for i in range(q + 1)]
-    dup = None
-    for i in range(1, q + 1):
-        c = cols[i] == cols[i - 1]
-        dup = c if dup is None else dup | c
+    distinct = F.array_distinct(F.array(*[F.col(f"_e{i}") for i in range(q + 1)]))
     if duplicates == "raise":
-        st = F.when(~dup, F.struct(*cols)).otherwise(F.raise_error(F.lit("Bin edges must be unique")))
-    elif duplicates == "drop":
-        st = F.struct(*cols)
-    else:
+        distinct = F.when(F.size(distinct) <= q, F.raise_error(F.lit("Bin edges must be unique")).cast("array<double>")).otherwise(distinct)
+    elif duplicates != "drop":
         raise ValueError("duplicates must be 'raise' or 'drop'")
-    row = fit_row(edges.select(st.alias("_edges")))
-    vals = [row["_edges"][f"_e{i}"] for i in range(q + 1)]
-    ecols = [F.lit(v).cast("double") for v in vals]
-    out = df.withColumn(name, qcut_bucket(F.col(variable), ecols))
-    return (out.withColumn(f"{name}_lo", F.when(F.col(name).isNotNull(), distinct_edge(ecols, F.col(name))))
-               .withColumn(f"{name}_hi", F.when(F.col(name).isNotNull(), distinct_edge(ecols, F.col(name) + 1))))
+    told = df.withColumn("_ends", fitted(edges.select(distinct.alias("edges")))["edges"])
+    x, ends = F.col(variable), F.col("_ends")
+    # (e[i - 1], e[i]], the smallest value in bucket 1; one edge makes no interval
+    bucket = F.when(x.isNotNull() & (F.size(ends) >= 2), F.greatest(F.lit(1), F.size(F.filter(ends, lambda e: e < x))))
+    out = told.withColumn(name, bucket)
+    return (out.withColumn(f"{name}_lo", F.try_element_at(ends, F.col(name)))
+               .withColumn(f"{name}_hi", F.try_element_at(ends, F.col(name) + 1)).drop("_ends"))
 
 
 def bucket_report(df: DataFrame, variable: str, q: int, target: str, category: str, domain: Sequence,
                   count_col: str = "id") -> DataFrame:
-    """Per bucket: mean target, and the bucket x class counts (dense) as columns."""
+    """Per bucket: mean target, and the bucket x class counts (dense) as
+    columns, in one aggregate with a counter per class."""
     b = quantile_buckets(df, variable, q)
     bname = f"{variable}_bucket"
-    mean = b.where(F.col(bname).isNotNull()).groupBy(bname, f"{bname}_lo", f"{bname}_hi").agg(
-        F.avg(target).alias("target_mean"))
-    dense = dense_counts(b, category, domain, bname, count_col)
-    piv = dense.groupBy(bname).pivot(category, list(domain)).agg(F.max("count"))
-    piv = piv.select(bname, *[F.col(f"`{v}`").alias(f"n_{i}") for i, v in enumerate(domain)])
-    return mean.join(piv, bname, "left")
+    counters = [F.count(F.when(F.col(category) == v, F.col(count_col))).alias(f"n_{i}") for i, v in enumerate(domain)]
+    return b.where(F.col(bname).isNotNull()).groupBy(bname, f"{bname}_lo", f"{bname}_hi").agg(F.avg(target).alias("target_mean"), *counters)
 
 
 def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
@@ -152,8 +144,8 @@ def histogram(df: DataFrame, value: str, bins: int = 20) -> DataFrame:
     present; the maximum falls into the last bin."""
     v = df.select(F.col(value).cast("double").alias("_x")).where(F.col("_x").isNotNull())
     rng = v.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi"))
-    r = fit_row(rng)
-    lo, hi = F.lit(r["_lo"]).cast("double"), F.lit(r["_hi"]).cast("double")
+    r = fitted(rng)
+    lo, hi = r["_lo"], r["_hi"]
     width = (hi - lo) / bins
     b = (v.select(F.when(hi == lo, F.lit(1))
                   .otherwise(F.least(F.lit(bins), F.floor((F.col("_x") - lo) / width).cast("int") + 1))

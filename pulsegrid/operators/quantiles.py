@@ -129,17 +129,6 @@ def qcut_bucket(x: Column, edges: Sequence[Column]) -> Column:
     return F.when(x.isNotNull() & (n_distinct >= 2), F.greatest(F.lit(1), below))
 
 
-def distinct_edge(edges: Sequence[Column], k: Column) -> Column:
-    """k-th (1-based) distinct value of ascending edges; null past the end."""
-    out = F.lit(None).cast("double")
-    rank = None
-    for i, e in enumerate(edges):
-        new = F.lit(1) if i == 0 else F.when(e != edges[i - 1], 1).otherwise(0)
-        rank = new if rank is None else rank + new
-        out = F.when((rank == k) & (F.lit(i == 0) | (e != edges[i - 1] if i else F.lit(True))), e).otherwise(out)
-    return out
-
-
 def decile_probs(q: int) -> list[float]:
     """Edge probabilities 0, 1/q, ..., 1 as numpy's linspace gives them."""
     return [i / q for i in range(q + 1)]

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from pulsegrid.functions.nulls import all_present, any_missing, null_count, skipnull_sum, strict_sum
 from pulsegrid.functions.numeric import safe_div
-from pulsegrid.operators.fitted import fit_row
+from pulsegrid.operators.fitted import fitted
 
 # Questionnaire layout and class bands of the source study.
 ITEM_COUNT = 20
@@ -75,13 +75,13 @@ def add_target(df: DataFrame, items: Sequence[str] = ITEM_COLUMNS, total: str =
 def health_features(df: DataFrame, cols: dict | None = None, fgc: Sequence[str] = FGC_COLUMNS) -> DataFrame:
     """Nine health features. Strict null arithmetic except the FGC share
     (missing counts as 0, divisor fixed); height / weight z-scores use the
-    population std of this table (a one-row aggregate, fitted once, inlined)."""
+    population std of this table (a one-row aggregate, a scalar subquery)."""
     c = {**HEALTH_INPUTS, **(cols or {})}
     require_columns(df, [c["height"], c["weight"]], "scaling")
     require_columns(df, list(fgc), "FGC")
     col = lambda k: F.col(c[k])
-    # scaler fit: one global aggregate row, inlined as literals
-    st = fit_row(df.agg(F.avg(c["height"]).alias("hm"), F.stddev_pop(c["height"]).alias("hs"),
+    # scaler fit: one global aggregate row inside the plan
+    st = fitted(df.agg(F.avg(c["height"]).alias("hm"), F.stddev_pop(c["height"]).alias("hs"),
                         F.avg(c["weight"]).alias("wm"), F.stddev_pop(c["weight"]).alias("ws")))
 
     def z(x, m, s):
@@ -102,8 +102,8 @@ def health_features(df: DataFrame, cols: dict | None = None, fgc: Sequence[str]
 
 
 def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFrame:
-    """Population-std z-scores fitted on this table (one aggregate row, fitted once, inlined)."""
-    st = fit_row(df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
+    """Population-std z-scores fitted on this table (one aggregate row, a scalar subquery)."""
+    st = fitted(df.agg(*[F.avg(c).alias(f"m{i}") for i, c in enumerate(columns)],
                         *[F.stddev_pop(c).alias(f"s{i}") for i, c in enumerate(columns)]))
     out = df
     for i, c in enumerate(columns):
@@ -111,7 +111,5 @@ def zscore(df: DataFrame, columns: Sequence[str], suffix: str = "_z") -> DataFra
     return out
 
 
-def _zs(x: Column, mean, sd) -> Column:
-    if mean is None or sd is None:
-        return F.lit(None).cast("double")
-    return (x - F.lit(float(mean))) / F.lit(1.0 if sd == 0 else float(sd))
+def _zs(x: Column, mean: Column, sd: Column) -> Column:
+    return (x - mean) / F.when(sd == 0, F.lit(1.0)).otherwise(sd)

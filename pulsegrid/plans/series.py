@@ -474,9 +474,12 @@ def series_describe(series: DataFrame, columns=("x", "y", "z", "enmo", "anglez",
     long = series.select("id", F.explode(F.array(*[
         F.struct(F.lit(c).alias("field"), F.col(c).cast("double").alias("value")) for c in columns])).alias("s")
     ).select("id", "s.field", "s.value")
-    basic = long.groupBy("id", "field").agg(
-        F.count("value").alias("count"), F.avg("value").alias("mean"), F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"), F.max("value").alias("max"))
+    # plain moments: one wide aggregate, turned to rows per id afterwards; rows are copied for the quantiles only
+    value = lambda c: F.col(c).cast("double")
+    moments = {"count": F.count, "mean": F.avg, "std": F.stddev_samp, "min": F.min, "max": F.max}
+    wide = series.groupBy("id").agg(*[f(value(c)).alias(f"{n}_{c}") for c in columns for n, f in moments.items()])
+    basic = wide.select("id", F.explode(F.array(*[
+        F.struct(F.lit(c).alias("field"), *[F.col(f"{n}_{c}").alias(n) for n in moments]) for c in columns])).alias("s")).select("id", "s.*")
     q = exact_quantiles(long, ["id", "field"], "value", [0.25, 0.5, 0.75], names=["p25", "p50", "p75"])
     return basic.join(q, ["id", "field"], "left").select(
         "id", "field", "count", "mean", "std", "min", "p25", "p50", "p75", "max")

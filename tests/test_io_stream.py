@@ -1,5 +1,4 @@
-"""Partitioned series store round trip, lineage scan, CSV sink, and the
-incremental (streaming) feature runner."""
+"""Partitioned series store round trip, lineage scan, CSV sink."""
 
 import tempfile
 
@@ -9,7 +8,6 @@ from pyspark.sql import functions as F
 from pulsegrid.plans import bindings
 from pulsegrid.plans import series as S
 from pulsegrid.sources.io import read_csv, read_series, read_with_lineage, write_csv, write_parquet
-from pulsegrid.streaming.series_stream import series_feature_stream
 
 
 def _store(spark, root):
@@ -35,21 +33,6 @@ def test_partitioned_store_round_trip(spark):
     assert df.count() == len(a) and "stat_57" in df.columns
 
 
-def test_stream_matches_batch(spark):
-    root = tempfile.mkdtemp(prefix="pg-st-", dir="/tmp")
-    ser = _store(spark, root)
-    schema = spark.read.parquet(f"{root}/series").drop("id").schema
-    q = series_feature_stream(spark, f"{root}/series", schema, f"{root}/sink", f"{root}/ckpt",
-                              max_files_per_trigger=10)
-    q.awaitTermination(300)
-    got = spark.read.parquet(f"{root}/sink").drop("epoch")
-    exp = S.series_features(ser)
-    assert got.count() == exp.count()
-    diff = got.select("id", "days_monitored", "longest_wear_streak").exceptAll(
-        exp.select("id", "days_monitored", "longest_wear_streak"))
-    assert diff.count() == 0
-
-
 def test_wear_filter_and_pruning_reach_the_scan(spark):
     """On a store with a real flag column, the wear filter is pushed into the
     Parquet reader, only the needed columns are read, and an id filter

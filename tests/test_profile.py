@@ -47,3 +47,18 @@ def test_correlation_rounding(spark):
     df = spark.createDataFrame([(1.0, 2.0), (2.0, 4.1), (3.0, 5.9), (None, 1.0)], "a double, t double")
     r = PR.correlation_table(df, ["a"], "t").collect()[0]
     assert r["corr_pct"] == round(r["corr"], 2) * 100
+
+
+def test_building_these_queries_runs_nothing(spark, monkeypatch):
+    from core_paths import SF
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from pulsegrid.catalog import QUERIES
+
+    def ran(*_):
+        raise AssertionError("an action while the query is built")
+
+    for action in ("collect", "count", "toPandas", "toArrow", "checkpoint"):
+        monkeypatch.setattr(DataFrame, action, ran)
+    for name in ("health_features", "bucket_report", "score_histogram", "encode_per_table", "missing_report_wide", "model_table"):
+        assert QUERIES[name](spark, SF).columns
