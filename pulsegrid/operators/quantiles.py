@@ -21,6 +21,7 @@ where a target rank lies:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,8 +47,10 @@ def order_key(v: Column) -> Column:
     mantissa = F.floor((size * F.pow(F.lit(2.0), -exponent) - 1) * float(1 << 52))
     key = ((exponent + 1002) * (1 << 52) + mantissa).cast("long")
     top = (1 << 63) - 1
-    return (F.when(F.isnan(v), F.lit(top)).when(v == float("inf"), F.lit(top - 1)).when(v == float("-inf"), F.lit(1 - top))
-            .when(v == 0, F.lit(0)).when(v > 0, key).otherwise(-key).cast("long"))
+    found = (F.when(F.isnan(v), F.lit(top)).when(v == float("inf"), F.lit(top - 1)).when(v == float("-inf"), F.lit(1 - top))
+             .when(v == 0, F.lit(0)).when(v > 0, key).otherwise(-key).cast("long"))
+    # never null, so joins on its digits push no test of it below the exchange that their sides share
+    return F.coalesce(found, F.lit(0).cast("long"))
 
 
 def _covered(probs: Sequence[float], low: Column, rows: Column, n: Column) -> Column:
@@ -73,7 +76,9 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
     """
     keys = _keys(keys)
     names = list(names) if names is not None else [f"q_{i}" for i in range(len(probs))]
-    v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(F.col("_v").isNotNull())
+    # null keys form no group; said here, all uses of the frame have the same filters and share one exchange
+    v = df.select(*keys, F.col(value).cast("double").alias("_v")).where(
+        reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys], F.col("_v").isNotNull()))
     distinct = v.groupBy(*keys, "_v").agg(F.count(F.lit(1)).alias("_m"))
     values = distinct.select("*", order_key(F.col("_v")).alias("_k"))
     rows, within = values, list(keys)  # rows of the cells that are still open, and what tells the cells apart
