@@ -115,6 +115,14 @@ def exact_quantiles(df: DataFrame, keys, value: str, probs: Sequence[float],
     return g.select(*out)
 
 
+def array_quantile(values: Column, p: float) -> Column:
+    """The same quantile of an ascending array without nulls; null if it is empty."""
+    n = F.size(values)
+    at = F.lit(float(p)) * (n - 1).cast("double")
+    low, high = _ranks(p, n)
+    return F.when(n > 0, _lerp(F.get(values, low.cast("int")), F.get(values, high.cast("int")), at - F.floor(at)))
+
+
 def qcut_bucket(x: Column, edges: Sequence[Column]) -> Column:
     """1-based equal-frequency bucket of x given ascending quantile edges.
 

@@ -42,15 +42,18 @@ def _keys(key) -> list[str]:
 
 
 def chunk_counts(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
-    """(key..., _chunk, _cnt): rows per chunk (a partial aggregate)."""
+    """(key..., _chunk, _cnt): rows per chunk (a partial aggregate). Where ``df``
+    has a ``_chunk`` of its own, rows without order value are in no chunk."""
     keys = _keys(key)
+    if "_chunk" in df.columns:
+        return df.groupBy(*keys, "_chunk").agg(F.count(order).alias("_cnt")).where(F.col("_cnt") > 0)
     return (df.select(*keys, F.floor(F.col(order) / F.lit(chunk_rows)).alias("_chunk"))
             .groupBy(*keys, "_chunk").agg(F.count(F.lit(1)).alias("_cnt")))
 
 
 def chunk_table(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_ROWS,
                 counts: DataFrame | None = None) -> DataFrame:
-    """(key..., _chunk, _cnt, _off, _ci): rows per chunk, rows before it, dense chunk index (1-based).
+    """(key..., _chunk, _cnt, _off, _ci, _nc): rows per chunk, rows before it, dense chunk index (1-based), chunks of the key.
 
     Built from a partial aggregate (or from ``counts`` computed elsewhere in
     the same pass), so it is tiny next to the rows (one row per
@@ -63,6 +66,7 @@ def chunk_table(df: DataFrame, key, order: str, chunk_rows: int = DEFAULT_CHUNK_
         *keys, "_chunk", "_cnt",
         F.coalesce(F.sum("_cnt").over(cw.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).cast("long").alias("_off"),
         F.row_number().over(cw).alias("_ci"),
+        F.count(F.lit(1)).over(Window.partitionBy(*keys)).cast("int").alias("_nc"),
     )
 
 
@@ -83,16 +87,17 @@ def ordered_window(df: DataFrame, key, order: str,
     small chunk table, so it reaches the rows through the (key, chunk)
     exchange the window needs anyway: no extra shuffle of the rows by key.
     ``counts`` optionally supplies the per-chunk row counts (``chunk_counts``)
-    when a caller computes them in a shared pass.
+    when a caller computes them in a shared pass. Rows that come with a
+    ``_chunk`` column, dealt by (key, chunk), are not dealt again.
     """
     keys = _keys(key)
-    src_cols = df.columns
+    src_cols = [c for c in df.columns if c != "_chunk"]
     chunks = chunk_table(df, keys, order, chunk_rows, counts)
     carried: list[str] = []
     if carry is not None:
         carried = [c for c in carry.columns if c not in keys]
         chunks = chunks.join(carry, keys, "left")
-    base = df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_rows)))
+    base = df if "_chunk" in df.columns else df.withColumn("_chunk", F.floor(F.col(order) / F.lit(chunk_rows)))
     w = Window.partitionBy(*keys, "_chunk").orderBy(order)
     rows = base.join(chunks, [*keys, "_chunk"]).withColumn("_rn", F.row_number().over(w) - 1)
     exprs = columns(w)
@@ -103,12 +108,12 @@ def ordered_window(df: DataFrame, key, order: str,
         # one pass over the (few) rows near chunk borders emits both the
         # chunk-head rows to recompute and the halo copies for later chunks
         is_head = (F.col("_rn") < halo) & (F.col("_ci") > 1)
-        is_tail = F.col("_rn") >= F.col("_cnt") - halo
+        is_tail = (F.col("_rn") >= F.col("_cnt") - halo) & (F.col("_ci") < F.col("_nc"))  # the last chunk's rows precede none
         tgt = F.struct(F.col("_ci").alias("_tci"), F.lit(False).alias("_halo"))
         empty = F.array().cast("array<struct<_tci:int,_halo:boolean>>")
         targets_arr = F.concat(
             F.when(is_head, F.array(tgt)).otherwise(empty),
-            F.when(is_tail, F.transform(F.sequence(F.col("_ci") + 1, F.col("_ci") + halo),
+            F.when(is_tail, F.transform(F.sequence(F.col("_ci") + 1, F.least(F.col("_ci") + halo, F.col("_nc"))),
                                         lambda t: F.struct(t.alias("_tci"), F.lit(True).alias("_halo"))))
             .otherwise(empty))
         border = (rows.where(is_head | is_tail)

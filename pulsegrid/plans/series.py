@@ -8,27 +8,30 @@ did, which makes them constants) or the raw rows in ``wear_scope="raw"``.
 
 Plan shape (no step holds a whole subject in one task):
 
-* one scan, derived columns, wear filter (pushed into the Parquet scan);
-* per-id statistics: mergeable aggregates + exact quantiles (global sort);
+* one scan, derived columns, wear filter (pushed into the Parquet scan), and
+  one exchange of the rows by (id, step chunk) that all passes read
+  (``by_chunk``);
+* per-id statistics: mergeable aggregates + exact quantiles (sorted in place
+  for ids of few rows, a refined histogram for the others);
 * ordered columns (lag of the arm angle, 12-row rolling mean, row position)
   through chunked windows with a halo fix-up (``operators.sequence``);
 * one wide ``groupBy(id)`` for the single-level features;
 * one ``GROUPING SETS`` aggregate for the two-level features
-  ((id,hour), (id,weekday), (id,bucket), (id,date), (id,flag)), then a
-  second ``groupBy(id)``;
+  ((id,hour), (id,weekday), (id,bucket), (id,date), (id,flag)), folded in
+  its chunk first, then a second ``groupBy(id)``;
 * a join of the per-id results on ``id`` (all one row per id).
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from pulsegrid.functions.nulls import share_true
 from pulsegrid.functions.numeric import corrected_kurtosis, corrected_skewness, guarded_cv, safe_div
 from pulsegrid.functions.timeparts import DAY_PARTS, day_part, hour_of_day, time_of_day_ns, weekend_flag
-from pulsegrid.operators.quantiles import decile_probs, exact_quantiles, qcut_bucket
+from pulsegrid.operators.quantiles import array_quantile, decile_probs, exact_quantiles, qcut_bucket
 from pulsegrid.operators.sequence import DEFAULT_CHUNK_ROWS, attach_by_chunk, longest_run, ordered_window
 
 SERIES_SCHEMA = T.StructType([
@@ -84,10 +87,12 @@ def stat_aliases(df: DataFrame, names=FEATURE_NAMES) -> DataFrame:
 def derive(series: DataFrame) -> DataFrame:
     """Add magnitude, hour, night / weekend masks (row-local, no shuffle)."""
     tod = time_of_day_ns(F.col("time_of_day"))
-    hour = hour_of_day(tod)
-    return (series
+    return _masked(series.withColumn("hour", hour_of_day(tod)))
+
+
+def _masked(rows: DataFrame) -> DataFrame:
+    return (rows
             .withColumn("mag", F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y") + F.col("z") * F.col("z")))
-            .withColumn("hour", hour)
             .withColumn("night", day_part(F.col("hour"), "night"))
             .withColumn("weekend", weekend_flag(F.col("weekday"))))
 
@@ -97,11 +102,26 @@ def wear_rows(series: DataFrame) -> DataFrame:
     return derive(series.where(F.col("non_wear_flag") == 0))
 
 
-def id_stats(rows: DataFrame) -> DataFrame:
-    """Per-id magnitude mean / sample std and quantiles (one row per id)."""
-    mom = rows.groupBy("id").agg(F.avg("mag").alias("mag_mean"), F.stddev_samp("mag").alias("mag_std"))
-    q = id_quantiles(rows)
-    return mom.join(q, "id", "left")
+# Columns of a wear row that cross the exchange, and their types behind it.
+_PACKED = {"_place": "long", "x": "double", "y": "double", "z": "double", "enmo": "double", "anglez": "double", "light": "double",
+           "battery_voltage": "double", "hour": "int", "weekday": "int", "relative_date": "int"}
+_NO_STEP = -(1 << 62)  # chunk of rows without a step: counted, but in no order
+
+
+def by_chunk(rows: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
+    """The wear rows dealt once by (id, ``_chunk``); rows without id are left out.
+
+    The values cross the exchange as one array, so every pass over the rows,
+    whatever columns it uses, reads the same exchange. Aggregates by (id,
+    chunk, ...) need no other one."""
+    chunk = F.floor(F.col("step") / F.lit(chunk_rows))
+    place = F.col("step") - chunk * chunk_rows
+    values = F.array(*[(place if c == "_place" else F.col(c)).cast("double") for c in _PACKED])
+    dealt = (rows.where(F.col("id").isNotNull()).select("id", F.coalesce(chunk, F.lit(_NO_STEP)).alias("_chunk"), values.alias("_values"))
+             .repartition("id", "_chunk"))
+    cols = dealt.select("id", "_chunk", *[F.col("_values")[i].cast(t).alias(c) for i, (c, t) in enumerate(_PACKED.items())])
+    step = F.when(F.col("_chunk") != _NO_STEP, F.col("_chunk") * chunk_rows + F.col("_place"))
+    return _masked(cols.select("id", "_chunk", step.alias("step"), *[c for c in _PACKED if c != "_place"], F.lit(0).alias("non_wear_flag")))
 
 
 _EDGE_PROBS = decile_probs(ENTROPY_BUCKETS)
@@ -110,22 +130,29 @@ _QSPEC = {  # metric -> (column, probs, output names)
     1: ("light", [0.25, 0.75], ["light_p25", "light_p75"]),
     2: ("battery_voltage", [0.1], ["battery_p10"]),
 }
+SMALL_ROWS = 1 << 12  # ids of up to so many rows have their values sorted in one place
 
 
-def id_quantiles(rows: DataFrame, metrics=(0, 1, 2)) -> DataFrame:
-    """All per-id quantiles of one feature run in one sort: the metrics are
+def id_quantiles(rows: DataFrame, metrics=(0, 1, 2), small_rows: int = SMALL_ROWS) -> DataFrame:
+    """All per-id quantiles of one feature run, from rows ``by_chunk``. Ids of
+    up to ``small_rows`` rows sort their values; those of the others are
     stacked into (id, metric, value) and share one exact-quantile pass."""
+    values = {m: F.col(_QSPEC[m][0]).cast("double") for m in metrics}
+    counts = rows.groupBy("id", "_chunk").agg(F.count(F.lit(1)).alias("_cnt"))
+    told = rows.join(counts.select("id", "_chunk", F.sum("_cnt").over(Window.partitionBy("id")).alias("_total")), ["id", "_chunk"])
+    small = told.where(F.col("_total") <= small_rows).groupBy("id").agg(*[F.sort_array(F.collect_list(c)).alias(f"_v{m}") for m, c in values.items()])
+    small = small.select("id", *[array_quantile(F.col(f"_v{m}"), p).alias(n) for m in metrics for p, n in zip(*_QSPEC[m][1:], strict=True)])
+
     probs = sorted({p for m in metrics for p in _QSPEC[m][1]})
-    stacked = rows.select("id", F.explode(F.array(*[
-        F.struct(F.lit(m).alias("metric"), F.col(_QSPEC[m][0]).cast("double").alias("value")) for m in metrics
+    stacked = told.where(F.col("_total") > small_rows).select("id", F.explode(F.array(*[
+        F.struct(F.lit(m).alias("metric"), c.alias("value")) for m, c in values.items()
     ])).alias("s")).select("id", "s.metric", "s.value")
     q = exact_quantiles(stacked, ["id", "metric"], "value", probs, names=[f"p{i}" for i in range(len(probs))])
     out = []
     for m in metrics:
-        col, ps, names = _QSPEC[m]
-        for p, n in zip(ps, names):
+        for p, n in zip(*_QSPEC[m][1:], strict=True):
             out.append(F.max(F.when(F.col("metric") == m, F.col(f"p{probs.index(p)}"))).alias(n))
-    return q.groupBy("id").agg(*out)
+    return small.unionByName(q.groupBy("id").agg(*out))
 
 
 def sequenced(rows: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS, carry: DataFrame | None = None,
@@ -224,37 +251,28 @@ def _wear_aggs():
     return [share_true(flag == 0).alias("wear_time_ratio")]
 
 
-# Level tags of the two-level features; level 0 = the whole id.
+# Level tags of the two-level features.
 _LEVELS = {"hour": 1, "weekday": 2, "bucket": 3, "relative_date": 4, "non_wear_flag": 5}
 
 
-def _expand_levels(rows: DataFrame, levels, with_main: bool, extra: dict | None = None) -> DataFrame:
+def _expand_levels(rows: DataFrame, levels) -> DataFrame:
     """One copy of each row per requested level, keyed by (id, lvl, lk):
-    the GROUPING SETS expansion written out, so the single-level aggregates
-    can be restricted to level 0 and everything shares one aggregation."""
-    extra = extra or {}
-    tags = ([0] if with_main else []) + [_LEVELS[lv] for lv in levels] + list(extra)
+    the GROUPING SETS expansion written out."""
+    tags = [_LEVELS[lv] for lv in levels]
     lk = F.lit(None).cast("long")
     for lv in levels:
         lk = F.when(F.col("lvl") == _LEVELS[lv], F.col(lv).cast("long")).otherwise(lk)
-    for tag, c in extra.items():
-        lk = F.when(F.col("lvl") == tag, F.col(c).cast("long")).otherwise(lk)
     return (rows.withColumn("lvl", F.explode(F.array(*[F.lit(t) for t in tags])))
             .withColumn("lk", lk)
-            .where((F.col("lvl") == 0) | F.col("lk").isNotNull()))
-
-
-_CHUNK_LEVEL = 9  # level tag of the per-(id, chunk) row counts in the shared pass
+            .where(F.col("lk").isNotNull()))
 
 
-def _shared_pass(rows: DataFrame, levels, chunk_rows: int) -> DataFrame:
-    """One expanded, map-side combined pass over the wear rows giving, keyed
-    by (id, lvl, lk): level 0 = per-id magnitude mean / std, the feature
-    levels = per-level mean / count, level 9 = rows per (id, step chunk)."""
-    ex = _expand_levels(rows.withColumn("_chunk_key", F.floor(F.col("step") / F.lit(chunk_rows))),
-                        levels, with_main=True, extra={_CHUNK_LEVEL: "_chunk_key"})
-    return ex.groupBy("id", "lvl", "lk").agg(F.avg("mag").alias("m"), F.count(F.lit(1)).alias("cnt"),
-                                             F.stddev_samp("mag").alias("sd"))
+def _level_rows(rows: DataFrame, levels) -> DataFrame:
+    """Per (id, lvl, lk): mean magnitude ``m``, from rows ``by_chunk``: folded
+    in the chunk first, so that a row a chunk and level value goes to its id."""
+    g = _expand_levels(rows, levels).groupBy("id", "_chunk", "lvl", "lk").agg(F.sum("mag").alias("s"), F.count("mag").alias("c"))
+    return (g.select("id", F.col("lvl").cast("byte").alias("lvl"), "lk", "s", "c").repartition("id")
+            .groupBy("id", "lvl", "lk").agg(safe_div(F.sum("s"), F.sum("c")).alias("m")))
 
 
 def _level_partials():
@@ -298,7 +316,7 @@ def _finish_levels(out: DataFrame, levels) -> DataFrame:
 
 def two_level(rows: DataFrame, levels=("hour", "weekday", "bucket", "relative_date", "non_wear_flag")) -> DataFrame:
     """Second-level features from one expanded, map-side combined pass."""
-    g = _expand_levels(rows, levels, with_main=False).groupBy("id", "lvl", "lk").agg(*_level_partials())
+    g = _expand_levels(rows, levels).groupBy("id", "lvl", "lk").agg(*_level_partials())
     return _finish_levels(g.groupBy("id").agg(*_second_level(levels)), levels)
 
 
@@ -325,32 +343,25 @@ def series_features(series: DataFrame, wear_scope: str = "filtered",
                     chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """All 58 features, one row per id (columns in ``FEATURE_NAMES`` order).
 
-    Passes over the wear rows: one shared, map-side combined pass (per-id
-    magnitude moments, per-(id, chunk) row counts, per-(id, level, key)
-    means / counts: the GROUPING SETS expansion written out), the exact
-    quantile pass, and the ordered window, whose (id, chunk) exchange is the
-    only shuffle of whole rows and also carries the per-id statistics via
-    the chunk table. The single-level features (including the 10 bucket
-    counters of the entropy) are one aggregate keyed by id; the levels are
-    folded by a tiny ``groupBy(id)``. A hot id is reduced before any shuffle.
+    The wear rows are dealt once by (id, chunk). From that one exchange come
+    the per-id magnitude moments and exact quantiles, the per-(id, level,
+    key) means (folded in the chunk before they meet by id), the chunk
+    counts, and the ordered window, to which the chunk table carries the
+    per-id statistics. The single-level features (including the 10 bucket
+    counters of the entropy) are one aggregate keyed by id.
     """
-    rows = wear_rows(series)
+    rows = by_chunk(wear_rows(series), chunk_rows)
     levels = ("hour", "weekday", "relative_date", "non_wear_flag")
-    # one pass over the wear rows feeds the moments, the chunk counts and the levels
-    shared = _shared_pass(rows, levels, chunk_rows)
-    mom = shared.where(F.col("lvl") == 0).select("id", F.col("m").alias("mag_mean"), F.col("sd").alias("mag_std"))
-    counts = shared.where(F.col("lvl") == _CHUNK_LEVEL).select("id", F.col("lk").alias("_chunk"),
-                                                                  F.col("cnt").alias("_cnt"))
+    mom = rows.groupBy("id").agg(F.avg("mag").alias("mag_mean"), F.stddev_samp("mag").alias("mag_std"))
     stats = mom.join(id_quantiles(rows), "id", "left")
-    # per-id statistics ride on the chunk table into the (id, chunk) exchange
-    seq = _with_bucket(sequenced(rows, chunk_rows, carry=stats, counts=counts))
+    # per-id statistics ride on the chunk table to the rows
+    seq = _with_bucket(sequenced(rows, chunk_rows, carry=stats))
     single = [*_daypart_aggs(), *_sleep_aggs(), *_intensity_aggs(), *_movement_aggs(), *_device_aggs(),
               *_moment_aggs(), *_wear_aggs(), F.count(F.lit(1)).alias("_n"),
               *_bucket_counters()]
     main = seq.groupBy("id").agg(*single)
-    # level features need neither order nor statistics: folded from the shared pass
-    lv = (shared.where(F.col("lvl").isin(*[_LEVELS[x] for x in levels]))
-          .groupBy("id").agg(*_second_level(levels)))
+    # level features need neither order nor statistics
+    lv = _level_rows(rows, levels).groupBy("id").agg(*_second_level(levels))
     out = main.join(lv, "id")
     out = out.withColumn("movement_entropy", _entropy_from_counters())
     out = out.withColumn("activity_peaks_per_day", F.col("_peaks") / F.col("days_monitored"))
@@ -410,7 +421,7 @@ def circadian(series: DataFrame) -> DataFrame:
 def movement_entropy(series: DataFrame) -> DataFrame:
     """Feature 26: entropy of equal-frequency magnitude buckets."""
     rows = wear_rows(series)
-    edges = id_quantiles(rows, metrics=(0,))
+    edges = id_quantiles(by_chunk(rows), metrics=(0,))
     b = _with_bucket(attach_by_chunk(rows, "id", "step", edges))
     return b.groupBy("id").agg(*_bucket_counters()).select("id", _entropy_from_counters().alias("movement_entropy"))
 
@@ -431,7 +442,7 @@ def ordered_movement(series: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) ->
 
 def device_usage(series: DataFrame, chunk_rows: int = DEFAULT_CHUNK_ROWS) -> DataFrame:
     """Features 34-39 (light and battery)."""
-    rows = wear_rows(series)
+    rows = by_chunk(wear_rows(series), chunk_rows)
     q = id_quantiles(rows, metrics=(1, 2))
     pos = ordered_window(rows, "id", "step", lambda w: {}, halo=0, chunk_rows=chunk_rows, position="pos", carry=q)
     return pos.groupBy("id").agg(*_device_aggs())
