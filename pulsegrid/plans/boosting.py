@@ -8,8 +8,9 @@ bin) over all blocks, the sums of a learner meet by key, and its best splits
 are the only thing that reaches the driver; all learners grow one level per
 pass. A finished tree is added to the blocks' scores in the next pass. The
 blocks are a persisted RDD that is checkpointed every few trees, so a lost
-executor costs a few passes. Where the table is a single block, nothing has
-to meet: the same steps run to the end in one task per learner.
+executor costs a few passes. Where the table has few blocks (``ALONE_BLOCKS``,
+about 100 bytes a row), nothing has to meet: the same steps run to the end in
+one task per learner, which reads the blocks from their store.
 
 A split sends a set of bins to the left: a prefix of the bins of a measure,
 with the missing rows on the better side, or any subset of a nominal
@@ -37,6 +38,8 @@ from pulsegrid.session import ensure_checkpoint_dir, ship_package
 BINS = 32
 MISSING = BINS - 1
 BLOCK_ROWS = 65_536
+ALONE_BLOCKS = 16  # tables of up to so many blocks are trained with one task a learner
+NODES = 256  # frontier nodes whose sums are held at a time
 CUT_EVERY = 16  # score updates between checkpoints of the blocks
 
 
@@ -133,19 +136,51 @@ class Learner:
     def bins(self, block: dict) -> np.ndarray:
         return block["bins"] if self.fill is None else np.where(block["bins"] == MISSING, self.fill[None, :], block["bins"])
 
-    def sums(self, block: dict) -> tuple[np.ndarray, np.ndarray]:
-        """Gradient sums and weights by (frontier node, column, bin)."""
-        bins, cols = self.bins(block), self.columns()
+    def sums(self, block: dict, nodes: slice = slice(None)) -> tuple[np.ndarray, np.ndarray]:
+        """Gradient sums and weights by (frontier node, column, bin), of some nodes."""
+        frontier = self.frontier[nodes]
+        at, rows, g, w = self._active(block)
+        if len(frontier) < len(self.frontier):
+            first = nodes.start or 0
+            low, high = np.searchsorted(at, (first, first + len(frontier)))
+            at, rows, g, w = at[low:high] - first, rows[low:high], g[low:high], w[low:high]
+        by_column, cols = block.get("columns"), self.columns()
+        fill, cell = self.fill, at * BINS
+        grad, weight = (np.empty((len(frontier), len(cols), BINS)) for _ in range(2))
+        for j, c in enumerate(cols.tolist()):  # a column at a time stays in the processor's cache
+            bins = (block["bins"][:, c] if by_column is None else by_column[c])[rows]
+            if fill is not None:
+                bins = np.where(bins == MISSING, fill[c], bins)
+            place = cell + bins
+            grad[:, j] = np.bincount(place, g, len(frontier) * BINS).reshape(-1, BINS)
+            weight[:, j] = np.bincount(place, w, len(frontier) * BINS).reshape(-1, BINS)
+        return grad, weight
+
+    def _active(self, block: dict) -> tuple[np.ndarray, ...]:
+        """Frontier place, row, gradient and weight of the rows that train the
+        frontier, by place where it is held in parts."""
+        mark = (id(block["bins"]), self.done, self.level)
+        if block.get("active", (None,))[0] == (self.number, *mark):
+            return block["active"][1]
         place = np.full(len(self.tree.feature), -1)
         place[self.frontier] = np.arange(len(self.frontier))
-        at = place[self.tree.leaf_of(bins)]
+        at = place[self.tree.leaf_of(self.bins(block))]
         w = self.weights(block)
         rows = np.flatnonzero((at >= 0) & (w > 0))
+        if len(self.frontier) > NODES:
+            rows = rows[np.argsort(at[rows], kind="stable")]
         g = w[rows] * (block["y"][rows] - (0.0 if self.member.bagged else block["score"][self.number][rows]))
-        cell = ((at[rows, None] * len(cols) + np.arange(len(cols))) * BINS + bins[rows][:, cols]).ravel()
-        shape = (len(self.frontier), len(cols), BINS)
-        grad, weight = (np.bincount(cell, np.repeat(x, len(cols)), np.prod(shape)).reshape(shape) for x in (g, w[rows]))
-        return grad, weight
+        found = at[rows], rows, g, w[rows]
+        if len(self.frontier) > NODES:
+            block["active"] = ((self.number, *mark), found)
+        return found
+
+    def step(self, block: dict) -> Tree | None:
+        """Grow a level from the sums of one block; a member without shared
+        splits takes its nodes in parts."""
+        size = len(self.frontier) if self.member.symmetric else NODES
+        found = [self.splits(*self.sums(block, slice(i, i + size))) for i in range(0, len(self.frontier), size)]
+        return self.grow([x for part in found for x in part])
 
     def _worth(self, g: np.ndarray, w: np.ndarray) -> np.ndarray:
         g = np.maximum(np.abs(g) - self.member.l1, 0)
@@ -278,29 +313,38 @@ def _open(row) -> dict:
     return pickle.loads(bytes(row[0]))
 
 
-def _train_alone(block: dict, learner: Learner) -> list[Tree]:
+def _train_alone(blocks: list[dict], learner: Learner) -> list[Tree]:
     trees: list[Tree] = []
-    block = block | {"score": {learner.number: np.full(len(block["y"]), learner.base)}}
+    if not blocks:
+        return trees
+    block = {c: np.concatenate([b[c] for b in blocks]) for c in ("bins", "hash", "fold", "y")}
+    block |= {"bins": learner.bins(block), "score": {learner.number: np.full(len(block["y"]), learner.base)}}
+    learner.fill = None  # filled in once
+    block["columns"] = np.ascontiguousarray(block["bins"].T)
     while not learner.finished:
-        tree = learner.grow(learner.splits(*learner.sums(block)))
+        tree = learner.step(block)
         if tree is not None:
             trees.append(tree)
             if not learner.member.bagged:
-                block["score"][learner.number] += tree.score(learner.bins(block))
+                block["score"][learner.number] += tree.score(block["bins"])
     return trees
 
 
-def train_learners(blocks: DataFrame, learners: list[Learner]) -> dict[int, list[Tree]]:
+def train_learners(blocks: DataFrame, learners: list[Learner], alone_blocks: int = ALONE_BLOCKS) -> dict[int, list[Tree]]:
     """Trees by learner number."""
     sc = blocks.sparkSession.sparkContext
     rows = blocks.rdd.map(_open)
-    if blocks.count() <= 1:  # one block, of a bounded size: nothing has to meet
-        held = sc.broadcast(rows.first() if blocks.count() else None)
-        if held.value is None:
-            return {x.number: [] for x in learners}
+    if blocks.count() <= alone_blocks:  # a bounded size: nothing has to meet
+        def alone(pairs):
+            held, who = [], None
+            for learner, raw in pairs:
+                who = learner
+                held += [pickle.loads(raw)] if raw is not None else []
+            return [(who.number, _train_alone(held, who))] if who is not None else []
+
         longest = sorted(learners, key=lambda x: -x.member.rounds * x.member.depth)
-        deal = sc.parallelize(longest, len(longest))
-        return dict(deal.map(lambda x: (x.number, _train_alone(held.value, x))).collect())
+        stored = blocks.rdd.map(lambda r: bytes(r[0])).union(sc.parallelize([None], 1)).coalesce(1)  # a None, so that learners without rows end, too
+        return dict(sc.parallelize(longest, max(1, len(longest))).cartesian(stored).mapPartitions(alone).collect())
     trees: dict[int, list[Tree]] = {x.number: [] for x in learners}
     starts = {x.number: x.base for x in learners if not x.member.bagged}
     state = rows.map(lambda b: b | {"score": {n: np.full(len(b["y"]), v) for n, v in starts.items()}}).persist()

@@ -131,3 +131,38 @@ def test_no_rows_and_no_labels(spark):
         who = [Learner(0, replace(Member(2), depth=2), 0, (False,), None)]
         scores = ensemble_scores(blocks, who, train_learners(blocks, who), "bigint").collect()
         assert [r["score"] for r in scores] == [0.0] * some.count()
+
+
+def test_blocks_meet_and_alone_grow_the_same_trees(spark):
+    rng = np.random.default_rng(7)
+    rows = [(i, None if i % 11 == 0 else int(i % 5), float(i % 4), float(rng.normal() + i % 4), None if i % 6 == 0 else float(rng.normal())) for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, fold int, y double, a double, b double").repartition(3)
+    members = [Member(3, 0.3, 4, rows=0.8), Member(3, 0.3, 3, symmetric=True), Member(2, depth=12, bagged=True, impute=True)]
+    blocks, _ = binned_blocks(df, "y", ["a", "b"], (), 60)
+    found = []
+    for most in (1, 16):  # 16: several blocks, read by one task a learner; their scores took a pass a level before
+        who = [Learner(i, m, 0, (False, False), np.array([3, 9], np.uint8) if m.impute else None, i, 1.5) for i, m in enumerate(members)]
+        trees = train_learners(blocks, who, most)
+        assert [len(trees[i]) for i in range(3)] == [3, 3, 2]
+        assert [x.done for x in who] == ([0, 0, 0] if most > 1 else [3, 3, 2])  # trained in tasks, or in passes of the driver
+        found.append([[(t.feature, t.mask, np.round(t.value, 9).tolist()) for t in trees[i]] for i in range(3)])
+    assert found[0] == found[1]
+
+
+def test_a_wide_frontier_is_split_in_parts(monkeypatch):
+    rng = np.random.default_rng(9)
+    bins = rng.integers(0, 30, (500, 3))
+    data = block(bins, rng.normal(size=500))
+    seen = []
+    plain = Learner.sums
+    monkeypatch.setattr(Learner, "sums", lambda self, b, *a: seen.append(plain(self, b, *a)) or seen[-1])
+    trees = []
+    for nodes in (8, 1 << 20):
+        monkeypatch.setattr("pulsegrid.plans.boosting.NODES", nodes)
+        seen.clear()
+        learner, tree = Learner(0, Member(1, depth=30, bagged=True), 0, (False,) * 3, None), None
+        while tree is None:
+            tree = learner.step(data)
+        trees.append((tree.feature, tree.mask, tree.value))
+        assert (max(len(g) for g, _ in seen) <= 8) == (nodes == 8)
+    assert trees[0] == trees[1]
