@@ -10,7 +10,10 @@ pass. A finished tree is added to the blocks' scores in the next pass. The
 blocks are a persisted RDD that is checkpointed every few trees, so a lost
 executor costs a few passes. Where the table has few blocks (``ALONE_BLOCKS``,
 about 100 bytes a row), nothing has to meet: the same steps run to the end in
-one task per learner, which reads the blocks from their store.
+one task per learner (or some trees of a bagged one), which reads the blocks
+from their store. Those steps are ``Trees.java``, a Java function of the session
+that Spark's own compiler makes; such a task returns the scores of its trees,
+so trees leave it only where they are asked for.
 
 A split sends a set of bins to the left: a prefix of the bins of a measure,
 with the missing rows on the better side, or any subset of a nominal
@@ -24,14 +27,19 @@ scores 0.
 
 from __future__ import annotations
 
-import pickle
-from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, field
+import struct
+import tempfile
+import zipfile
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass, field, replace
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from pulsegrid.session import ensure_checkpoint_dir, ship_package
 
@@ -41,6 +49,8 @@ BLOCK_ROWS = 65_536
 ALONE_BLOCKS = 16  # tables of up to so many blocks are trained with one task a learner
 NODES = 256  # frontier nodes whose sums are held at a time
 CUT_EVERY = 16  # score updates between checkpoints of the blocks
+BAGGED_TREES = 10  # trees of a bagged learner that a task grows, as they don't build on each other
+COPIES = np.cumsum([np.exp(-1) / np.prod(np.arange(1.0, k + 1)) for k in range(12)])  # Poisson(1)
 
 
 @dataclass(frozen=True)
@@ -131,7 +141,7 @@ class Learner:
         if not m.bagged:
             return (own & (u < m.rows)).astype(np.float64)
         # Poisson(1) copies of a row are a bootstrap sample of any size
-        return own * np.searchsorted(np.cumsum([np.exp(-1) / np.prod(np.arange(1.0, k + 1)) for k in range(12)]), u).astype(np.float64)
+        return own * np.searchsorted(COPIES, u).astype(np.float64)
 
     def bins(self, block: dict) -> np.ndarray:
         return block["bins"] if self.fill is None else np.where(block["bins"] == MISSING, self.fill[None, :], block["bins"])
@@ -282,6 +292,10 @@ def bin_values(values: np.ndarray, edges: np.ndarray, nominal: bool) -> np.ndarr
     return np.where(np.isnan(values), np.uint8(MISSING), found)
 
 
+BLOCK = ["block", "n", "bins", "hash", "fold", "y", "ids"]  # little-endian arrays, bins row by row; ids as an Arrow stream
+BLOCK_SCHEMA = "block int, n int, bins binary, hash binary, fold binary, y binary, ids binary"
+
+
 def binned_blocks(df: DataFrame, label: str, features: Sequence[str], nominal: Sequence[str] = (), block_rows: int | None = None):
     """``df`` (id, fold, label, features; stored, its fold null where a row
     only gets scores) as a stored table of blocks, one row each, and the edges."""
@@ -295,56 +309,116 @@ def binned_blocks(df: DataFrame, label: str, features: Sequence[str], nominal: S
         if held:
             table = pa.Table.from_batches(held)
             bins = np.stack([bin_values(table[f].to_numpy().astype(float), edges[f], k) for f, k in zip(features, kinds, strict=True)], 1)
-            block = {"id": table["id"].combine_chunks(), "hash": table["__hash"].to_numpy().view(np.uint64), "bins": bins,
-                     "fold": table["__fold"].to_numpy(), "y": np.nan_to_num(table["__y"].to_numpy())}
-            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(block)], pa.binary())], ["block"])
+            ids = pa.BufferOutputStream()
+            with pa.ipc.new_stream(ids, pa.schema([table.schema.field("id")])) as to:
+                to.write_table(table.select(["id"]))
+            parts = [bins.astype(np.uint8), table["__hash"].to_numpy().astype("<i8"), table["__fold"].to_numpy().astype("<i4"), np.nan_to_num(table["__y"].to_numpy()).astype("<f8")]
+            yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId()], pa.int32()), pa.array([len(table)], pa.int32()), *[pa.array([x.tobytes()], pa.binary()) for x in parts],
+                                              pa.array([ids.getvalue().to_pybytes()], pa.binary())], BLOCK)
 
     rows = df.select("id", F.xxhash64(F.col("id").cast("string")).alias("__hash"), F.coalesce(F.col("fold"), F.lit(-1)).cast("int").alias("__fold"),
                      F.col(label).cast("double").alias("__y"), *[F.col(f).cast("double").alias(f) for f in features])
     ship_package(spark)
-    blocks = rows.repartition(parts, "__hash").sortWithinPartitions("__hash", "__fold", "__y").mapInArrow(pack, "block binary")
+    blocks = rows.repartition(parts, "__hash").sortWithinPartitions("__hash", "__fold", "__y").mapInArrow(pack, BLOCK_SCHEMA)
     ensure_checkpoint_dir(spark)
     return blocks.checkpoint(eager=True), edges
 
 
 # ---- training ---------------------------------------------------------------
 
+def _ids(raw: bytes) -> pa.Array:
+    return pa.ipc.open_stream(raw).read_all()["id"].combine_chunks()
+
+
 def _open(row) -> dict:
-    return pickle.loads(bytes(row[0]))
-
-
-def _train_alone(blocks: list[dict], learner: Learner) -> list[Tree]:
-    trees: list[Tree] = []
-    if not blocks:
-        return trees
-    block = {c: np.concatenate([b[c] for b in blocks]) for c in ("bins", "hash", "fold", "y")}
-    block |= {"bins": learner.bins(block), "score": {learner.number: np.full(len(block["y"]), learner.base)}}
-    learner.fill = None  # filled in once
-    block["columns"] = np.ascontiguousarray(block["bins"].T)
-    while not learner.finished:
-        tree = learner.step(block)
-        if tree is not None:
-            trees.append(tree)
-            if not learner.member.bagged:
-                block["score"][learner.number] += tree.score(block["bins"])
-    return trees
+    kinds = {"bins": "u1", "hash": "<u8", "fold": "<i4", "y": "<f8"}
+    block = {c: np.frombuffer(bytes(row[c]), kind) for c, kind in kinds.items()}
+    return block | {"id": _ids(bytes(row["ids"])), "bins": block["bins"].reshape(row["n"], -1)}
+
+
+def _function(spark: SparkSession, name: str = "pulsegrid_trees") -> str:
+    """``Trees.java`` as a function of the session. Spark's own compiler, which
+    makes the code of its plans, compiles it; executors get it as a jar."""
+    sc = spark.sparkContext
+    if not hasattr(sc, "_trees_function"):
+        compiler = sc._jvm.org.codehaus.janino.SimpleCompiler()
+        compiler.cook(Path(__file__).with_name("Trees.java").read_text())
+        jar = f"{tempfile.mkdtemp(prefix='code-')}/pulsegrid-trees.jar"
+        with zipfile.ZipFile(jar, "w") as out:
+            for made, code in compiler.getBytecodes().items():
+                out.writestr(f"{made.replace('.', '/')}.class", bytes(code))
+        sc._jsc.addJar(jar)
+        nothing = [sc._gateway.new_array(x, 0) for x in (sc._jvm.java.lang.Class, sc._jvm.java.lang.Object)]
+        sc._trees_function = compiler.getClassLoader().loadClass("pulsegrid.Trees").getDeclaredConstructor(nothing[0]).newInstance(nothing[1])
+    found = T.ArrayType(T.StructType([T.StructField("place", T.IntegerType()), T.StructField("found", T.BinaryType())]))
+    spark._jsparkSession.udf().register(name, sc._trees_function, spark._jsparkSession.parseDataType(found.json()))
+    return name
+
+
+def packed(learner: Learner, first: int, last: int, wants_trees: bool, train_side: bool) -> bytes:
+    """A learner and the trees that it is to grow, as ``Trees.java`` reads them."""
+    m, k = learner.member, len(learner.nominal)
+    drawn = [replace(learner, done=t).columns() if m.columns < 1 else [] for t in range(first, last)]
+    return b"".join([
+        struct.pack("<15i", learner.number, learner.fold, first, last, min(m.depth, 1 << 30), m.leaves, m.rows_every, m.seed, k,
+                    m.symmetric, m.bagged, m.nominal, wants_trees, train_side, learner.fill is not None),
+        struct.pack("<6d", m.rate, m.rows, m.l1, m.l2, m.leaf_rows, learner.base), COPIES.astype("<f8").tobytes(), bytes(learner.nominal),
+        bytes(k) if learner.fill is None else np.asarray(learner.fill, np.uint8).tobytes(), *[np.array([len(c), *c], "<i2").tobytes() for c in drawn]])
+
+
+def _unpacked(raw: bytes) -> Tree:
+    n = struct.unpack_from("<i", raw)[0]
+    feature, mask, left = (np.frombuffer(raw, kind, n, 4 + 4 * n * i).tolist() for i, kind in enumerate(("<i4", "<u4", "<i4")))
+    return Tree(feature, mask, left, np.frombuffer(raw, "<f8", n, 4 + 12 * n).tolist())
+
+
+class Grown(Mapping):
+    """Trees by learner number of a table of few blocks, where every task
+    reads the whole table. They are grown when asked for; ``scores`` grows
+    them and returns what they add up to."""
+
+    def __init__(self, blocks: DataFrame, learners: Sequence[Learner]):
+        self.blocks, self.learners, self._trees = blocks, list(learners), None
+
+    def _found(self, wants_trees: bool, train_side: bool = False) -> DataFrame:
+        spark = self.blocks.sparkSession
+        jobs = []
+        for x in self.learners:
+            step = BAGGED_TREES if x.member.bagged else max(1, x.member.rounds)
+            jobs += [(x.number, t, min(t + step, x.member.rounds), x) for t in range(x.done, x.member.rounds, step)]
+        jobs.sort(key=lambda j: -(j[2] - j[1]) * min(j[3].member.depth, 12))  # the longest first
+        rows = [(n, first, packed(x, first, last, wants_trees, train_side)) for n, first, last, x in jobs]
+        deal = spark.createDataFrame(spark.sparkContext.parallelize(rows, max(1, len(rows))), "number int, first int, spec binary")
+        table = self.blocks.coalesce(1).agg(F.collect_list(F.struct(*BLOCK[:-1])).alias("data"))
+        # every task reads the stored blocks; the other joins would send them through the driver
+        found = deal.hint("shuffle_replicate_nl").crossJoin(table).select("number", "first", F.inline(F.call_udf(_function(spark), "data", "spec")))
+        return found
+
+    def scores(self, train_side: bool) -> DataFrame:
+        """number, first, place (a block), found: sums of the trees from
+        ``first`` on, a double for every row of the block that is scored."""
+        return self._found(False, train_side)
+
+    def __getitem__(self, number: int) -> list[Tree]:
+        if self._trees is None:
+            self._trees = {x.number: [] for x in self.learners}
+            for r in sorted(self._found(True).collect(), key=lambda r: r["place"]):
+                self._trees[r["number"]].append(_unpacked(r["found"]))
+        return self._trees[number]
+
+    def __iter__(self):
+        return iter([x.number for x in self.learners])
 
+    def __len__(self) -> int:
+        return len(self.learners)
 
-def train_learners(blocks: DataFrame, learners: list[Learner], alone_blocks: int = ALONE_BLOCKS) -> dict[int, list[Tree]]:
+
+def train_learners(blocks: DataFrame, learners: list[Learner], alone_blocks: int = ALONE_BLOCKS) -> Mapping[int, list[Tree]]:
     """Trees by learner number."""
     sc = blocks.sparkSession.sparkContext
+    if blocks.count() <= alone_blocks and all(len(x.nominal) < 2048 for x in learners):  # a bounded size: nothing has to meet
+        return Grown(blocks, learners)
     rows = blocks.rdd.map(_open)
-    if blocks.count() <= alone_blocks:  # a bounded size: nothing has to meet
-        def alone(pairs):
-            held, who = [], None
-            for learner, raw in pairs:
-                who = learner
-                held += [pickle.loads(raw)] if raw is not None else []
-            return [(who.number, _train_alone(held, who))] if who is not None else []
-
-        longest = sorted(learners, key=lambda x: -x.member.rounds * x.member.depth)
-        stored = blocks.rdd.map(lambda r: bytes(r[0])).union(sc.parallelize([None], 1)).coalesce(1)  # a None, so that learners without rows end, too
-        return dict(sc.parallelize(longest, max(1, len(longest))).cartesian(stored).mapPartitions(alone).collect())
     trees: dict[int, list[Tree]] = {x.number: [] for x in learners}
     starts = {x.number: x.base for x in learners if not x.member.bagged}
     state = rows.map(lambda b: b | {"score": {n: np.full(len(b["y"]), v) for n, v in starts.items()}}).persist()
@@ -389,10 +463,50 @@ def train_learners(blocks: DataFrame, learners: list[Learner], alone_blocks: int
     return trees
 
 
-def ensemble_scores(blocks: DataFrame, learners: list[Learner], trees: dict[int, list[Tree]], id_type: str, train_side: bool = False) -> DataFrame:
+SCORE = ["ensemble", "fold", "id", "side", "y", "score"]
+
+
+def _sides(fold_of: np.ndarray, fold: int, train_side: bool) -> tuple[np.ndarray, np.ndarray]:
+    side = np.where(fold_of < 0, "test", np.where(fold_of == fold, "validation", "train"))
+    return side, np.flatnonzero((side != "train") | train_side)
+
+
+def _scored(ensemble: int, fold: int, ids: pa.Array, side: np.ndarray, rows: np.ndarray, y: np.ndarray, score: np.ndarray) -> pa.RecordBatch:
+    same = [pa.array(np.full(len(rows), x, np.int32)) for x in (ensemble, fold)]
+    return pa.RecordBatch.from_arrays([*same, ids.take(pa.array(rows)), pa.array(side[rows].tolist(), pa.string()), pa.array(y[rows]), pa.array(score)], SCORE)
+
+
+def ensemble_scores(blocks: DataFrame, learners: list[Learner], trees: Mapping[int, list[Tree]], id_type: str, train_side: bool = False) -> DataFrame:
     """Votes, the plain mean over an ensemble's members in a fold: ensemble,
     fold, id, side, y, score. side is `validation` (rows of that fold), `test`
     (rows without a fold) and, if asked for, `train` (rows of other folds)."""
+    schema = f"ensemble int, fold int, id {id_type}, side string, y double, score double"
+    if isinstance(trees, Grown):
+        who = {x.number: (x.ensemble, x.fold, x.member.bagged, x.member.rounds, x.base) for x in learners}
+
+        def vote(batches):
+            for batch in batches:
+                for block in batch.to_pylist():
+                    ids, fold_of, y = _ids(block["ids"]), np.frombuffer(block["fold"], "<i4"), np.frombuffer(block["y"], "<f8")
+                    side, rows = _sides(fold_of, block["of_fold"], train_side)
+                    own: dict[int, np.ndarray] = {}
+                    for part in sorted(block["parts"], key=lambda p: (p["number"], p["first"])):
+                        own[part["number"]] = own.get(part["number"], 0.0) + np.frombuffer(part["found"], "<f8")
+                    total = np.zeros(len(rows))
+                    members = [n for n, x in who.items() if x[:2] == (block["ensemble"], block["of_fold"])]
+                    for n in members:
+                        _, _, bagged, rounds, base = who[n]
+                        total += own.get(n, 0.0) / max(1, rounds) if bagged else own.get(n, 0.0) + base
+                    yield _scored(block["ensemble"], block["of_fold"], ids, side, rows, y, total / len(members))
+
+        spark = blocks.sparkSession
+        named = spark.createDataFrame([(n, *x[:2]) for n, x in who.items()], "number int, ensemble int, of_fold int")
+        # a row per (ensemble, fold, block) also where no tree was grown
+        votes = blocks.select("block", "fold", "y", "ids").crossJoin(named.select("ensemble", "of_fold").distinct())
+        found = trees.scores(train_side).withColumnRenamed("place", "block").join(named, "number").groupBy("ensemble", "of_fold", "block").agg(F.collect_list(F.struct("number", "first", "found")).alias("parts"))
+        joined = votes.join(found, ["ensemble", "of_fold", "block"], "left").withColumn("parts", F.coalesce("parts", F.array().cast(found.schema["parts"].dataType)))
+        ship_package(spark)
+        return joined.mapInArrow(vote, schema)
     model = blocks.sparkSession.sparkContext.broadcast([(x, trees[x.number]) for x in learners])  # grows with the rounds, not with the rows
 
     def run(batches):
@@ -400,18 +514,15 @@ def ensemble_scores(blocks: DataFrame, learners: list[Learner], trees: dict[int,
         for learner, grown in model.value:
             votes.setdefault((learner.ensemble, learner.fold), []).append((learner, grown))
         for batch in batches:
-            for raw in batch.column(0):
-                block = pickle.loads(raw.as_py())
+            for raw in batch.to_pylist():
+                block = _open(raw)
                 for (ensemble, fold), members in votes.items():
-                    side = np.where(block["fold"] < 0, "test", np.where(block["fold"] == fold, "validation", "train"))
-                    rows = np.flatnonzero((side != "train") | train_side)
+                    side, rows = _sides(block["fold"], fold, train_side)
                     total = np.zeros(len(rows))
                     for learner, grown in members:
                         bins = learner.bins(block)[rows]
                         own = sum((tree.score(bins) for tree in grown), np.zeros(len(rows)))
                         total += own / max(1, len(grown)) if learner.member.bagged else own + learner.base
-                    same = [pa.array(np.full(len(rows), x, np.int32)) for x in (ensemble, fold)]
-                    yield pa.RecordBatch.from_arrays([*same, block["id"].take(pa.array(rows)), pa.array(side[rows].tolist(), pa.string()),
-                                                      pa.array(block["y"][rows]), pa.array(total / len(members))], ["ensemble", "fold", "id", "side", "y", "score"])
+                    yield _scored(ensemble, fold, block["id"], side, rows, block["y"], total / len(members))
 
-    return blocks.mapInArrow(run, f"ensemble int, fold int, id {id_type}, side string, y double, score double")
+    return blocks.mapInArrow(run, schema)

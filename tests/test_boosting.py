@@ -8,6 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from pulsegrid.plans import boosting
 from pulsegrid.plans.boosting import MISSING, Learner, Member, Tree, bin_values, binned_blocks, ensemble_scores, train_learners
 
 
@@ -166,3 +167,43 @@ def test_a_wide_frontier_is_split_in_parts(monkeypatch):
         trees.append((tree.feature, tree.mask, tree.value))
         assert (max(len(g) for g, _ in seen) <= 8) == (nodes == 8)
     assert trees[0] == trees[1]
+
+
+def test_tasks_grow_the_trees_of_the_plain_steps(spark):
+    """``Trees.java``, over several blocks, against ``Learner.step`` over one table."""
+    rng = np.random.default_rng(11)
+    rows = [(i, None if i % 9 == 0 else int(i % 5), float(rng.integers(0, 4)), None if i % 3 else float(rng.normal()), float(rng.normal()), 7.0, None if i % 7 == 0 else int(i % 6)) for i in range(600)]
+    df = spark.createDataFrame(rows, "id long, fold int, y double, a double, b double, c double, season int")
+    blocks, _ = binned_blocks(df, "y", ["a", "b", "c", "season"], ["season"], 150)
+    held = [boosting._open(r) for r in sorted(blocks.collect(), key=lambda r: r["block"])]
+    assert len(held) > 2
+    members = [Member(6, 0.1, 5, rows=0.7, rows_every=2, columns=0.5, leaf_rows=3, leaves=9, l1=0.5, l2=0.1), Member(5, 0.1, 4, l2=2, symmetric=True, nominal=True),
+               Member(4, 0.3, 3, nominal=True), Member(4, 0.3, 3, symmetric=True, impute=True), Member(25, depth=30, bagged=True, impute=True, columns=0.5)]
+    learners = [Learner(i, m, 2, (False, False, False, True), np.array([4, 9, 0, 1], np.uint8) if m.impute else None, 0, 1.5) for i, m in enumerate(members)]
+    grown = train_learners(blocks, learners)
+    for x in learners:
+        data = {c: np.concatenate([b[c] for b in held]) for c in ("bins", "hash", "fold", "y")}
+        data["score"] = {x.number: np.full(len(data["y"]), x.base)}
+        one, trees = replace(x), []
+        while not one.finished:
+            if (tree := one.step(data)) is not None:
+                trees.append(tree)
+                if not one.member.bagged:
+                    data["score"][x.number] += tree.score(one.bins(data))
+        assert [(t.feature, t.mask, t.left) for t in grown[x.number]] == [(t.feature, t.mask, t.left) for t in trees] and max(len(t.feature) for t in trees) > 6
+        assert all(np.allclose(t.value, u.value, rtol=1e-9, atol=1e-12) for t, u in zip(grown[x.number], trees, strict=True))
+    # scores that the tasks add up, against trees applied to the rows
+    by_task, by_tree = (ensemble_scores(blocks, learners, t, "bigint", True).toPandas().sort_values("id") for t in (grown, {n: grown[n] for n in grown}))
+    assert len(by_task) == 600 and np.allclose(by_task["score"], by_tree["score"]) and (by_task.drop(columns="score").values == by_tree.drop(columns="score").values).all()
+    assert len(grown.scores(False).where("number = 4").select("first").distinct().collect()) == 3  # a forest is dealt out
+
+
+def test_trees_of_one_class_and_of_no_training_rows(spark):
+    df = spark.createDataFrame([(i, 0, 1.0, float(i)) for i in range(80)], "id long, fold int, y double, a double")
+    blocks, _ = binned_blocks(df, "y", ["a"], (), 30)
+    for fold, bagged in itertools.product((0, 1), (False, True)):  # fold 0 holds every row: none trains
+        who = [Learner(0, Member(3, depth=4, bagged=bagged), fold, (False,), None, 0, 0.25)]
+        trees = train_learners(blocks, who)
+        assert [t.feature for t in trees[0]] == [[-1]] * 3 if fold == 0 or bagged else len(trees[0]) == 3
+        scores = {r["score"] for r in ensemble_scores(blocks, who, trees, "bigint", True).collect()}
+        assert all(np.isclose(s, (0.0 if fold == 0 else 1.0) if bagged else 0.25 + (0 if fold == 0 else 0.75 * (1 - 0.9 ** 3))) for s in scores)
