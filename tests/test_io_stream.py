@@ -92,3 +92,23 @@ def test_series_store_with_source_names(spark, tmp_path):
     f = S.series_features(a).collect()
     assert len(f) == 1 and f[0]["id"] == "00a1"
     assert all(v is None or v == v for v in f[0])  # no NaN
+
+
+def test_store_writes_one_file_a_key_and_lists_with_few_tasks(spark, tmp_path):
+    """No checksum file beside each file (a process or two per file on local
+    storage), many folders in few listing tasks, settings as before after it."""
+    root, keys = str(tmp_path / "s"), 300  # more folders than LISTING_TASKS
+    names = ["spark.sql.sources.parallelPartitionDiscovery.parallelism", "spark.sql.sources.partitionColumnTypeInference.enabled"]
+    before = [spark.conf.get(n) for n in names]
+    write_parquet(spark.range(2 * keys).select(F.col("id").alias("v"), F.format_string("%03d", F.col("id") % keys).alias("id")), root, partition_by="id")
+    files = [f for f in (tmp_path / "s").rglob("*") if f.is_file()]
+    assert len([f for f in files if f.name.startswith("part-")]) == keys and not [f for f in files if f.name.endswith(".crc")]
+    tracker = spark.sparkContext.statusTracker()
+    for read in (read_series, read_with_lineage):
+        spark.sparkContext.setJobGroup(f"listing-{read.__name__}", "")
+        df = read(spark, root)
+        tasks = [tracker.getStageInfo(s).numTasks for j in tracker.getJobIdsForGroup(f"listing-{read.__name__}") for s in tracker.getJobInfo(j).stageIds]
+        spark.sparkContext._jsc.clearJobGroup()
+        assert 1 < max(tasks) <= 256
+        assert sorted((r["id"], r["v"]) for r in df.select("id", "v").collect()) == sorted((f"{i % keys:03d}", i) for i in range(2 * keys))
+    assert [spark.conf.get(n) for n in names] == before
